@@ -1,0 +1,6 @@
+"""Registered queries on the driver's tables."""
+
+from tallyline.catalog import comparing  # noqa: F401
+from tallyline.catalog.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -148,7 +148,7 @@ def remap_ids(
     return joined.withColumn(key, F.coalesce(merged, key)).drop(merged).dropna(subset=list(required))
 
 
-def stack_sides(keys: Sequence[str], value: str, **sides: DataFrame) -> DataFrame:
+def stack_sides(keys: Sequence[str], **sides: DataFrame) -> DataFrame:
     """Full-outer alignment of several one-row-per-key tables in one shuffle.
 
     Instead of a chain of full joins the sides are tagged, unioned and folded
