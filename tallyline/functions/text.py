@@ -77,7 +77,7 @@ def strip_bracket_suffix(c: Column | str) -> Column:
 
 def has_field(c: Column | str, value: str) -> Column:
     """Is ``value`` one of the ``|``-separated fields (blanks around it ignored)?"""
-    return F.array_contains(F.transform(F.split(col(c), r"\|"), F.trim), value)
+    return F.array_contains(F.transform(F.split(col(c), r"\|"), lambda f: F.trim(f)), value)
 
 
 def join_sorted(values: Column, separator: str = "|") -> Column:

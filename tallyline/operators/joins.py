@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ONE_SIDED = {
@@ -191,3 +191,35 @@ def drop_around(df: DataFrame, index: str, marks: DataFrame, before: int = 1, af
     """
     covered = marks.select(F.explode(F.sequence(F.col(index) - before, F.col(index) + after)).alias(index)).distinct()
     return df.join(covered, index, "left_anti")
+
+
+def pair_differences(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Over all (left, right) pairs of a key: how many, and the sum of |difference|.
+
+    The many-to-many join itself is never formed.  Both sides are folded to
+    counts per value; walking the values upwards, each step adds the distance
+    to the next value times the pairs it separates.
+    """
+    sides = left.select(*keys, F.col(value).alias("__x"), F.lit(1).alias("__l"), F.lit(0).alias("__r")).unionByName(
+        right.select(*keys, F.col(value).alias("__x"), F.lit(0).alias("__l"), F.lit(1).alias("__r"))
+    )
+    values = sides.groupBy(*keys, "__x").agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
+    totals = values.groupBy(*keys).agg(F.sum("__l").alias("__tl"), F.sum("__r").alias("__tr"))
+    order = Window.partitionBy(*keys).orderBy("__x")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    walked = values.select(
+        *keys,
+        (F.lead("__x").over(order) - F.col("__x")).alias("__step"),
+        F.sum("__l").over(upto).alias("__cl"),
+        F.sum("__r").over(upto).alias("__cr"),
+    )
+    # pairs with one value up to here and the other beyond
+    apart = F.col("__cl") * (F.col("__tr") - F.col("__cr")) + F.col("__cr") * (F.col("__tl") - F.col("__cl"))
+    return (
+        walked.join(totals.where("__tl > 0 AND __tr > 0"), list(keys))
+        .groupBy(*keys)
+        .agg(
+            F.max(F.col("__tl") * F.col("__tr")).alias("n_pairs"),
+            F.coalesce(F.sum(F.col("__step") * apart), F.lit(0)).cast("bigint").alias("discrepancy"),
+        )
+    )

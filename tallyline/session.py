@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the plans are tuned for.  AQE re-plans joins from measured sizes,
 #: splits skewed join partitions and coalesces small ones, so no operator in
@@ -31,6 +31,9 @@ def build_session(master: str | None = None, app: str = "tallyline", **extra: st
     return builder.getOrCreate()
 
 
+_local_dir: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as named by ``spark.checkpoint.dir``.
 
@@ -39,14 +42,26 @@ def shared_dir(spark: SparkSession) -> str:
     other executors, so its absence is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = os.environ.get("TALLYLINE_SCRATCH") or tempfile.mkdtemp(prefix="tallyline-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if not _local_dir:
+        _local_dir.append(os.environ.get("TALLYLINE_SCRATCH") or tempfile.mkdtemp(prefix="tallyline-"))
+    return _local_dir[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below :func:`shared_dir`; never reused, so a retry cannot mix runs."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written_once(df: DataFrame, label: str) -> DataFrame:
+    """Write a table that several branches of a plan read, and read it back.
+
+    Meant for folded intermediate tables.  The copy lies in the shared folder,
+    so it outlives any executor and the work below it runs once.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
