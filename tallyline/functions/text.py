@@ -16,7 +16,7 @@ from tallyline.functions.nulls import col, is_in
 def pad_left(c: Column | str, width: int, fill: str = "0") -> Column:
     """Left pad that never shortens a value already wider than ``width``."""
     c = col(c)
-    return F.when(F.length(c) < width, F.lpad(c, width, fill)).otherwise(c)
+    return F.lpad(c, F.greatest(F.length(c), F.lit(width)), fill)
 
 
 def pad_int(c: Column | str, width: int, fill: str = "0") -> Column:
@@ -49,16 +49,12 @@ def extract(c: Column | str, pattern: str) -> Column:
 def replace_first(c: Column | str, pattern: str, replacement: str) -> Column:
     """Replace the first match only (``regexp_replace`` alone replaces all).
 
-    ``pattern`` may look around but must not hold capture groups of its own
-    that ``replacement`` refers to.
+    The pattern is anchored behind the shortest prefix, so it can match once;
+    the column occurs once, which keeps chains of replacements linear in size.
+    ``replacement`` is literal text.
     """
-    c = col(c)
-    hit = F.regexp_substr(c, F.lit(pattern))
-    at = F.regexp_instr(c, F.lit(pattern))
-    swapped = F.concat(
-        F.substring(c, F.lit(1), at - 1), F.lit(replacement), F.substring(c, at + F.length(hit), F.length(c))
-    )
-    return F.when(at > 0, swapped).otherwise(c)
+    literal = replacement.replace("\\", "\\\\").replace("$", "\\$")
+    return F.regexp_replace(col(c), rf"^([\s\S]*?)(?:{pattern})", f"$1{literal}")
 
 
 def remove_all(c: Column | str, pattern: str, ignore_case: bool = False) -> Column:
