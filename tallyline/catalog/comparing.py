@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tallyline.catalog.base import query
 from tallyline.catalog.roles import ballots, returns_of, with_returns
+from tallyline.operators.groups import width_histogram
 from tallyline.plans import compare as C
 from tallyline.plans import reports as R
+from tallyline.session import written_once
 
 # one source lacks an office in some counties, the other lacks some counties
 FIRST = "NOT (nk % 5 = 3 AND office = 'STATE HOUSE')"
@@ -105,9 +107,15 @@ COUNTY = (
 )
 
 
+def folded(spark: SparkSession, folder: str) -> DataFrame:
+    """Ballots folded to one row per candidate: all that tallies and returns need."""
+    keys = ["state", "county_name", "nk", "office", "district", "party_detailed", "candidate"]
+    return ballots(spark, folder).groupBy(*keys).agg(F.sum("qty").alias("qty"))
+
+
 def aligned(spark: SparkSession, folder: str) -> DataFrame:
     """Both teams and the returns, aligned by rank; the first team is the release."""
-    rows = ballots(spark, folder)
+    rows = written_once(folded(spark, folder), "tally")
     first = C.ranked_tally(rows.where(FIRST), weight="qty")
     second = C.ranked_tally(rows.where(SECOND), weight="qty")
     official = returns_of(rows).withColumns({"writein": F.lit(0), "special": F.lit(0)})
@@ -272,8 +280,6 @@ GROUP BY release, bin""",
     ),
 )
 def histogram(spark: SparkSession, folder: str) -> DataFrame:
-    from tallyline.operators.groups import width_histogram
-
     rows = aligned(spark, folder)
     flags = C.classify(rows, "c").withColumn("release", C.release_flag())
     bins = width_histogram(R.district_differences(C.coalesced_comparison(rows, flags)), "perc_diff", 0.002, ["release"])

@@ -19,10 +19,18 @@ from tallyline.functions.nulls import all_true, any_true, col, holds, sum0
 from tallyline.operators.joins import join_null_safe
 
 
-def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> DataFrame:
-    """Every row plus its group's statistics; null keys form a group of their own."""
+def with_group_stats(df: DataFrame, keys: Sequence[str], bounded: bool = False, **stats: Column) -> DataFrame:
+    """Every row plus its group's statistics; null keys form a group of their own.
+
+    ``bounded`` is for tables already folded so far that a group is short (the
+    counties of a state, the parties of a precinct): a window then reads the
+    table once, where the default reads it twice.
+    """
     if not keys:
         raise ValueError("group keys needed")
+    if bounded:
+        whole = Window.partitionBy(*keys)
+        return df.withColumns({n: s.over(whole) for n, s in stats.items()})
     folded = df.groupBy(*keys).agg(*[s.alias(n) for n, s in stats.items()])
     return join_null_safe(df, folded, keys, "inner")
 
@@ -72,7 +80,9 @@ def keep_group_size(df: DataFrame, keys: Sequence[str], condition: Column) -> Da
     return join_null_safe(df, wanted, keys, "left_semi")
 
 
-def filter_modes(df: DataFrame, keys: Sequence[str], rule: str, mode: str = "mode", total: str = "TOTAL") -> DataFrame:
+def filter_modes(
+    df: DataFrame, keys: Sequence[str], rule: str, mode: str = "mode", total: str = "TOTAL", bounded: bool = False
+) -> DataFrame:
     """Rows counted twice because a total stands next to its parts.
 
     ``drop_parts``: where a total exists, keep only totals.
@@ -81,37 +91,35 @@ def filter_modes(df: DataFrame, keys: Sequence[str], rule: str, mode: str = "mod
     ``drop_mixed``: drop groups that hold both kinds.
     """
     is_total = F.col(mode) == total
-    if rule == "drop_parts":
-        flagged = with_group_stats(df, keys, __any=any_true(is_total))
-        kept = flagged.where(~(F.col("__any") & holds(~is_total)))
-    elif rule == "keep_parts":
-        flagged = with_group_stats(df, keys, __any=F.count(F.lit(1)))
-        kept = flagged.where((F.col("__any") == 1) | holds(~is_total))
-    elif rule == "total_only":
-        flagged = with_group_stats(df, keys, __any=any_true(is_total))
-        kept = flagged.where(~F.col("__any") | holds(is_total))
-    elif rule == "drop_mixed":
-        flagged = with_group_stats(df, keys, __any=any_true(is_total) & any_true(~is_total))
-        kept = flagged.where(~F.col("__any"))
-    else:
+    has_total, has_part = F.col("__total"), F.col("__part")
+    keep = {
+        "drop_parts": ~(has_total & holds(~is_total)),
+        "keep_parts": (F.col("__size") == 1) | holds(~is_total),
+        "total_only": ~has_total | holds(is_total),
+        "drop_mixed": ~(has_total & has_part),
+    }
+    if rule not in keep:
         raise ValueError(f"unknown rule {rule!r}")
-    return kept.drop("__any")
+    facts = {
+        "__total": F.bool_or(holds(is_total)), "__part": F.bool_or(holds(~is_total)), "__size": F.count(F.lit(1)),
+    }
+    return with_group_stats(df, keys, bounded, **facts).where(keep[rule]).drop(*facts)
 
 
-def keep_group_min(df: DataFrame, keys: Sequence[str], measure: Column) -> DataFrame:
+def keep_group_min(df: DataFrame, keys: Sequence[str], measure: Column, bounded: bool = False) -> DataFrame:
     """Rows whose measure equals the least of their group."""
     measured = df.withColumn("__m", measure)
-    return with_group_stats(measured, keys, __least=F.min("__m")).where("__m = __least").drop("__m", "__least")
+    return with_group_stats(measured, keys, bounded, __least=F.min("__m")).where("__m = __least").drop("__m", "__least")
 
 
 def null_unless_group_min(
-    df: DataFrame, keys: Sequence[str], measure: str, columns: Sequence[str], exempt: Column
+    df: DataFrame, keys: Sequence[str], measure: str, columns: Sequence[str], exempt: Column, bounded: bool = False
 ) -> DataFrame:
     """Blank columns of rows that are neither the group's least nor exempt.
 
     The condition is computed once from the original values.
     """
-    stats = with_group_stats(df, keys, __least=F.min(measure))
+    stats = with_group_stats(df, keys, bounded, __least=F.min(measure))
     beaten = stats.withColumn("__beaten", holds((F.col(measure) != F.col("__least")) & ~exempt))
     return beaten.withColumns({c: F.when(~F.col("__beaten"), F.col(c)) for c in columns}).drop("__least", "__beaten")
 

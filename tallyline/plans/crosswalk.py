@@ -12,6 +12,7 @@ from tallyline.functions.text import extract, join_sorted, name_distance, pad_in
 from tallyline.operators.groups import (
     filter_modes, keep_group_min, null_unless_group_min, tally, with_group_stats,
 )
+from tallyline.session import written_once
 
 MATCHED_PARTIES = ("DEMOCRAT", "REPUBLICAN")
 AREA = ("state", "county_name")
@@ -103,8 +104,10 @@ def match_precincts(ballots: DataFrame, returns: DataFrame, method: str = "osa")
     join.  For the rest, a few candidates per contest with votes in the same
     band give an upper bound of the least score; no pair below that bound can
     differ by more in any contest it shares, so a banded equi join finds every
-    pair that could win, and only those are scored.
+    pair that could win, and only those are scored.  Both inputs are read by
+    several of these steps, so they are written once first.
     """
+    ballots, returns = written_once(ballots, "precincts-cvr"), written_once(returns, "precincts-returns")
     left = ballots.where(F.col("label").isNotNull()).select(
         *AREA, F.upper("label").alias("name"), F.col("label").alias("x"), *CONTEST, "n"
     )
@@ -117,11 +120,13 @@ def match_precincts(ballots: DataFrame, returns: DataFrame, method: str = "osa")
     open_left = left.join(namesakes.select(*AREA, "x").distinct(), [*AREA, "x"], "left_anti")
     near = _near_pairs(open_left, right, method)
     scored = _score(namesakes.unionByName(near), left, right, method)
+    # from here on a group is the few pairs one label is left with
     best = keep_group_min(
         # a namesake's score never matters, so it competes with nothing
         scored.withColumn("__namesake", F.col("name_ed_dist") == 0),
         [*AREA, "x"],
         F.when(F.col("__namesake"), F.lit(-1)).otherwise(F.col("discrepancy") + F.col("name_ed_dist")),
+        bounded=True,
     ).drop("__namesake")
     labelled = _with_printed(best, ballots, returns)
     blanked = null_unless_group_min(
@@ -130,8 +135,9 @@ def match_precincts(ballots: DataFrame, returns: DataFrame, method: str = "osa")
         "discrepancy",
         ["precinct_returns", "discrepancy", "prec_votes", "name_ed_dist", "y"],
         F.col("name_ed_dist") == 0,
+        bounded=True,
     )
-    counted = with_group_stats(blanked, [*AREA, "precinct_cvr"], times=F.count("precinct_returns"))
+    counted = with_group_stats(blanked, [*AREA, "precinct_cvr"], bounded=True, times=F.count("precinct_returns"))
     return counted.select(
         *AREA, "precinct_cvr", "precinct_returns", F.col("x").alias("label_cvr"), F.col("y").alias("label_returns"),
         "discrepancy", "cvr_votes", "prec_votes", "offices", "name_ed_dist", "times",

@@ -63,7 +63,7 @@ def county_list(release: DataFrame, office: str = "US PRESIDENT") -> DataFrame:
     voters = tally(release.where(F.col("office") == office), COUNTY, "voters_pres")
     one_unit = is_in("state", ("RHODE ISLAND", "DELAWARE", "DISTRICT OF COLUMBIA"))
     named = voters.withColumn("county_name", F.when(one_unit, "STATEWIDE").otherwise(F.col("county_name")))
-    stats = with_group_stats(named, ["state"], n_counties=F.count(F.lit(1)), __all=F.sum("voters_pres"))
+    stats = with_group_stats(named, ["state"], bounded=True, n_counties=F.count(F.lit(1)), __all=F.sum("voters_pres"))
     # fixed values: names title case gets wrong
     spelled = {"Statewide": "(Statewide)", "Mchenry": "McHenry", "Dekalb": "DeKalb", "Mcduffie": "McDuffie"}
     return stats.select(
@@ -91,7 +91,7 @@ def county_coverage(
     rows = precinct_returns.where((F.col("office") == office) & is_in("party_simplified", parties))
     # folded to modes first: the rule and the list need one row per county and mode
     modes = rows.groupBy("state_po", "county_name", "county_fips", "mode").agg(sum0("votes").alias("votes"))
-    kept = filter_modes(modes, ["state_po", "county_name"], "total_only")
+    kept = filter_modes(modes, ["state_po", "county_name"], "total_only", bounded=True)
     counties = kept.groupBy("state_po", "county_name", "county_fips").agg(
         F.sum("votes").alias("prec_votes"), join_sorted(F.collect_set("mode"), ";").alias("modes")
     )
@@ -99,7 +99,7 @@ def county_coverage(
         counted, ["state_po", "county_name"], "left"
     )
     has = F.col("cvr_votes").isNotNull()
-    flagged = with_group_stats(joined, ["state_po"], __any=F.bool_or(has))
+    flagged = with_group_stats(joined, ["state_po"], bounded=True, __any=F.bool_or(has))
     covered = F.when(has | is_in("state_po", ("DE", "RI")), "c").when(F.col("__any"), "b").otherwise("a")
     return flagged.select(
         "state", "state_po", "county_name", "modes", "county_fips", "cvr_votes", "prec_votes", covered.alias("covered")
@@ -274,7 +274,7 @@ def precinct_comparison(
     keys = [*COUNTY, "precinct", "party_detailed"]
     # one row per precinct and mode is enough for the rule
     by_mode = tally(official, [*keys, "mode"], "votes", "votes")
-    single = tally(filter_modes(by_mode, keys, "drop_mixed"), keys, "n_v", "votes")
+    single = tally(filter_modes(by_mode, keys, "drop_mixed", bounded=True), keys, "n_v", "votes")
     joined = checked_join(ballots, single, keys, "left", "one-to-one")
     # fixed values: labels of the figure
     shown = {"REPUBLICAN": "Trump Votes", "DEMOCRAT": "Biden Votes"}
