@@ -160,7 +160,7 @@ WHERE (state, county_name) IN (SELECT (state, county_name) FROM aligned WHERE vo
     ),
 )
 def coalesced_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    rows = aligned(spark, folder)
+    rows = written_once(aligned(spark, folder), "aligned")
     flags = C.classify(rows, "c").withColumn("release", C.release_flag())
     share = F.try_divide(F.col("votes_v") - F.col("votes_c"), F.col("votes_v"))
     return C.coalesced_comparison(rows, flags).drop("diff_pct").withColumn("diff_share", F.round(share, 6))
@@ -182,7 +182,7 @@ GROUP BY state, county_name""",
     ),
 )
 def traffic_light(spark: SparkSession, folder: str) -> DataFrame:
-    rows = aligned(spark, folder)
+    rows = written_once(aligned(spark, folder), "aligned")
     none = rows.select("state", "county_name").distinct().withColumn("release", F.lit(0))
     return C.traffic_light(C.coalesced_comparison(rows, none))
 
@@ -192,7 +192,7 @@ def traffic_light(spark: SparkSession, folder: str) -> DataFrame:
     with_returns("SELECT color2_h, color2_m, color2_c, count(*) AS n FROM county GROUP BY 1, 2, 3", *COUNTY),
 )
 def class_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    rows = aligned(spark, folder)
+    rows = written_once(aligned(spark, folder), "aligned")
     table = C.classify(rows, "h")
     for side in "mc":
         table = table.join(C.classify(rows, side), ["state", "county_name"], "left")
@@ -258,7 +258,7 @@ FROM (SELECT state, office, county_name, district, release,
     ),
 )
 def district_differences(spark: SparkSession, folder: str) -> DataFrame:
-    rows = aligned(spark, folder)
+    rows = written_once(aligned(spark, folder), "aligned")
     flags = C.classify(rows, "c").withColumn("release", C.release_flag())
     found = R.district_differences(C.coalesced_comparison(rows, flags))
     return found.withColumn("perc_diff", F.round("perc_diff", 6))
@@ -280,7 +280,7 @@ GROUP BY release, bin""",
     ),
 )
 def histogram(spark: SparkSession, folder: str) -> DataFrame:
-    rows = aligned(spark, folder)
+    rows = written_once(aligned(spark, folder), "aligned")
     flags = C.classify(rows, "c").withColumn("release", C.release_flag())
     bins = width_histogram(R.district_differences(C.coalesced_comparison(rows, flags)), "perc_diff", 0.002, ["release"])
     return bins.select("release", "bin", "n", F.round("share", 6).alias("share"))

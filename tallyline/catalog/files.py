@@ -19,7 +19,7 @@ from tallyline.functions.nulls import first_match
 from tallyline.operators import groups as G
 from tallyline.plans import cleaning as K
 from tallyline.plans import compare as C
-from tallyline.session import scratch_path
+from tallyline.session import scratch_path, written_once
 from tallyline.sources import delimited as D
 from tallyline.sources import layout as Y
 from tallyline.sources import nested as M
@@ -329,7 +329,7 @@ UNION ALL SELECT 'by_county', count(*), CAST(sum(uspres_votes_m) AS BIGINT) FROM
 )
 def comparison_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "compare")
-    rows = comparing.aligned(spark, folder)
+    rows = written_once(comparing.aligned(spark, folder), "aligned")
     county = C.county_table(rows)
     Y.write_comparison(rows, county, C.coalesced_comparison(rows, county), path)
     sums = {"by_cand": "votes_m", "by_cand_coalesced": "votes_c", "by_county": "uspres_votes_m"}

@@ -25,7 +25,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,15 +40,13 @@ DEAD = -1
 class _Stretch:
     """The rows of one group inside one index range, plus what surrounds them."""
 
-    def __init__(self, rows: pd.DataFrame, info: pd.Series) -> None:
-        ordered = rows.sort_values("idx", kind="stable")
-        self.steps = list(zip(ordered["idx"].tolist(), ordered["missing"].tolist()))
-        self.last = int(info["n_rows"])
-        self.complete = [i for i, missing in self.steps if not missing]
-        self.complete += [int(i) for i in info["ahead"]]
-        self.before_missing = None if pd.isna(info["before_missing"]) else int(info["before_missing"])
-        self.before_complete = None if pd.isna(info["before_complete"]) else int(info["before_complete"])
-        self.between = int(info["between"])
+    def __init__(self, rows: pa.Table, info: dict) -> None:
+        self.steps = sorted(zip(rows["idx"].to_pylist(), rows["missing"].to_pylist()))
+        self.last = info["n_rows"]
+        self.complete = [i for i, missing in self.steps if not missing] + info["ahead"]
+        self.before_missing = info["before_missing"]
+        self.before_complete = info["before_complete"]
+        self.between = info["between"]
 
     def run(self, count: int, origin: int | None, record: list | None = None) -> tuple[int, int | None, bool]:
         """Walk the rows from the state after the last missing row before them.
@@ -90,47 +88,56 @@ class _Stretch:
 
 
 _KEYS = "scope string, grp string, chunk long"
-_OUT = ["scope", "grp", "chunk"]
 
 
-def _transitions(rows: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
+def _table(rows: list[tuple], **columns: pa.DataType) -> pa.Table:
+    """Row tuples as an Arrow table of the given column types."""
+    values = list(zip(*rows)) if rows else [()] * len(columns)
+    return pa.table({n: pa.array(list(v), type=t) for (n, t), v in zip(columns.items(), values)})
+
+
+_GROUP = {"scope": pa.string(), "grp": pa.string()}
+
+
+def _transitions(rows: pa.Table, info: pa.Table) -> pa.Table:
     """For each reachable count before the stretch: the count after it."""
-    if rows.empty or info.empty:
-        return pd.DataFrame({c: [] for c in [*_OUT, "count_in", "count_out", "origin_out", "inherits"]})
-    stretch, head = _Stretch(rows, info.iloc[0]), info.iloc[0]
-    # a count above log2(place) + 2 cannot occur; with no missing row before, it is 0
-    most = 0 if stretch.before_missing is None else min(AHEAD - 1, stretch.before_missing.bit_length() + 2)
     made = []
-    for count in range(most + 1):
-        after, origin, inherits = stretch.run(count, None)
-        made.append((head["scope"], head["grp"], head["chunk"], count, after, origin, inherits))
-    frame = pd.DataFrame(made, columns=[*_OUT, "count_in", "count_out", "origin_out", "inherits"])
-    return frame.astype({"origin_out": "Int64"})
+    for head in info.to_pylist():  # exactly one
+        stretch = _Stretch(rows, head)
+        # a count above log2(place) + 2 cannot occur; with no missing row before, it is 0
+        most = 0 if stretch.before_missing is None else min(AHEAD - 1, stretch.before_missing.bit_length() + 2)
+        for count in range(most + 1):
+            made.append((head["scope"], head["grp"], head["chunk"], count, *stretch.run(count, None)))
+    return _table(
+        made, **_GROUP, chunk=pa.int64(), count_in=pa.int32(), count_out=pa.int32(), origin_out=pa.int64(), inherits=pa.bool_()
+    )
 
 
-def _chain(maps: pd.DataFrame) -> pd.DataFrame:
+def _chain(maps: pa.Table) -> pa.Table:
     """Chain the maps of one group in file order: the true state before each stretch."""
+    by_chunk: dict[int, dict[int, dict]] = {}
+    for row in maps.to_pylist():
+        by_chunk.setdefault(row["chunk"], {})[row["count_in"]] = row
     count, origin, made = 0, None, []
-    for chunk, rows in maps.sort_values(["chunk", "count_in"]).groupby("chunk", sort=True):
-        made.append((rows["scope"].iloc[0], rows["grp"].iloc[0], chunk, count, origin))
+    for chunk in sorted(by_chunk):
+        any_row = next(iter(by_chunk[chunk].values()))
+        made.append((any_row["scope"], any_row["grp"], chunk, count, origin))
         if count == DEAD:
             continue
-        row = rows[rows["count_in"] == count].iloc[0]
-        count = int(row["count_out"])
+        row = by_chunk[chunk][count]
+        count = row["count_out"]
         if not row["inherits"]:
-            origin = None if pd.isna(row["origin_out"]) else int(row["origin_out"])
-    frame = pd.DataFrame(made, columns=[*_OUT, "count_in", "origin_in"])
-    return frame.astype({"origin_in": "Int64"})
+            origin = row["origin_out"]
+    return _table(made, **_GROUP, chunk=pa.int64(), count_in=pa.int32(), origin_in=pa.int64())
 
 
-def _replay(rows: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
-    columns = ["scope", "grp", "idx", "origin"]
-    if rows.empty or info.empty:
-        return pd.DataFrame({c: [] for c in columns})
-    head, record = info.iloc[0], []
-    origin = None if pd.isna(head["origin_in"]) else int(head["origin_in"])
-    _Stretch(rows, head).run(int(head["count_in"]), origin, record)
-    return pd.DataFrame([(head["scope"], head["grp"], i, o) for i, o in record], columns=columns)
+def _replay(rows: pa.Table, info: pa.Table) -> pa.Table:
+    made = []
+    for head in info.to_pylist():  # exactly one
+        record: list[tuple] = []
+        _Stretch(rows, head).run(head["count_in"], head["origin_in"], record)
+        made = [(head["scope"], head["grp"], i, o) for i, o in record]
+    return _table(made, **_GROUP, idx=pa.int64(), origin=pa.int64())
 
 
 def pair_origins(rows: DataFrame, sizes: DataFrame, stretch: int = 1 << 16) -> DataFrame:
@@ -180,14 +187,14 @@ def pair_origins(rows: DataFrame, sizes: DataFrame, stretch: int = 1 << 16) -> D
     maps = (
         base.groupBy(*keys)
         .cogroup(info.toDF(*info.columns).groupBy(*keys))
-        .applyInPandas(_transitions, f"{_KEYS}, count_in int, count_out int, origin_out long, inherits boolean")
+        .applyInArrow(_transitions, f"{_KEYS}, count_in int, count_out int, origin_out long, inherits boolean")
     )
-    states = maps.groupBy("scope", "grp").applyInPandas(_chain, f"{_KEYS}, count_in int, origin_in long")
+    states = maps.groupBy("scope", "grp").applyInArrow(_chain, f"{_KEYS}, count_in int, origin_in long")
     started = info.join(states, keys)
     return (
         base.groupBy(*keys)
         .cogroup(started.toDF(*started.columns).groupBy(*keys))
-        .applyInPandas(_replay, "scope string, grp string, idx long, origin long")
+        .applyInArrow(_replay, "scope string, grp string, idx long, origin long")
     )
 
 

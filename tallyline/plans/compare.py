@@ -13,6 +13,7 @@ from tallyline.operators.groups import crosstab_margins, keep_group_any, rank_in
 from tallyline.operators.joins import stack_sides
 from tallyline.operators.reshape import to_wide
 from tallyline.rules import vocabulary as V
+from tallyline.session import written_once
 
 COUNTY = ("state", "county_name")
 CONTEST = (*COUNTY, "office", "district", "party_detailed")
@@ -37,24 +38,21 @@ def ranked_tally(
 ) -> DataFrame:
     """Votes per candidate and their rank inside (contest, party).
 
-    Ballots are counted before anything else, so what is ranked is one row per
-    candidate.  Choices without a candidate become parties of their own when
+    Rows are relabelled in place and counted in one pass, so what is ranked is
+    one row per candidate.  Choices without a candidate become parties of their own when
     ``relabel``; equal votes are ordered by name.
     """
-    counted = tally(rows, [*COUNTY, "office", "district", "candidate", "party_detailed", *extra_keys], "votes", weight)
     if relabel:
         own = is_in("candidate", ("UNDERVOTE", "WRITEIN", "OVERVOTE"))
-        counted = counted.withColumns(
+        rows = rows.withColumns(
             {
                 "party_detailed": F.when(own, F.col("candidate")).otherwise(F.col("party_detailed")),
                 "county_name": F.when(is_in("state", V.STATEWIDE_STATES), F.lit("STATEWIDE")).otherwise(F.col("county_name")),
             }
         )
-        counted = tally(
-            counted, [*COUNTY, "office", "district", "candidate", "party_detailed", *extra_keys], "votes", "votes"
-        )
-    kept = counted.where(is_in("party_detailed", parties))
-    return rank_in_group(kept, CONTEST, [F.desc("votes"), F.asc("candidate"), *[F.asc(k) for k in extra_keys]])
+    kept = rows.where(is_in("party_detailed", parties))
+    counted = tally(kept, [*COUNTY, "office", "district", "candidate", "party_detailed", *extra_keys], "votes", weight)
+    return rank_in_group(counted, CONTEST, [F.desc("votes"), F.asc("candidate"), *[F.asc(k) for k in extra_keys]])
 
 
 def second_team_tally(rows: DataFrame) -> DataFrame:
@@ -162,7 +160,11 @@ def county_table(
     parties: Sequence[str] = V.MAIN_PARTIES,
     sides: Sequence[str] = ("h", "m", "c"),
 ) -> DataFrame:
-    """One row per county: votes and differences by office, classes, release flag."""
+    """One row per county: votes and differences by office, classes, release flag.
+
+    The aligned candidates are read by every class, so they are written once.
+    """
+    aligned = written_once(aligned, "aligned")
     summed = (
         aligned.where(is_in("party_detailed", parties))
         .groupBy(*COUNTY, "office")
