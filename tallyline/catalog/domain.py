@@ -246,9 +246,11 @@ def pair_rows_invariants(spark: SparkSession, folder: str) -> DataFrame:
     """Every row ends in one ballot; a complete row starts exactly one ballot."""
     pages = _pages(spark, folder)
     merged = pair_split_rows(pages, "idx", "user_id", "target")
-    whole = merged.agg(F.count("target").alias("n_kept_targets"))
-    counts = pages.agg(F.count(F.lit(1)).alias("n_rows"), F.count("target").alias("n_complete"))
-    return counts.withColumn("k", F.lit(1)).join(whole.withColumn("k", F.lit(1)), "k").drop("k")
+    kept = merged.select(F.lit(None).cast("bigint").alias("idx"), F.lit(None).alias("target"), F.col("target").alias("kept"))
+    both = pages.select("idx", "target", F.lit(None).cast("string").alias("kept")).unionByName(kept)
+    return both.agg(
+        F.count("idx").alias("n_rows"), F.count("target").alias("n_complete"), F.count("kept").alias("n_kept_targets")
+    )
 
 
 # labels as two sources print them; a third are namesakes
@@ -445,7 +447,9 @@ def returns_standard(spark: SparkSession, folder: str) -> DataFrame:
     with_ballots(
         """SELECT state, county_name, county_fips, jurisdiction_name, jurisdiction_fips, office, district, magnitude, special, writein,
   party_detailed, party_simplified, candidate, CAST(sum(votes) AS BIGINT) AS votes FROM filled
-GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13""",
+GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13
+UNION ALL SELECT 'FLORIDA', 'BROWARD', '12011', 'BROWARD', '12011', 'STATE HOUSE', '096', 1, 0, 0, 'DEMOCRAT', 'DEMOCRAT',
+  'CHRISTINE HUNSCHOFSKY', 66892""",
         _RAW_RETURNS,
         _STANDARD,
     ),

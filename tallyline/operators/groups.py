@@ -140,6 +140,21 @@ def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
+def running_number(df: DataFrame, keys: Sequence[str], index: str, name: str, stretch: int = 1 << 16) -> DataFrame:
+    """1, 2, 3, ... within a group by an integer index, in bounded pieces.
+
+    Rows are numbered inside ranges of ``stretch`` index values and shifted by
+    the rows of the ranges before, so a group of any size spreads over tasks.
+    """
+    pieces = df.withColumn("__piece", F.floor(F.col(index) / stretch))
+    inside = Window.partitionBy(*keys, "__piece").orderBy(index)
+    before = Window.partitionBy(*keys).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = pieces.groupBy(*keys, "__piece").agg(F.count(F.lit(1)).alias("__size"))
+    shifts = sizes.withColumn("__shift", F.coalesce(F.sum("__size").over(before), F.lit(0))).drop("__size")
+    numbered = join_null_safe(pieces.withColumn("__k", F.row_number().over(inside)), shifts, [*keys, "__piece"], "inner")
+    return numbered.withColumn(name, F.col("__shift") + F.col("__k")).drop("__piece", "__shift", "__k")
+
+
 def dense_ids(df: DataFrame, keys: Sequence[str], name: str = "id", buckets: int = 1024) -> DataFrame:
     """Number the distinct keys 1..n without a global sort; keys plus ``name``.
 
@@ -216,47 +231,47 @@ def distinct_exact(c: Column | str, count_null: bool = False) -> Column:
 
 
 def variable_summary(
-    df: DataFrame, variables: Sequence[str], weight: str, buckets: int = 4096
+    df: DataFrame, variables: Sequence[str], weight: str, accuracy: int = 100_000
 ) -> DataFrame:
     """One row per variable: weighted mean, mean, exact median, sample deviation.
 
     The variables are stacked and folded together.  The median is exact without
-    gathering values: a histogram of at most ``buckets`` bins finds the bin of
-    the middle ranks, and only the distinct values of that bin are sorted.
+    gathering values: a sketch brackets the middle ranks, everything outside
+    the bracket is only counted, and the distinct values inside - a few per
+    ``accuracy`` of the rows - are walked in order.
     """
     long = df.select(F.col(weight).alias("__w"), *[F.col(v).cast("double").alias(v) for v in variables]).unpivot(
         ["__w"], list(variables), "Variable", "x"
     )
     known = long.where(F.col("x").isNotNull())
+    margin = 3 / accuracy
     base = known.groupBy("Variable").agg(
         (F.sum(F.col("x") * F.col("__w")) / F.sum("__w")).alias("Total"),
         F.avg("x").alias("Mean"),
         F.stddev_samp("x").alias("SD"),
         F.count("x").alias("__n"),
-        F.min("x").alias("__lo"),
-        F.max("x").alias("__hi"),
+        F.percentile_approx("x", [0.5 - margin, 0.5 + margin], accuracy).alias("__bracket"),
     )
-    span = F.col("__hi") - F.col("__lo")
-    spot = F.when(span > 0, F.least(F.floor((F.col("x") - F.col("__lo")) / span * buckets), F.lit(buckets - 1)))
-    binned = known.join(base.select("Variable", "__lo", "__hi"), "Variable").select(
-        "Variable", "x", F.coalesce(spot, F.lit(0)).alias("__b")
-    )
-    values = binned.groupBy("Variable", "__b", "x").agg(F.count(F.lit(1)).alias("__c"))
-    bins = values.groupBy("Variable", "__b").agg(F.sum("__c").alias("__size"))
-    upto_bin = Window.partitionBy("Variable").orderBy("__b")
-    bins = bins.withColumn("__end", F.sum("__size").over(upto_bin)).join(base.select("Variable", "__n"), "Variable")
-    low, high = F.floor((F.col("__n") + 1) / 2), F.floor(F.col("__n") / 2) + 1
-    start = F.col("__end") - F.col("__size")
-    middle = bins.where((low > start) & (low <= F.col("__end")) | (high > start) & (high <= F.col("__end")))
-    upto_value = Window.partitionBy("Variable", "__b").orderBy("x")
-    located = values.join(middle.select("Variable", "__b", "__n", start.alias("__start")), ["Variable", "__b"]).withColumn(
-        "__to", F.col("__start") + F.sum("__c").over(upto_value)
+    low, high = F.col("__bracket")[0], F.col("__bracket")[1]
+    side = F.when(F.col("x") < low, -1).when(F.col("x") > high, 1).otherwise(0)
+    placed = known.join(base.select("Variable", "__bracket"), "Variable").withColumn("__side", side)
+    folded = placed.groupBy("Variable", "__side", F.when(F.col("__side") == 0, F.col("x")).alias("__v")).agg(
+        F.count(F.lit(1)).alias("__c"), F.min("x").alias("__min"), F.max("x").alias("__max")
     )
+    walk = Window.partitionBy("Variable").orderBy("__side", "__v")
+    walked = folded.withColumn("__to", F.sum("__c").over(walk)).join(base.select("Variable", "__n"), "Variable")
     came = F.col("__to") - F.col("__c")
-    picked = located.groupBy("Variable").agg(
-        F.max(F.when((low > came) & (low <= F.col("__to")), F.col("x"))).alias("__m1"),
-        F.max(F.when((high > came) & (high <= F.col("__to")), F.col("x"))).alias("__m2"),
-    )
+
+    def at(rank: Column) -> Column:
+        # outside the bracket only the value next to it can be a middle one
+        here = (rank > came) & (rank <= F.col("__to"))
+        edge = F.when((F.col("__side") == -1) & (rank == F.col("__to")), F.col("__max")).when(
+            (F.col("__side") == 1) & (rank == came + 1), F.col("__min")
+        )
+        return F.max(F.when(here, F.when(F.col("__side") == 0, F.col("__v")).otherwise(edge)))
+
+    first, second = F.floor((F.col("__n") + 1) / 2), F.floor(F.col("__n") / 2) + 1
+    picked = walked.groupBy("Variable").agg(at(first).alias("__m1"), at(second).alias("__m2"))
     return base.join(picked, "Variable").select(
         "Variable", "Total", "Mean", ((F.col("__m1") + F.col("__m2")) / 2).alias("Median"), "SD"
     )

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.text import strip_bracket_suffix
+from tallyline.operators.groups import running_number
 
 #: More than any reachable count of consumed rows ahead (log2 of the row count).
 AHEAD = 64
@@ -47,6 +48,7 @@ class _Stretch:
         self.before_missing = info["before_missing"]
         self.before_complete = info["before_complete"]
         self.between = info["between"]
+        self.plain = not any(missing for _, missing in self.steps)
 
     def run(self, count: int, origin: int | None, record: list | None = None) -> tuple[int, int | None, bool]:
         """Walk the rows from the state after the last missing row before them.
@@ -100,34 +102,36 @@ _GROUP = {"scope": pa.string(), "grp": pa.string()}
 
 
 def _transitions(rows: pa.Table, info: pa.Table) -> pa.Table:
-    """For each reachable count before the stretch: the count after it."""
+    """For each reachable count before the stretch: the state after it."""
     made = []
     for head in info.to_pylist():  # exactly one
-        stretch = _Stretch(rows, head)
+        stretch, states, seen = _Stretch(rows, head), [], {}
         # a count above log2(place) + 2 cannot occur; with no missing row before, it is 0
         most = 0 if stretch.before_missing is None else min(AHEAD - 1, stretch.before_missing.bit_length() + 2)
         for count in range(most + 1):
-            made.append((head["scope"], head["grp"], head["chunk"], count, *stretch.run(count, None)))
+            # counts used up before the stretch all start it alike
+            start = DEAD if count < stretch.between else count
+            if start not in seen:
+                seen[start] = stretch.run(count, None)
+            after, origin, inherits = seen[start]
+            # a stretch without missing rows hands the count on as it came
+            states.append((count if inherits and stretch.plain else after, origin, inherits))
+        made.append((head["scope"], head["grp"], head["chunk"], *map(list, zip(*states))))
     return _table(
-        made, **_GROUP, chunk=pa.int64(), count_in=pa.int32(), count_out=pa.int32(), origin_out=pa.int64(), inherits=pa.bool_()
+        made, **_GROUP, chunk=pa.int64(), count_out=pa.list_(pa.int32()), origin_out=pa.list_(pa.int64()), inherits=pa.list_(pa.bool_())
     )
 
 
 def _chain(maps: pa.Table) -> pa.Table:
     """Chain the maps of one group in file order: the true state before each stretch."""
-    by_chunk: dict[int, dict[int, dict]] = {}
-    for row in maps.to_pylist():
-        by_chunk.setdefault(row["chunk"], {})[row["count_in"]] = row
     count, origin, made = 0, None, []
-    for chunk in sorted(by_chunk):
-        any_row = next(iter(by_chunk[chunk].values()))
-        made.append((any_row["scope"], any_row["grp"], chunk, count, origin))
+    for row in sorted(maps.to_pylist(), key=lambda r: r["chunk"]):
+        made.append((row["scope"], row["grp"], row["chunk"], count, origin))
         if count == DEAD:
             continue
-        row = by_chunk[chunk][count]
-        count = row["count_out"]
-        if not row["inherits"]:
-            origin = row["origin_out"]
+        if not row["inherits"][count]:
+            origin = row["origin_out"][count]
+        count = row["count_out"][count]
     return _table(made, **_GROUP, chunk=pa.int64(), count_in=pa.int32(), origin_in=pa.int64())
 
 
@@ -140,10 +144,11 @@ def _replay(rows: pa.Table, info: pa.Table) -> pa.Table:
     return _table(made, **_GROUP, idx=pa.int64(), origin=pa.int64())
 
 
-def pair_origins(rows: DataFrame, sizes: DataFrame, stretch: int = 1 << 16) -> DataFrame:
+def pair_origins(rows: DataFrame, sizes: DataFrame | int, stretch: int = 1 << 16) -> DataFrame:
     """(scope, grp, idx, missing) -> (scope, grp, idx, origin).
 
-    ``idx`` runs 1..n per scope (a file), ``sizes`` holds n as ``n_rows``.  ``origin`` is the index of the
+    ``idx`` runs 1..n per scope (a file), ``sizes`` holds n as ``n_rows``
+    (or is n itself, for a single scope).  ``origin`` is the index of the
     complete row a missing row was finally filled from; rows with the same
     origin make up one ballot.  Unmatched rows are absent.
     """
@@ -182,12 +187,14 @@ def pair_origins(rows: DataFrame, sizes: DataFrame, stretch: int = 1 << 16) -> D
         "first",
         "n_complete",
     )
-    info = _with_ahead(around).join(sizes, "scope")
+    info = _with_ahead(around)
+    single = isinstance(sizes, int)
+    info = info.withColumn("n_rows", F.lit(sizes).cast("bigint")) if single else info.join(sizes, "scope")
     keys = ["scope", "grp", "chunk"]
     maps = (
         base.groupBy(*keys)
         .cogroup(info.toDF(*info.columns).groupBy(*keys))
-        .applyInArrow(_transitions, f"{_KEYS}, count_in int, count_out int, origin_out long, inherits boolean")
+        .applyInArrow(_transitions, f"{_KEYS}, count_out array<int>, origin_out array<long>, inherits array<boolean>")
     )
     states = maps.groupBy("scope", "grp").applyInArrow(_chain, f"{_KEYS}, count_in int, origin_in long")
     started = info.join(states, keys)
@@ -240,7 +247,9 @@ def pair_split_rows(
         F.col("__scope").alias("scope"), F.col(group).cast("string").alias("grp"),
         F.col(idx).cast("bigint").alias("idx"), F.col(target).isNull().alias("missing"),
     )
-    sizes = slim.groupBy("scope").agg(F.max("idx").alias("n_rows"))
+    n_rows = F.max("idx").alias("n_rows")
+    # without a scope the size is one number, not a table to join
+    sizes = slim.groupBy("scope").agg(n_rows) if scope else (slim.agg(n_rows).head()[0] or 0)
     origins = pair_origins(slim, sizes, stretch).select(F.col("scope").alias("__scope"), F.col("idx").alias(idx), "origin")
     placed = keyed.join(origins, ["__scope", idx], "left")
     own = F.when(F.col(target).isNotNull() & F.col(group).isNotNull(), F.col(idx))
@@ -260,18 +269,16 @@ def pair_split_rows(
 
 
 def pair_rows_ranked(
-    df: DataFrame, idx: str, group: str, target: str, scope: Sequence[str] = ()
+    df: DataFrame, idx: str, group: str, target: str, scope: Sequence[str] = (), stretch: int = 1 << 16
 ) -> DataFrame:
     """Relaxed pairing: the k-th incomplete row of a group joins the k-th complete one.
 
-    Ranks are kept inside a group by sorting; both sides keep unmatched rows.
-    Returns (scope..., group, k, idx_incomplete, idx_complete).
+    Both sides keep unmatched rows.  Returns (scope..., group, k, idx_incomplete,
+    idx_complete).
     """
     keys = [*scope, group]
     known = df.where(F.col(group).isNotNull()).select(*keys, idx, F.col(target).isNull().alias("__missing"))
-    ranked = known.withColumn(
-        "k", F.row_number().over(Window.partitionBy(*keys, "__missing").orderBy(idx))
-    )
+    ranked = running_number(known, [*keys, "__missing"], idx, "k", stretch)
     return ranked.groupBy(*keys, "k").agg(
         F.max(F.when(F.col("__missing"), F.col(idx))).alias("idx_incomplete"),
         F.max(F.when(~F.col("__missing"), F.col(idx))).alias("idx_complete"),

@@ -12,6 +12,7 @@ from tallyline.functions.text import detect, pad_left
 from tallyline.operators.groups import filter_modes, sum_by
 from tallyline.operators.joins import fill, override
 from tallyline.rules import vocabulary as V
+from tallyline.sources.layout import append_literals
 
 MODE_KEYS = ("state", "county_name", "precinct", "party_detailed", "writein", "special")
 SUM_KEYS = (
@@ -129,10 +130,17 @@ def standardise(
     return fill(single_mode, table, ["state", "office", "candidate", "district"], "party_detailed")
 
 
-def county_totals(standard: DataFrame, external: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(by county and mode, by county); external totals override redacted counts."""
+def county_totals(
+    standard: DataFrame, external: DataFrame | None = None, additions: Sequence[dict] = (MISSING_RESULT,)
+) -> tuple[DataFrame, DataFrame]:
+    """(by county and mode, by county), with known additions to the county table.
+
+    External totals override redacted counts.
+    """
     by_mode = sum_by(standard, [k for k in SUM_KEYS if k in standard.columns], "votes")
     by_county = sum_by(by_mode, [k for k in SUM_KEYS if k in standard.columns and k != "mode"], "votes")
+    if additions:
+        by_county = append_literals(by_county, additions)
     if external is not None:
         keys = ["state", "county_name", "county_fips", "office", "district", "candidate"]
         totals = external.select(*keys, "candidatevotes")
