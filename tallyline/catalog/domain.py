@@ -255,9 +255,11 @@ def pair_rows_invariants(spark: SparkSession, folder: str) -> DataFrame:
 
 # labels as two sources print them; a third are namesakes
 _PRECINCT_SIDES = """cvr_rows AS (SELECT state, county_name, upper('Ward ' || precinct) AS label, office, district,
-    party_detailed AS party, count(*) AS n FROM ballots WHERE party_detailed IN ('DEMOCRAT', 'REPUBLICAN') GROUP BY 1, 2, 3, 4, 5, 6),
-  ret_parts AS (SELECT state, county_name, mode, office, district, party_detailed AS party, precinct AS p,
-    CAST(substr(precinct, 2) AS INTEGER) AS k, count(*) AS votes FROM ballots
+    party_detailed AS party, count(*) * (CAST(substr(precinct, 2) AS INTEGER) * CAST(substr(precinct, 2) AS INTEGER) + 1) AS n
+    FROM ballots WHERE party_detailed IN ('DEMOCRAT', 'REPUBLICAN') GROUP BY state, county_name, precinct, office, district, party_detailed),
+  ret_parts AS (SELECT state, county_name, CASE WHEN mode = 'TOTAL' AND precinct <> 'P7' THEN 'MAIL' ELSE mode END AS mode, office, district, party_detailed AS party, precinct AS p,
+    CAST(substr(precinct, 2) AS INTEGER) AS k, count(*) * (CAST(substr(precinct, 2) AS INTEGER) * CAST(substr(precinct, 2) AS INTEGER) + 1)
+    + CAST(substr(precinct, 2) AS INTEGER) % 4 AS votes FROM ballots
     WHERE party_detailed IN ('DEMOCRAT', 'REPUBLICAN') GROUP BY 1, 2, 3, 4, 5, 6, 7),
   ret_named AS (SELECT *, CASE WHEN k % 3 = 0 THEN 'Ward ' || p WHEN k % 3 = 1 THEN 'Wrad ' || p || 'a' ELSE 'Precinct ' || p END
     AS label FROM ret_parts),
@@ -278,17 +280,21 @@ _PRECINCT_SIDES = """cvr_rows AS (SELECT state, county_name, upper('Ward ' || pr
 
 def _sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     rows = ballots(spark, folder)
+    by_mail = (F.col("mode") == "TOTAL") & (F.col("precinct") != "P7")
     official = G.tally(
-        rows, ["state", "county_name", "precinct", "mode", "office", "district", "party_detailed"], "votes"
+        rows.withColumn("mode", F.when(by_mail, "MAIL").otherwise(F.col("mode"))), ["state", "county_name", "precinct", "mode", "office", "district", "party_detailed"], "votes"
     ).withColumnRenamed("party_detailed", "party_simplified")
-    k = F.substring("precinct", 2, 9).cast("int") % 3
+    number = F.substring("precinct", 2, 9).cast("int")
+    k, size = number % 3, number * number + 1  # precincts of very different size
     printed = first_match(
         [(k == 0, F.concat(F.lit("Ward "), "precinct")), (k == 1, F.concat(F.lit("Wrad "), "precinct", F.lit("a")))],
         F.concat(F.lit("Precinct "), "precinct"),
     )
+    counted = X.ballot_votes(rows, F.upper(F.concat(F.lit("Ward "), "precinct")))
+    voters = F.regexp_replace("label", "[^0-9]", "").cast("int")
     return (
-        X.ballot_votes(rows, F.upper(F.concat(F.lit("Ward "), "precinct"))),
-        X.returns_votes(official, printed),
+        counted.withColumn("n", F.col("n") * (voters * voters + 1)),
+        X.returns_votes(official.withColumn("votes", F.col("votes") * size + number % 4), printed),
     )
 
 

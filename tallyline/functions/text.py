@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.functions.nulls import col, is_in
+from tallyline.shipping import by_value
+
+by_value(__name__)
 
 
 def pad_left(c: Column | str, width: int, fill: str = "0") -> Column:

@@ -31,6 +31,9 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.text import strip_bracket_suffix
 from tallyline.operators.groups import running_number
+from tallyline.shipping import by_value
+
+by_value(__name__)
 
 #: More than any reachable count of consumed rows ahead (log2 of the row count).
 AHEAD = 64

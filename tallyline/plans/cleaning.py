@@ -20,7 +20,7 @@ from tallyline.operators.columns import (
     add_literals, add_missing, apply_across, drop_known, rename, rename_aliases, select_optional,
 )
 from tallyline.operators.groups import first_per_key, with_group_stats
-from tallyline.operators.joins import join_null_safe, metadata_wins
+from tallyline.operators.joins import metadata_wins
 from tallyline.plans.parties import (
     final_text, party_from_marks, president_name, president_party, unify_writein, without_noise,
 )
@@ -223,11 +223,10 @@ def vote_partition(marks: DataFrame, keys: Sequence[str] = ("cvr_id",), contest:
     """
     group = [*keys, contest]
     valid = F.col("isVote") & ~F.col("isAmbiguous")
-    stats = with_group_stats(marks, group, __valid=F.bool_or(valid))
     # the ambiguity rule looks only at marks of undervoted contests
+    blank_marks = F.when(F.col("undervotes") > 0, F.col("isAmbiguous"))
+    flagged = with_group_stats(marks, group, __valid=F.bool_or(valid), __all=F.bool_and(blank_marks))
     under_row = ~F.col("__valid") & (F.col("undervotes") > 0)
-    ambiguous = marks.where(F.col("undervotes") > 0).groupBy(*group).agg(F.bool_and("isAmbiguous").alias("__all"))
-    flagged = join_null_safe(stats, ambiguous, group, "left")
     kept_mark = under_row & (~F.col("isAmbiguous") | F.coalesce(F.col("__all"), F.lit(False)))
     over_row = ~F.col("__valid") & (F.col("overvotes") > 0)
     labels = F.array_compact(

@@ -19,6 +19,10 @@ AREA = ("state", "county_name")
 CONTEST = ("office", "district", "party")
 #: Widths of the vote bands candidates are looked up in, finest first.
 BANDS = (1, 8, 64, 512, 4096, 32768, 262144, 1 << 62)
+#: Widths for the votes of a whole label: powers of two.
+SIZE_BANDS = tuple(1 << k for k in range(48))
+#: A contest is core where at least this share of a county's returns labels has it.
+CORE_SHARE = 0.9
 
 
 def _apply_steps(label: Column, steps: Sequence[tuple]) -> Column:
@@ -101,10 +105,11 @@ def match_precincts(ballots: DataFrame, returns: DataFrame, method: str = "osa")
     without any the pairs of least score.
 
     The pairs of a county are never spelled out.  Namesakes come from an equi
-    join.  For the rest, a few candidates per contest with votes in the same
-    band give an upper bound of the least score; no pair below that bound can
-    differ by more in any contest it shares, so a banded equi join finds every
-    pair that could win, and only those are scored.  Both inputs are read by
+    join.  For the rest, one candidate with similar votes gives an upper bound
+    of the least score.  A pair at or below it must come within the bound -
+    within a fraction of it, where several contests are surely shared - in some
+    contest, so a banded equi join finds every pair that could win, and only
+    those are scored.  Both inputs are read by
     several of these steps, so they are written once first.
     """
     ballots, returns = written_once(ballots, "precincts-cvr"), written_once(returns, "precincts-returns")
@@ -148,43 +153,65 @@ def _near_pairs(left: DataFrame, right: DataFrame, method: str) -> DataFrame:
     """All pairs whose score may be the least of their ballot label (a superset)."""
     contest = [*AREA, *CONTEST]
 
-    def band(votes: str) -> Column:
+    def band(votes: str, widths: Sequence[int] = BANDS) -> Column:
         return F.explode(
-            F.array(*[F.struct(F.lit(w).alias("w"), F.floor(F.col(votes) / F.lit(w)).alias("b")) for w in BANDS])
+            F.array(*[F.struct(F.lit(w).alias("w"), F.floor(F.col(votes) / F.lit(w)).alias("b")) for w in widths])
         )
 
-    # one returns label per contest, band width and band: a bound needs no more
-    sample = (
-        right.select(*contest, "y", band("v").alias("k"))
-        .groupBy(*contest, "k")
-        .agg(F.min("y").alias("y"))
+    def guess(x: DataFrame, y: DataFrame, keys: Sequence[str], votes: str, widths: Sequence[int]) -> DataFrame:
+        """Per ballot label the returns label it meets in the narrowest band."""
+        sample = y.select(*keys, "y", band(votes, widths).alias("k")).groupBy(*keys, "k").agg(F.min("y").alias("y"))
+        met = x.select(*keys, "x", band(votes, widths).alias("k")).join(sample, [*keys, "k"])
+        return met.groupBy(*AREA, "x").agg(F.min(F.struct("k.w", "y")).alias("best")).select(*AREA, "x", "best.y")
+
+    # two guesses bound the least score: a label of similar size, and - since that
+    # one may share no contest - a label met in some contest
+    sizes = (
+        left.groupBy(*AREA, "x").agg(F.sum("n").alias("size")),
+        right.groupBy(*AREA, "y").agg(F.sum("v").alias("size")),
     )
-    guesses = (
-        left.select(*contest, "x", band("n").alias("k")).join(sample, [*contest, "k"]).select(*AREA, "x", "y").distinct()
+    guesses = guess(*sizes, AREA, "size", SIZE_BANDS).unionByName(
+        guess(left, right.withColumnRenamed("v", "n"), contest, "n", BANDS)
+    ).distinct()
+    bound = _score(guesses, left, right, method).groupBy(*AREA, "x").agg(
+        F.min(F.col("discrepancy") + F.col("name_ed_dist")).alias("bound")
     )
-    bound = (
-        _score(guesses, left, right, method)
-        .groupBy(*AREA, "x")
-        .agg(F.min(F.col("discrepancy") + F.col("name_ed_dist")).alias("bound"))
+    # a returns label that has every core contest shares all of x's core contests,
+    # so one of those differs by at most the bound over their number
+    labels = right.groupBy(*AREA).agg(F.count_distinct("y").alias("n_labels"))
+    core = (
+        right.groupBy(*contest).agg(F.count(F.lit(1)).alias("n_with")).join(labels, list(AREA))
+        .where(F.col("n_with") >= F.lit(CORE_SHARE) * F.col("n_labels"))
+        .select(*contest, F.lit(True).alias("core"))
     )
-    # the narrowest width not below the bound: at most three bands cover the range
-    width = F.coalesce(*[F.when(F.lit(w) >= F.col("bound"), F.lit(w)) for w in BANDS])
+    n_core = core.groupBy(*AREA).agg(F.count(F.lit(1)).alias("n_core"))
+    marked = right.join(core, contest, "left")
+    whole = (
+        marked.groupBy(*AREA, "y").agg(F.count("core").alias("has")).join(n_core, list(AREA))
+        .where("has = n_core").select(*AREA, "y", F.lit(True).alias("whole"))
+    )
+    offered = marked.join(whole, [*AREA, "y"], "left").select(
+        *contest, "y", "v", F.coalesce("whole", F.lit(False)).alias("whole"), band("v").alias("k")
+    ).select(*contest, "y", "v", "whole", "k.w", "k.b")
+    known = left.join(core, contest, "left")
+    share = known.groupBy(*AREA, "x").agg(F.count("core").alias("n_core")).join(bound, [*AREA, "x"])
+    sides = F.explode(F.array(F.lit(True), F.lit(False))).alias("whole")
+    by_core = F.col("whole") & (F.col("n_core") > 0)
     wanted = (
-        left.join(bound, [*AREA, "x"])
-        .withColumn("w", width)
-        .withColumn(
-            "b",
-            F.explode(
-                F.sequence(
-                    F.floor((F.col("n") - F.col("bound")) / F.col("w")), F.floor((F.col("n") + F.col("bound")) / F.col("w"))
-                )
-            ),
-        )
+        known.join(share, [*AREA, "x"]).select("*", sides)
+        .where(~by_core | F.col("core"))
+        .withColumn("parts", F.when(by_core, F.col("n_core")).otherwise(1))
+        .withColumn("reach", F.floor(F.col("bound") / F.col("parts")))
     )
-    offered = right.select(*contest, "y", "v", band("v").alias("k")).select(*contest, "y", "v", "k.w", "k.b")
+    # the narrowest width not below the reach: at most three bands cover the range
+    width = F.coalesce(*[F.when(F.lit(w) >= F.col("reach"), F.lit(w)) for w in BANDS])
+    low, high = (F.floor((F.col("n") + sign * F.col("reach")) / F.col("w")) for sign in (-1, 1))
+    spread = wanted.withColumn("w", width).withColumn("b", F.explode(F.sequence(low, high)))
     # names that differ in length by k are at least k edits apart
-    gap = F.abs(F.col("n") - F.col("v")) + F.abs(F.length(F.upper("x")) - F.length(F.upper("y")))
-    return wanted.join(offered, [*contest, "w", "b"]).where(gap <= F.col("bound")).select(*AREA, "x", "y").distinct()
+    spelled = F.abs(F.length(F.upper("x")) - F.length(F.upper("y")))
+    gap = F.col("parts") * F.abs(F.col("n") - F.col("v")) + spelled
+    found = spread.join(offered, [*contest, "whole", "w", "b"]).where(gap <= F.col("bound"))
+    return found.select(*AREA, "x", "y").distinct()
 
 
 def _score(pairs: DataFrame, left: DataFrame, right: DataFrame, method: str) -> DataFrame:
