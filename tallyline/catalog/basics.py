@@ -236,7 +236,7 @@ def json_marks(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "transmute",
-    "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 0.5 ELSE 1.0 END * 4 AS weight FROM orders",
+    "SELECT o_orderkey, CAST(CASE WHEN o_orderstatus = 'F' THEN 0.5 ELSE 1.0 END * 4 AS DOUBLE) AS weight FROM orders",
 )
 def transmute(spark: SparkSession, folder: str) -> DataFrame:
     factor = P.scale_factor(F.col("o_orderstatus") == "F", 0.5)
@@ -311,7 +311,7 @@ def text_fixups(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "accents_removed",
-    """SELECT doc_id, length(strip_accents(text)) AS n_chars, md5(strip_accents(text)) AS digest FROM documents
+    """SELECT doc_id, CAST(length(strip_accents(text)) AS INTEGER) AS n_chars, md5(strip_accents(text)) AS digest FROM documents
 WHERE lang IN ('es', 'fr', 'de', 'pt', 'it', 'en')""",
 )
 def accents_removed(spark: SparkSession, folder: str) -> DataFrame:
@@ -322,7 +322,7 @@ def accents_removed(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "ascii_only",
-    "SELECT doc_id, length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) AS n_ascii FROM documents",
+    "SELECT doc_id, CAST(length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) AS INTEGER) AS n_ascii FROM documents",
 )
 def ascii_only(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", F.length(T.drop_non_ascii("text")).alias("n_ascii"))

@@ -22,7 +22,7 @@ _KEYS = "state, county_name, office, district, party_detailed"
 def _side(name: str, source: str, where: str, votes: str) -> str:
     total = "CAST(sum(qty) AS BIGINT)" if votes == "qty" else "CAST(sum(votes) AS BIGINT)"
     return f"""{name} AS (
-  SELECT *, row_number() OVER (PARTITION BY {_KEYS} ORDER BY votes DESC, candidate) AS cand_rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY {_KEYS} ORDER BY votes DESC, candidate) AS INTEGER) AS cand_rank FROM (
     SELECT {_KEYS}, candidate, {total} AS votes FROM {source} WHERE {where} GROUP BY {_KEYS}, candidate) t)"""
 
 

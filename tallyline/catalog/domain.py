@@ -271,7 +271,7 @@ _PRECINCT_SIDES = """cvr_rows AS (SELECT state, county_name, upper('Ward ' || pr
     string_agg(DISTINCT c.office, '|' ORDER BY c.office) AS offices
     FROM cvr_rows c JOIN ret_rows r ON c.state = r.state AND c.county_name = r.county_name AND c.office = r.office
       AND c.district = r.district AND c.party = r.party GROUP BY 1, 2, 3, 4),
-  scored AS (SELECT *, levenshtein(upper(x), upper(y)) AS dist FROM pairs),
+  scored AS (SELECT *, CAST(levenshtein(upper(x), upper(y)) AS INTEGER) AS dist FROM pairs),
   kept AS (SELECT * FROM (SELECT *, min(dist) OVER w AS least_dist, min(discrepancy + dist) OVER w AS least FROM scored
     WINDOW w AS (PARTITION BY state, county_name, x)) t
     WHERE dist = 0 OR (least_dist > 0 AND discrepancy + dist = least)),
@@ -740,8 +740,8 @@ def second_team_records(spark: SparkSession, folder: str) -> DataFrame:
     with_returns(
         """SELECT state, office, n, total_voters, CASE WHEN f > 0 AND f < 0.005 THEN 0.01 ELSE f END AS frac_covered FROM (
   SELECT r.state, r.office, c.n, r.total_voters, round(c.n / r.total_voters, 6) AS f
-  FROM (SELECT state, office, sum(votes) * CASE WHEN office = 'STATE HOUSE' THEN 0.5 ELSE 1.0 END AS total_voters FROM returns GROUP BY state, office) r
-  LEFT JOIN (SELECT state, office, count(*) * CASE WHEN office = 'STATE HOUSE' THEN 0.5 ELSE 1.0 END AS n
+  FROM (SELECT state, office, sum(votes) * CASE WHEN office = 'STATE HOUSE' THEN 5e-1 ELSE 1e0 END AS total_voters FROM returns GROUP BY state, office) r
+  LEFT JOIN (SELECT state, office, count(*) * CASE WHEN office = 'STATE HOUSE' THEN 5e-1 ELSE 1e0 END AS n
              FROM ballots WHERE state <> 'ASIA' AND choice_no < 4 AND candidate <> 'BRAND#1' GROUP BY state, office) c
   ON r.state = c.state AND r.office = c.office) t"""
     ),
@@ -886,3 +886,37 @@ def census_figures(spark: SparkSession, folder: str) -> DataFrame:
     return figures.select(
         "c_custkey", F.round("prop_urb", 4).alias("prop_urb"), F.round("prop_own_occ", 4).alias("prop_own_occ"), "county"
     )
+
+
+@query(
+    "census_comparison",
+    """WITH figures AS (SELECT CAST(c_custkey % 100 + 1 AS DOUBLE) AS tot, (c_custkey % 7 + 1) / (c_custkey % 100 + 1) * 100.0 AS prop_urb,
+    CAST(c_nationkey AS DOUBLE) / (c_custkey % 100 + 1) * 100 AS prop_white, c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') AS ours
+  FROM customer)
+"""
+    + " UNION ALL ".join(
+        f"""SELECT '{label}' AS "Variable",
+  round(sum({v} * tot) FILTER (WHERE ours) / sum(tot) FILTER (WHERE ours), 4) AS "Total_OurData", round(avg({v}) FILTER (WHERE ours), 4) AS "Mean_OurData",
+  round(median({v}) FILTER (WHERE ours), 4) AS "Median_OurData", round(stddev_samp({v}) FILTER (WHERE ours), 4) AS "SD_OurData",
+  round(sum({v} * tot) / sum(tot), 4) AS "Total_National", round(avg({v}), 4) AS "Mean_National",
+  round(median({v}), 4) AS "Median_National", round(stddev_samp({v}), 4) AS "SD_National" FROM figures"""
+        for v, label in (("prop_urb", "Percent Urban"), ("prop_white", "Percent White"))
+    ),
+)
+def census_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as counties; those with a finished order are in the release."""
+    customers = table(spark, folder, "customer")
+    pop = (F.col("c_custkey") % 100 + 1).cast("double")
+    urban, white = (F.col("c_custkey") % 7 + 1).cast("double"), F.col("c_nationkey").cast("double")
+    cells = {
+        "P1_001N": pop, "P2_001N": pop, "P3_001N": pop, "P4_001N": pop, "P12_001N": pop, "P2_002N": urban, "P3_002N": white,
+        **{c: F.lit(1.0) for c in ("H4_002N", "H4_003N", "P3_003N", "P4_003N", *R.UNDER_18, *R.OVER_65)},
+    }
+    name = F.concat(F.col("c_custkey").cast("string"), F.lit(" County, Ohio"))
+    key = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
+    census = R.census_figures(customers.select(key.alias("GEOID"), name.alias("NAME"), *[c.alias(n) for n, c in cells.items()]))
+    codes = customers.select(F.lit("OHIO").alias("state"), F.col("c_name").alias("county_name"), key.alias("county_fips"))
+    finished = table(spark, folder, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    release = customers.join(finished, "c_custkey", "left_semi").select(F.lit("OHIO").alias("state"), F.col("c_name").alias("county_name"))
+    both = R.census_comparison(release, codes, census).where(F.col("Variable").isin("Percent Urban", "Percent White"))
+    return both.select("Variable", *[F.round(c, 4).alias(c) for c in both.columns if c != "Variable"])

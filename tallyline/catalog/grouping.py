@@ -154,7 +154,7 @@ def sorted_concat(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "cond_ratio_rollup",
     with_ballots(
-        """SELECT CASE WHEN grouping(state) = 1 THEN 'All states' ELSE state END AS state, grouping(state) AS is_total,
+        """SELECT CASE WHEN grouping(state) = 1 THEN 'All states' ELSE state END AS state, CAST(grouping(state) AS INTEGER) AS is_total,
   round(sum(CASE WHEN party_detailed = 'DEMOCRAT' THEN 1 ELSE 0 END) /
         sum(CASE WHEN party_detailed IN ('DEMOCRAT', 'REPUBLICAN') THEN 1 ELSE 0 END), 6) AS dem_prez,
   CAST(sum(CASE WHEN party_detailed IN ('DEMOCRAT', 'REPUBLICAN', 'LIBERTARIAN') THEN 1 ELSE 0 END) AS BIGINT) AS n_voters,
@@ -365,7 +365,7 @@ def dense_group_rows(spark: SparkSession, folder: str) -> DataFrame:
     "top_candidates",
     with_ballots(
         """SELECT state, office, party_detailed, candidate, votes, cand_rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY state, office, party_detailed ORDER BY votes DESC, candidate) AS cand_rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY state, office, party_detailed ORDER BY votes DESC, candidate) AS INTEGER) AS cand_rank
   FROM (SELECT state, office, party_detailed, candidate, CAST(sum(qty) AS BIGINT) AS votes FROM ballots
         GROUP BY state, office, party_detailed, candidate) t) u WHERE cand_rank <= 2"""
     ),
