@@ -31,6 +31,14 @@ def holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+def any_of(conditions: list[Column]) -> Column:
+    """Disjunction of many conditions as a balanced tree, so it nests shallowly."""
+    if len(conditions) == 1:
+        return conditions[0]
+    half = len(conditions) // 2
+    return any_of(conditions[:half]) | any_of(conditions[half:])
+
+
 def if_else(condition: Column, yes, no) -> Column:
     """Vector if-else: an unknown condition gives null, not the else branch."""
     return F.when(condition, yes).when(~condition, no)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.nulls import col, first_match, is_in
+from tallyline.functions.nulls import any_of, col, first_match, holds, is_in
 from tallyline.functions.text import (
     detect, drop_non_ascii, extract, null_tokens, pad_left, remove_all, squish,
 )
@@ -70,8 +70,8 @@ def party_lookup(raw: DataFrame, candidate: str = "candidate") -> DataFrame:
 
 
 def is_blank_cell(cell: Column | str) -> Column:
-    """A cell that shows no vote: 0, redacted, or an undervote label."""
-    return is_in(cell, ("0", *V.REDACTED_CELLS)) | F.coalesce(detect(cell, "undervote"), F.lit(False))
+    """A cell that shows no vote: 0, redacted, or an undervote label; null if missing."""
+    return col(cell).isin("0", *V.REDACTED_CELLS) | detect(cell, "undervote")
 
 
 def choice_from_cell(cell: Column | str, named: Column | str, voted: Column) -> Column:
@@ -93,7 +93,7 @@ def infer_undervotes(
 
     Adds ``voted`` and ``candidate``; null keys form their own group.
     """
-    flagged = with_group_stats(long, list(keys), voted=F.bool_or(~is_blank_cell(cell)))
+    flagged = with_group_stats(long, list(keys), voted=F.bool_or(holds(~is_blank_cell(cell))))
     return flagged.withColumn("candidate", choice_from_cell(cell, named, F.col("voted")))
 
 
@@ -120,15 +120,8 @@ def unpivot_ballots(
         for entry in named.get(cell, ()):
             contests.setdefault((entry[at["office"]], entry[at["district"]]), []).append(cell)
     order = {contest: k for k, contest in enumerate(contests)}
-    voted = F.array(
-        *[
-            # a missing cell is no row of the long table, so it decides nothing
-            F.exists(
-                F.array(*[F.col(f"`{c}`") for c in columns]), lambda v: v.isNotNull() & ~is_blank_cell(v)
-            )
-            for columns in contests.values()
-        ]
-    )
+    # a missing cell is no row of the long table, so it decides nothing
+    voted = F.array(*[any_of([holds(~is_blank_cell(f"`{c}`")) for c in columns]) for columns in contests.values()])
     literal = wide.sparkSession.createDataFrame(
         [
             (cell, *entry, order[(entry[at["office"]], entry[at["district"]])], cells.index(cell))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tallyline.functions.nulls import holds
 from tallyline.functions.text import null_tokens, unique_names
 from tallyline.operators.joins import drop_around
+from tallyline.session import written_once
 
 #: Columns `row_source` adds: where a row lies in the files that were read.
 FILE, BLOCK, SPOT = "__file", "__block", "__spot"
@@ -38,7 +39,15 @@ def read_typed_csv(
 
 
 def with_row_source(df: DataFrame) -> DataFrame:
-    """Remember file, block and position; call right after the read."""
+    """Remember file, block and position; call right after the read.
+
+    How files are cut into splits depends on the number of cores unless the
+    least number of partitions is set; it is pinned here, so that a later
+    reading of the same files sees the same blocks whatever executors come or go.
+    """
+    spark, pinned = df.sparkSession, "spark.sql.files.minPartitionNum"
+    if spark.conf.get(pinned, None) is None:
+        spark.conf.set(pinned, str(spark.sparkContext.defaultParallelism))
     return df.select(
         "*",
         F.col("_metadata.file_path").alias(FILE),
@@ -53,7 +62,9 @@ def number_rows(df: DataFrame, name: str = "idx", scope: Sequence[str] = (FILE,)
     A block of a file is read by one task in order, so a row's place in its
     block is its distance from the block's first row, and a block's place is
     the number of rows before it.  Only one row per block - a file's size over
-    the split size - is ever sorted; ballots stay where they were read.
+    the split size - is ever sorted.  That little table is written once, so its
+    size is known when the join is planned and ballots stay where they were
+    read.  A row that does not fit its block is an error, never a wrong number.
     """
     blocks = df.groupBy(*scope, *[c for c in (FILE, BLOCK) if c not in scope]).agg(
         F.count(F.lit(1)).alias("__rows"), F.min(SPOT).alias("__base")
@@ -61,10 +72,15 @@ def number_rows(df: DataFrame, name: str = "idx", scope: Sequence[str] = (FILE,)
     order = Window.partitionBy(*scope).orderBy(FILE, BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.withColumn("__start", F.coalesce(F.sum("__rows").over(order), F.lit(0)))
     keys = list(dict.fromkeys([*scope, FILE, BLOCK]))
+    facts = ("__start", "__base", "__rows")
+    known = written_once(starts.select(*keys, *facts), "blocks")
+    place = F.col(SPOT) - F.col("__base")
+    fits = (place >= 0) & (place < F.col("__rows"))
+    changed = F.raise_error(F.lit("the files were split differently while numbering their rows"))
     return (
-        df.join(starts.select(*keys, "__start", "__base"), keys)
-        .withColumn(name, F.col("__start") + F.col(SPOT) - F.col("__base") + 1)
-        .drop("__start", "__base")
+        df.join(known, keys, "left")
+        .withColumn(name, F.when(fits, F.col("__start") + place + 1).otherwise(changed.cast("bigint")))
+        .drop(*facts)
     )
 
 
