@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.catalog.base import query
-from tallyline.catalog.roles import ballots, returns_of, table, with_ballots, with_returns
+from tallyline.catalog.roles import ballots, places, returns_of, table, with_ballots, with_returns
 from tallyline.functions.nulls import first_match, recode
 from tallyline.operators import groups as G
 from tallyline.operators.pairing import pair_rows_ranked, pair_split_rows
@@ -17,6 +17,7 @@ from tallyline.plans import reports as R
 from tallyline.plans import returns as O
 from tallyline.plans import second_team as S2
 from tallyline.rules.precincts import BALLOT_LABELS, RETURNS_LABELS
+from tallyline.session import written_once
 
 # ---------------------------------------------------------------- cleaning
 
@@ -482,10 +483,6 @@ def team_ballots(spark: SparkSession, folder: str) -> DataFrame:
     """Ballots with the spellings the release rules look for."""
     rows = ballots(spark, folder)
     choice = F.col("choice_no")
-    states = {"AFRICA": "WISCONSIN", "AMERICA": "ARIZONA", "ASIA": "WEST VIRGINIA", "EUROPE": "UTAH", "MIDDLE EAST": "OHIO"}
-    counties = first_match(
-        [(F.col("nk") == k, c) for k, c in ((0, "BROWN"), (5, "DANE"), (3, "SAN JUAN"), (4, "SENECA"))], F.col("county_name")
-    )
     names = {
         "BRAND#1": "WRITE-IN", "BRAND#2": "NO SELECTION", "BRAND#3": "OVERVOTE", "BRAND#6": "KANYE WEST", "BRAND#7": "WRITEIN",
     }
@@ -494,15 +491,23 @@ def team_ballots(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("candidate") == "BRAND#10", "GREEN")
         .when(~F.col("candidate").isin("BRAND#6", "BRAND#8"), F.col("party_detailed"))
     )
+    magnitude = F.when(choice < 3, F.lit(None).cast("int")).when(choice < 5, -1).otherwise(3)
+    return rows.select(
+        *_team_place(), _team_place()[1].alias("jurisdiction_name"), "cvr_id", "office", "district",
+        recode("candidate", names).alias("candidate"), party.alias("party_detailed"), magnitude.alias("magnitude"), "choice_no", "nk",
+    )
+
+
+def _team_place() -> tuple[Column, Column, Column]:
+    """State, county and precinct under the names the release rules look for."""
+    states = {"AFRICA": "WISCONSIN", "AMERICA": "ARIZONA", "ASIA": "WEST VIRGINIA", "EUROPE": "UTAH", "MIDDLE EAST": "OHIO"}
+    counties = first_match(
+        [(F.col("nk") == k, c) for k, c in ((0, "BROWN"), (5, "DANE"), (3, "SAN JUAN"), (4, "SENECA"))], F.col("county_name")
+    )
     places = {
         "P1": "Village of Pulaski W4, 7", "P2": "Village of Wrightstown W4", "P3": "V Brooklyn Wd 2", "P4": "V Cambridge Wd 1",
     }
-    return rows.select(
-        recode("state", states).alias("state"), counties.alias("county_name"), "cvr_id",
-        recode("precinct", places).alias("precinct"), counties.alias("jurisdiction_name"), "office", "district",
-        recode("candidate", names).alias("candidate"), party.alias("party_detailed"),
-        F.when(choice < 3, F.lit(None).cast("int")).when(choice < 5, -1).otherwise(3).alias("magnitude"), "choice_no", "nk",
-    )
+    return recode("state", states).alias("state"), counties.alias("county_name"), recode("precinct", places).alias("precinct")
 
 
 _FORMATTED = """fmt AS (SELECT *, CASE WHEN c2 IN ('UNDERVOTE', 'OVERVOTE', 'NOT QUALIFIED') THEN NULL WHEN p3 = 'WRITEIN' THEN NULL
@@ -569,9 +574,12 @@ _TEAMS = f"""seneca AS (SELECT st, county, cvr_id, office, district FROM (
 
 def teams(spark: SparkSession, folder: str) -> DataFrame:
     rows = team_ballots(spark, folder)
-    counties = rows.select("state", "county_name", "nk").distinct()
+    # places come from the customers, not from their ballots
+    homes = places(spark, folder).select(*_team_place(), "nk").distinct()
+    counties = homes.select("state", "county_name", "nk").distinct()
     missing = rows.where("candidate = 'BRAND#8'").select("state", "office", "candidate", "district").distinct()
-    precincts = rows.select("state", "county_name", "precinct").distinct().select(
+    missing = written_once(missing.withColumn("party_detailed", F.lit("REPUBLICAN")), "missing")
+    precincts = homes.select("state", "county_name", "precinct").distinct().select(
         "*", F.col("precinct").alias("precinct_cvr"), F.concat(F.lit("R-"), "precinct").alias("precinct_returns")
     )
     plain = rows.drop("choice_no", "nk")
@@ -580,7 +588,7 @@ def teams(spark: SparkSession, folder: str) -> DataFrame:
         rows.where("choice_no < 6").drop("choice_no", "nk"),
         counties.where("nk = 10"),
         counties.where("nk % 4 = 1"),
-        missing.withColumn("party_detailed", F.lit("REPUBLICAN")),
+        missing,
         precincts,
     )
 

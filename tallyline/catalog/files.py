@@ -204,7 +204,7 @@ def multi_header_files(spark: SparkSession, folder: str) -> DataFrame:
     WHERE NOT any_valid AND undervotes > 0 AND (NOT amb OR all_amb)
   UNION ALL SELECT DISTINCT cvr_id, contest, precinct, 'OVERVOTE', NULL, 'OVERVOTE' FROM flagged WHERE NOT any_valid AND overvotes > 0) t
 GROUP BY 1, 2, 3, 4, 5""",
-        """marks AS (SELECT cvr_id, office AS contest, precinct, candidate, party_detailed, qty > 25 AS vote, discount > 0.05 AS amb FROM ballots)""",
+        """marks AS (SELECT DISTINCT cvr_id, office AS contest, precinct, candidate, party_detailed, qty > 25 AS vote, discount > 0.05 AS amb FROM ballots)""",
         """flagged AS (SELECT *, CASE WHEN bool_or(vote) OVER w THEN 0 ELSE 1 END AS undervotes,
     CASE WHEN count(*) OVER w > 1 THEN 1 ELSE 0 END AS overvotes, bool_or(vote AND NOT amb) OVER w AS any_valid,
     CASE WHEN bool_or(vote) OVER w THEN NULL ELSE bool_and(amb) OVER w END AS all_amb
@@ -222,7 +222,11 @@ def _export_folder(spark: SparkSession, folder: str) -> str:
     path = scratch_path(spark, "export")
     offices = ("US PRESIDENT", "US SENATE", "US HOUSE", "STATE SENATE", "STATE HOUSE", "GOVERNOR")
     parties = (("DEMOCRAT", "Democratic Party"), ("REPUBLICAN", "Republicans"), ("LIBERTARIAN", "Libertarian"))
-    rows = ballots(spark, folder)
+    # a mark once per contest: a ballot's lists are no longer than the vocabulary
+    rows = ballots(spark, folder).select(
+        "cvr_id", "precinct", "office", "candidate", "party_detailed",
+        (F.col("qty") > 25).alias("vote"), (F.col("discount") > 0.05).alias("ambiguous"),
+    ).distinct()
 
     def manifest(name: str, entries: DataFrame) -> None:
         # one document with a list no longer than the dimension it names
@@ -240,7 +244,7 @@ def _export_folder(spark: SparkSession, folder: str) -> str:
     )
     portion = F.substring("precinct", 2, 9).cast("bigint")
     manifest("PrecinctPortion", rows.select(portion.alias("Id"), F.col("precinct").alias("Description")).distinct())
-    vote, ambiguous = F.col("qty") > 25, F.col("discount") > 0.05
+    vote, ambiguous = F.col("vote"), F.col("ambiguous")
     mark = F.struct(
         number.alias("CandidateId"),
         first_match([(F.col("party_detailed") == p, k) for k, (p, _) in enumerate(parties)]).cast("bigint").alias("PartyId"),

@@ -51,6 +51,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def places(spark: SparkSession, folder: str) -> DataFrame:
+    """Every (state, county, precinct) a customer lives in."""
+    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+    place = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    homes = table(spark, folder, "customer").join(place, F.col("c_nationkey") == F.col("n_nationkey"))
+    precinct = F.concat(F.lit("P"), (F.col("c_custkey") % 50).cast("string"))
+    return homes.select(
+        F.col("r_name").alias("state"), F.col("n_name").alias("county_name"), F.col("n_nationkey").alias("nk"), precinct.alias("precinct")
+    ).distinct()
+
+
 def voters(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with their county: the small joins come first, before the line items."""
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")

@@ -41,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder; on a cluster a machine-local folder would be invisible to the
     other executors, so its absence is an error there.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
