@@ -114,6 +114,8 @@ def unpivot_ballots(
     named = {}
     for row in lookup.select("contest", *carried).where(F.col("contest").isin(cells)).collect():
         named.setdefault(row["contest"], []).append(tuple(row[c] for c in carried))
+    if not named:
+        raise ValueError("no column of the file is a contest of the lookup")
     at = {c: k for k, c in enumerate(carried)}
     contests: dict[tuple, list[str]] = {}
     for cell in cells:

@@ -172,3 +172,10 @@ def test_second_pass_party(spark):
     meta = spark.createDataFrame([("S", "O", "1", "A", "NEW", None), ("S", "O", "1", "B", None, "dup")],
                                  "state string, office string, district string, candidate string, party_detailed string, issue string")
     assert cells(K.merge_party(rows, meta), "candidate", "party_detailed") == [("A", "NEW"), ("C", "X")]
+
+
+def test_file_without_a_known_contest_is_an_error(spark):
+    wide = spark.createDataFrame([(1, "1")], "cvr_id int, a string")
+    lookup = spark.createDataFrame([("z", "X", "1", "Ann")], "contest string, office string, district string, candidate string")
+    with pytest.raises(ValueError, match="no column"):
+        K.unpivot_ballots(wide, lookup, ids=["cvr_id"])
