@@ -63,16 +63,23 @@ def places(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def voters(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with their county: the small joins come first, before the line items."""
+    """Orders with their county: the small joins come first, before the line items.
+
+    Orders, customers and line items all grow with the data, so their joins are
+    merges at any size: size estimates of joined inputs would otherwise have
+    the largest table broadcast while it is still small.
+    """
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
     place = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     customer = table(spark, folder, "customer").join(place, F.col("c_nationkey") == F.col("n_nationkey"))
     orders = table(spark, folder, "orders")
-    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    return orders.join(customer.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
 
 
 def ballots(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem").join(voters(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = table(spark, folder, "lineitem").join(
+        voters(spark, folder).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
     choices = lines.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return choices.select(
         F.col("l_orderkey").alias("cvr_id"),
