@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -31,24 +31,24 @@ def build_session(master: str | None = None, app: str = "tallyline", **extra: st
     return builder.getOrCreate()
 
 
-_local_dir: list[str] = []
+def use_local_scratch(spark: SparkSession) -> None:
+    """Give a session in local mode a shared folder where it has none (tests, bench, driver).
 
+    One machine runs all of such a session.  On a cluster nothing is set: there
+    a machine-local folder would be invisible to the other executors.
+    """
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyline-"))
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session (tests, bench) may fall back to a temporary
-    folder; on a cluster a machine-local folder would be invisible to the
-    other executors, so its absence is an error there.
-    """
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share, as named by ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if not _local_dir:
-        _local_dir.append(os.environ.get("TALLYLINE_SCRATCH") or tempfile.mkdtemp(prefix="tallyline-"))
-    return _local_dir[0]
+    return configured
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tallyline import catalog
 from tools.check import TABLES, as_rows
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
