@@ -5,11 +5,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyline.session import scratch_path
+from tallyline.shipping import by_value
+
+by_value(__name__)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,3 +118,24 @@ def octets(df: DataFrame, text: str = "text") -> int:
 
 def schema(text: str) -> T.StructType:
     return T.StructType.fromDDL(text)
+
+
+def map_texts(df: DataFrame, factory: Callable[[], Callable[[list], dict]], made: str, text: str = "text") -> DataFrame:
+    """Replace ``text`` by columns computed from it; all other columns pass through as they are.
+
+    ``factory`` runs once per task and returns the function from a list of texts
+    to the new columns, whose names and types ``made`` lists.
+    """
+    kept = [f for f in df.schema.fields if f.name != text]
+    new = schema(made)
+    types = to_arrow_schema(new)
+
+    def run(batches):
+        fn = factory()
+        for batch in batches:
+            out = fn(batch.column(batch.schema.get_field_index(text)).to_pylist())
+            arrays = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
+            arrays += [pa.array(out[f.name], f.type) for f in types]
+            yield pa.RecordBatch.from_arrays(arrays, [f.name for f in kept] + [f.name for f in types])
+
+    return df.mapInArrow(run, T.StructType(kept + new.fields))

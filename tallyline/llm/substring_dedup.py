@@ -39,7 +39,7 @@ WINDOW = 35
 CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 12 << 20
 #: Bytes of text in one task of the bucketed table.
 TASK_BYTES = 24 << 20
-RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+RESULT = "doc_id string, n_words long, n_removed long, kept_sha256 string"
 
 
 def anchor_size(window: int) -> int:
@@ -217,7 +217,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     spark = docs.sparkSession
     size = anchor_size(window)
     with Scratch(spark) as scratch:
-        rows = needed(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
+        # ids travel as text: a null among them must not turn the others into floats
+        rows = needed(docs, "doc_id", "text").select(F.col("doc_id").cast("string"), "text")
         total = octets(rows)
         chunks, buckets = max(1, math.ceil(total / CHUNK_BYTES)), max(1, math.ceil(total / BUCKET_BYTES))
         dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
@@ -245,7 +246,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         repeats = scratch.write(held.groupBy("bucket").applyInPandas(lambda pdf: _meet(pdf, 2, U, False), bits), "repeats")
         masks = hits.withColumn("kind", F.lit(0)).unionByName(repeats.withColumn("kind", F.lit(1)))
         done = texts.groupBy("chunk").cogroup(masks.groupBy("chunk")).applyInPandas(removal, schema(RESULT))
-        return scratch.keep(done, "without-repeats")
+        return scratch.keep(done.withColumn("doc_id", F.col("doc_id").cast("long")), "without-repeats")
 
 
 OP10_SQL = f"""
