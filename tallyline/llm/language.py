@@ -26,7 +26,7 @@ by_value(__name__)
 TEXTS, PIECE, DICTIONARY = 160, 1000, 64 << 10
 #: Languages at most, by number of training texts.
 LANGUAGES = 128
-BLOCK, LEVEL = 4096, 3
+BLOCK, LEVEL = 4096, 6
 #: Rejected below this share of the runner-up's bytes.
 MARGIN = 0.01
 #: Bytes of difference that make one language e times likelier than another.
@@ -48,7 +48,7 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 
 def learn(docs: DataFrame) -> dict[str, bytes]:
-    """Dictionary of each ``lang``, from rows outside the held-out fold with a text and a language."""
+    """Dictionary of each ``lang``, the most frequent first, from rows outside the held-out fold with a text and a language."""
     rows = needed(docs, "doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     if not counts:
@@ -60,17 +60,18 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     pieces: dict[str, list[bytes]] = {}
     for row in taken.orderBy("lang", "order", "piece").collect():
         pieces.setdefault(row["lang"], []).append(plain(row["piece"]))
-    return {lang: content for lang, own in sorted(pieces.items()) if (content := b" ".join(own)[:DICTIONARY]).strip()}
+    common = [r["lang"] for r in counts if r["lang"] in pieces]
+    return {lang: content for lang in common if (content := b" ".join(pieces[lang])[:DICTIONARY]).strip()}
 
 
 def classify(text: str | None, compressors: dict[str, zstandard.ZstdCompressor]) -> tuple[str, float, bool]:
-    """(language, score, rejected); ties go to the language that sorts first."""
+    """(language, score, rejected); ties go to the language listed first."""
     if not text or not compressors or not _LETTER.search(text):
         return "und", 0.0, True
     raw = plain(text)
     parts = [raw[k : k + BLOCK] for k in range(0, len(raw), BLOCK)]
     sizes = {lang: sum(len(c.compress(p)) for p in parts) for lang, c in compressors.items()}
-    first = min(sizes, key=lambda lang: (sizes[lang], lang))
+    first = min(sizes, key=sizes.__getitem__)
     rest = sorted(size for lang, size in sizes.items() if lang != first)
     likely = 1 / (1 + sum(math.exp(-min(700.0, (size - sizes[first]) / SCALE)) for size in rest))
     return first, likely, bool(rest) and (rest[0] - sizes[first]) < MARGIN * rest[0]

@@ -110,9 +110,10 @@ def _copies(passes: int) -> Column:
     chance = F.pmod(F.col("mark"), F.lit(1 << 40)) / float(1 << 40)
     out = F.least(F.floor(_rate(F.col("size")) + chance), F.lit(int(MOST))).cast("int")
     for k in range(passes):
-        gap, cut = F.col(f"gap{k}"), F.col(f"cut{k}")
-        fits = (F.col("size") > 0) & (F.col("size") <= F.abs(gap)) & (_bucket(k) <= cut)
-        out = out + F.when(fits & (gap > 0) & (out < MOST), 1).when(fits & (gap < 0) & (out > 0), -1).otherwise(0)
+        gap = F.col(f"gap{k}")
+        fits = (F.col("size") > 0) & (F.col("size") <= F.abs(gap)) & (_bucket(k) <= F.col(f"cut{k}"))
+        moved = out + F.when(fits, F.signum(gap).cast("int")).otherwise(0)
+        out = F.least(F.greatest(moved, F.lit(0)), F.lit(int(MOST)))
     return out
 
 

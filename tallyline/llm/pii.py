@@ -112,6 +112,10 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _checked(kind: str):
+    return lambda s: _valid(kind, s["value"])
+
+
 def base_spans(df: DataFrame) -> DataFrame:
     """``df`` (with ``text``, never null) and an array per base kind."""
     for kind, pattern in BASE.items():
@@ -120,7 +124,7 @@ def base_spans(df: DataFrame) -> DataFrame:
         if kind != "email":
             possible = possible & F.col("text").rlike("[0-9]")
         df = _find(df, f"all_{kind}", pattern, possible)
-        df = df.withColumn(kind, F.filter(f"all_{kind}", lambda s, k=kind: _valid(k, s["value"]))).drop(f"all_{kind}")
+        df = df.withColumn(kind, F.filter(f"all_{kind}", _checked(kind))).drop(f"all_{kind}")
     return df
 
 
@@ -301,7 +305,11 @@ def redact(docs: DataFrame) -> DataFrame:
     model, held = fit(docs), fresh(docs, "row_of_doc")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(held), F.col("text").isNull().alias("no_text"), F.coalesce("text", F.lit("")).alias("text"))
     df = spans(packed, model)
-    marked = [F.transform(k, lambda s, k=k: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(f"[{k.upper()}]").alias("mask"))) for k in (*BASE, "other")]
+
+    def masked(kind):
+        return F.transform(kind, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(f"[{kind.upper()}]").alias("mask")))
+
+    marked = [masked(kind) for kind in (*BASE, "other")]
     df = df.withColumn("marks", F.array_sort(F.concat(*marked)))
 
     def step(acc, s):

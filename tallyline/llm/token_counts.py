@@ -27,7 +27,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: How far a match may look beyond its end, with the character it stops at.
 LOOK = 2
-LEAF = 64
+LEAF = 32
 #: Pre-tokens whose counts a worker remembers.
 REMEMBERED = 300_000
 

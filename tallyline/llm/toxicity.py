@@ -28,11 +28,18 @@ by_value(__name__)
 TRAIN_ROWS, KEYS = 20_000, 4096
 #: Words of one training text that become training segments.
 TRAIN_WORDS = 256
-#: Evidence: least z-score and log-odds of a key; log-odds from which a word of a toxic text is labelled toxic.
-Z_LEAST, ODDS_LEAST, ODDS_LABEL = 4.0, 1.0, 2.0
+#: Chains the field is trained on.
+TRAIN_CHAINS = 3000
+#: Evidence is log-odds less two standard errors; a key has at least so much, and is in this share of the toxic texts.
+SUPPORT, ODDS_LEAST, ERRORS = 0.002, 1.0, 2.0
+#: Words of a toxic text within this of its strongest evidence are labelled toxic.
+ODDS_NEAR = 1.5
 #: Words without evidence kept on either side of one with it; the gap that parts two segments is twice that.
 CONTEXT = 2
-THRESHOLD, RIDGE, STEPS = 0.3, 1e-3, 300
+#: Words with evidence in one segment; longer stretches are cut.
+HITS = 8
+MOST_ODDS = 20.0
+THRESHOLD, RIDGE, STEPS = 0.3, 1e-3, 120
 SPAN_MARGINAL = 0.5
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -64,7 +71,7 @@ def segments(at: list[int], n: int) -> list[tuple[int, int, list[int]]]:
     """(first word, end, indices into ``at``): stretches around words with evidence, cut at long gaps."""
     out: list[tuple[int, int, list[int]]] = []
     for k, i in enumerate(at):
-        if out and i - at[out[-1][2][-1]] <= 2 * CONTEXT and len(out[-1][2]) < 64:
+        if out and i - at[out[-1][2][-1]] <= 2 * CONTEXT and len(out[-1][2]) < HITS:
             out[-1][2].append(k)
         else:
             out.append((max(0, i - CONTEXT), 0, [k]))
@@ -151,12 +158,12 @@ def marginals(features: list[np.ndarray], weights: np.ndarray) -> list[np.ndarra
 
 
 def text_odds(found: list[list[np.ndarray]]) -> np.ndarray:
-    """Per text, log-odds that any of its words is toxic, from its segments' marginals (-12 without segments)."""
-    out = np.full(len(found), -12.0)
+    """Per text, log-odds that any of its words is toxic, from its segments' marginals (the least without segments)."""
+    out = np.full(len(found), -MOST_ODDS)
     for k, own in enumerate(found):
         if own:
             clean = float(sum(np.log1p(-np.minimum(m, 1 - 1e-12)).sum() for m in own))
-            out[k] = max(-12.0, min(12.0, math.log(max(-math.expm1(clean), 1e-12)) - clean))
+            out[k] = max(-MOST_ODDS, min(MOST_ODDS, math.log(max(-math.expm1(clean), 1e-12)) - clean))
     return out
 
 
@@ -201,7 +208,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
 
 
 def _key_odds(rows: DataFrame, toxic: int, clean: int) -> dict[str, float]:
-    """Log-odds of keys that are significantly likelier in toxic texts."""
+    """Evidence of keys that are surely likelier in toxic texts."""
 
     def fold(frames):
         for pdf in frames:
@@ -212,12 +219,10 @@ def _key_odds(rows: DataFrame, toxic: int, clean: int) -> dict[str, float]:
             yield pd.DataFrame([(k, c, t) for k, (c, t) in seen.items()], columns=["key", "c", "t"])
 
     counts = rows.mapInPandas(fold, schema("key string, c long, t long")).groupBy("key").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
-    p1, p0 = F.col("t") / toxic, F.col("c") / clean
-    p = (F.col("t") + F.col("c")) / (toxic + clean)
-    z = (p1 - p0) / F.sqrt(p * (1 - p) * (1 / toxic + 1 / clean) + 1e-12)
-    odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
-    best = counts.where("t >= 3").select("key", z.alias("z"), odds.alias("odds")).where((F.col("z") >= Z_LEAST) & (F.col("odds") >= ODDS_LEAST))
-    return {r["key"]: min(8.0, r["odds"]) for r in best.orderBy(F.desc("z"), "key").limit(KEYS).collect()}
+    t, c = F.col("t") + 0.5, F.col("c") + 0.5
+    odds = F.log(t / (toxic + 1)) - F.log(c / (clean + 1)) - ERRORS * F.sqrt(1 / t + 1 / c)
+    best = counts.where(F.col("t") >= max(3, math.ceil(SUPPORT * toxic))).select("key", odds.alias("odds"), "t").where(F.col("odds") >= ODDS_LEAST)
+    return {r["key"]: r["odds"] for r in best.orderBy(F.desc("odds"), F.desc("t"), "key").limit(KEYS).collect()}
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
@@ -246,12 +251,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     chains = []
     for row in found:
         evidence = np.array(row["evidence"]).reshape(-1, 3)
+        strong = evidence.max() - ODDS_NEAR if len(evidence) else 0.0
         for segment in segments(row["at"], row["n"]):
             labels_of = np.zeros(segment[1] - segment[0])
             for k in segment[2]:
-                labels_of[row["at"][k] - segment[0]] = row["toxic"] == 1 and evidence[k].max() >= ODDS_LABEL
+                labels_of[row["at"][k] - segment[0]] = row["toxic"] == 1 and evidence[k].max() >= strong
             chains.append((_features([tuple(f) for f in evidence], row["at"], segment), labels_of))
-    model.weights = train_field(chains)
+    model.weights = train_field(chains[:: max(1, math.ceil(len(chains) / TRAIN_CHAINS))])
     flat = iter(marginals([x for x, _ in chains], model.weights))
     odds = text_odds([[next(flat) for _ in segments(row["at"], row["n"])] for row in found])
     model.slope, model.bias = calibrate(odds, np.array([row["toxic"] == 1 for row in found], float))
