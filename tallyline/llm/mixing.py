@@ -5,7 +5,7 @@ source's target are r = min(2, exp(lambda * x)) with x a document's size over
 its source's scale.  Newton steps on the convex dual find every source's lambda
 at once from one aggregation each over the counts of sizes; a bracket catches
 steps that overshoot.  Rates become copies by hashed rounding, and a few passes
-over 4,096 hash buckets a source move whole documents until the words taken
+over 1,024 hash buckets a source move whole documents until the words taken
 meet the target.  All that decides a row - its size, its hash, and its source's
 parameters - is a column expression.
 """
@@ -24,7 +24,7 @@ from tallyline.llm.base import Scratch, fresh, needed, query, table
 WEIGHTS, MIX_SHARE, MOST = (5.0, 2.0, 1.0), 1.5, 2.0
 NEWTON_STEPS, TOLERANCE = 40, 1e-4
 #: Passes that move whole documents after rounding, and hash buckets of each.
-PASSES, BUCKETS = 5, 4096
+PASSES, BUCKETS = 5, 1024
 WORDS = r"[^\x20\x09-\x0D]+"
 
 

@@ -39,6 +39,8 @@ CONTEXT = 2
 #: Words with evidence in one segment; longer stretches are cut.
 HITS = 8
 MOST_ODDS = 20.0
+#: Features of a word; the weights of the four transitions follow theirs.
+EMIT = 4
 THRESHOLD, RIDGE, STEPS = 0.3, 1e-3, 120
 SPAN_MARGINAL = 0.5
 
@@ -54,7 +56,7 @@ def keys_of(word: str) -> tuple[str, str, str]:
 class Model:
     odds: dict[str, float] = field(default_factory=dict)
     begins: set[str] = field(default_factory=set)
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(9))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(EMIT + 4))
     slope: float = 0.0
     bias: float = -8.0
 
@@ -79,21 +81,20 @@ def segments(at: list[int], n: int) -> list[tuple[int, int, list[int]]]:
 
 
 def _features(evidence: list[tuple], at: list[int], segment: tuple[int, int, list[int]]) -> np.ndarray:
-    """Per word of a segment: one, its three log-odds, and the strongest of its neighbours."""
+    """Per word of a segment: one, its evidence, that of its beginnings, and that of its neighbours."""
     s, e, own = segment
-    x = np.zeros((e - s, 5))
+    x = np.zeros((e - s, EMIT))
     x[:, 0] = 1
     for k in own:
-        x[at[k] - s, 1:4] = evidence[k]
-    top = x[:, 1:4].max(axis=1)
-    x[1:, 4] = top[:-1]
-    x[:-1, 4] = np.maximum(x[:-1, 4], top[1:])
+        x[at[k] - s, 1:3] = max(evidence[k]), max(evidence[k][1:])
+    x[1:, 3] = x[:-1, 1]
+    x[:-1, 3] = np.maximum(x[:-1, 3], x[1:, 1])
     return x
 
 
 def _potentials(weights: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Emission of the toxic state over the clean one, and the 2 x 2 transition scores."""
-    return x @ weights[:5], weights[5:9].reshape(2, 2)
+    return x @ weights[:EMIT], weights[EMIT:].reshape(2, 2)
 
 
 def forward_backward(emission: np.ndarray, trans: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,17 +120,17 @@ def forward_backward(emission: np.ndarray, trans: np.ndarray, mask: np.ndarray)
 
 def train_field(chains: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Weights that maximise the penalised likelihood of (features, 0/1 labels) chains."""
-    weights = np.zeros(9)
+    weights = np.zeros(EMIT + 4)
     if not chains:
         return weights
     n = max(len(y) for _, y in chains)
-    x, y, mask = np.zeros((len(chains), n, 5)), np.zeros((len(chains), n)), np.zeros((len(chains), n), bool)
+    x, y, mask = np.zeros((len(chains), n, EMIT)), np.zeros((len(chains), n)), np.zeros((len(chains), n), bool)
     for k, (a, b) in enumerate(chains):
         x[k, : len(b)], y[k, : len(b)], mask[k, : len(b)] = a, b, True
     states = np.stack([1 - y, y], axis=2) * mask[:, :, None]
     seen_emit = np.einsum("rt,rtf->f", y * mask, x)
     seen_pair = np.einsum("rti,rtj->ij", states[:, :-1], states[:, 1:])
-    first, second = np.zeros(9), np.zeros(9)
+    first, second = np.zeros(EMIT + 4), np.zeros(EMIT + 4)
     for step in range(1, STEPS + 1):
         emission, trans = _potentials(weights, x)
         marginal, pair, _ = forward_backward(emission, trans, mask)
@@ -147,7 +148,7 @@ def marginals(features: list[np.ndarray], weights: np.ndarray) -> list[np.ndarra
     for start in range(0, len(order), 1024):
         own = order[start : start + 1024]
         n = len(features[own[-1]])
-        x, mask = np.zeros((len(own), n, 5)), np.zeros((len(own), n), bool)
+        x, mask = np.zeros((len(own), n, EMIT)), np.zeros((len(own), n), bool)
         for row, k in enumerate(own):
             x[row, : len(features[k])], mask[row, : len(features[k])] = features[k], True
         emission, trans = _potentials(weights, x)
