@@ -777,13 +777,13 @@ def second_team_records(spark: SparkSession, folder: str) -> DataFrame:
   SELECT r.state, r.office, c.n, r.total_voters, round(c.n / r.total_voters, 6) AS f
   FROM (SELECT state, office, sum(votes) * CASE WHEN office = 'STATE HOUSE' THEN 5e-1 ELSE 1e0 END AS total_voters FROM returns GROUP BY state, office) r
   LEFT JOIN (SELECT state, office, count(*) * CASE WHEN office = 'STATE HOUSE' THEN 5e-1 ELSE 1e0 END AS n
-             FROM ballots WHERE state <> 'ASIA' AND choice_no < 4 AND candidate <> 'BRAND#1' GROUP BY state, office) c
+             FROM ballots WHERE state <> 'ASIA' AND candidate <> 'BRAND#1' GROUP BY state, office) c
   ON r.state = c.state AND r.office = c.office) t"""
     ),
 )
 def scaled_coverage(spark: SparkSession, folder: str) -> DataFrame:
     rows = ballots(spark, folder)
-    release = rows.where("choice_no < 4").withColumn("candidate", recode("candidate", {"BRAND#1": "UNDERVOTE"}))
+    release = rows.withColumn("candidate", recode("candidate", {"BRAND#1": "UNDERVOTE"}))
     official = returns_of(rows).withColumnRenamed("party_detailed", "party_simplified")
     covered = R.coverage(release, official, F.col("office") == "STATE HOUSE", ["ASIA"])
     share = F.round("frac_covered", 6)

@@ -19,6 +19,7 @@ from tallyline.functions.nulls import first_match
 from tallyline.operators import groups as G
 from tallyline.plans import cleaning as K
 from tallyline.plans import compare as C
+from tallyline.plans.build import build_ballots
 from tallyline.session import scratch_path, written_once
 from tallyline.sources import delimited as D
 from tallyline.sources import layout as Y
@@ -283,10 +284,11 @@ def _export_folder(spark: SparkSession, folder: str) -> str:
     """SELECT contest, candidate, precinct, count(*) AS n, count(DISTINCT s_suppkey) AS n_ballots FROM (
   SELECT s_suppkey, 'Governor of the State' AS contest, CASE WHEN s_suppkey % 4 = 0 THEN 'WRITEIN' WHEN s_suppkey % 4 = 1 THEN 'undervote'
     ELSE 'Person ' || CAST(s_suppkey % 7 AS VARCHAR) END AS candidate, 'Split ' || CAST(s_nationkey AS VARCHAR) AS precinct FROM supplier
+  UNION ALL SELECT s_suppkey, 'Governor of the State', 'Other', 'Split ' || CAST(s_nationkey AS VARCHAR) FROM supplier WHERE s_suppkey % 4 > 1
   UNION ALL SELECT s_suppkey, 'Sheriff', 'Some One', 'Split ' || CAST(s_nationkey AS VARCHAR) FROM supplier) t GROUP BY 1, 2, 3""",
 )
 def xml_ballots(spark: SparkSession, folder: str) -> DataFrame:
-    """One XML file per ballot, read as rows of contest and choice."""
+    """One XML file per ballot, in sub-folders, read as rows of contest and choice; every option of a contest counts."""
     path = scratch_path(spark, "xml")
     key = F.col("s_suppkey") % 4
     option = first_match(
@@ -305,7 +307,7 @@ def xml_ballots(spark: SparkSession, folder: str) -> DataFrame:
     )
     files = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("ballot"), value.alias("value"))
     files.repartition("ballot").write.partitionBy("ballot").text(path)
-    rows = M.read_xml_ballots(spark, f"{path}/*")
+    rows = M.read_xml_ballots(spark, path)
     return rows.groupBy("contest", "candidate", "precinct").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("cvr_id").alias("n_ballots")
     )
@@ -444,3 +446,134 @@ def stacked_export(spark: SparkSession, folder: str) -> DataFrame:
     contests = [("PENNSYLVANIA", "ALLEGHENY", "Treasurer", "TREASURER", "1", None, None, "1")]
     long = K.clean_stacked_export(raw, "PENNSYLVANIA", "ALLEGHENY", spark.createDataFrame(contests, _CONTEST_SCHEMA))
     return G.tally(long, ["contest", "office", "candidate", "party_detailed"])
+
+
+@query(
+    "xml_ballot_numbers",
+    "SELECT s_suppkey AS ballot, row_number() OVER (ORDER BY lpad(CAST(s_suppkey AS VARCHAR), 9, '0')) AS cvr_id FROM supplier",
+)
+def xml_ballot_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Ballot numbers follow the order of the files' paths below the county folder."""
+    path = scratch_path(spark, "xml-numbers")
+    name = F.lpad(F.col("s_suppkey").cast("string"), 9, "0")
+    value = F.concat(
+        F.lit("<CastVoteRecord><Contests><Contest><Name>Sheriff</Name><Options><Option><Name>"), F.col("s_suppkey").cast("string"),
+        F.lit("</Name></Option></Options></Contest></Contests><PrecinctSplit><Name>S</Name></PrecinctSplit></CastVoteRecord>"),
+    )
+    # many ballots lie in one folder of a batch
+    files = table(spark, folder, "supplier").select(F.concat(F.lit("b"), F.substring(name, 1, 7)).alias("batch"), name.alias("ballot"), value.alias("value"))
+    files.repartition("ballot").write.partitionBy("batch", "ballot").text(path)
+    return M.read_xml_ballots(spark, path).select(F.col("candidate").cast("bigint").alias("ballot"), "cvr_id")
+
+
+@query(
+    "nested_export_folders",
+    "SELECT l_orderkey % 3 AS batch, count(*) AS n, count(DISTINCT l_orderkey) AS n_records FROM lineitem GROUP BY 1",
+)
+def nested_export_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """Vendor exports in sub-folders of batches, next to files that are no exports."""
+    path = scratch_path(spark, "nested")
+    mark = F.struct(F.col("l_linenumber").cast("bigint").alias("CandidateId"), F.lit(True).alias("IsVote"))
+    # an order has at most seven lines, and a file the orders of 2,000 numbers
+    card = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.collect_list(mark).alias("Marks"))
+    contests = F.array(F.struct(F.lit(1).cast("bigint").alias("Id"), "Marks")).alias("Contests")
+    side = F.struct(F.lit(True).alias("IsCurrent"), F.array(F.struct(F.lit(1).cast("bigint").alias("Id"), contests)).alias("Cards"))
+    batch, file = (F.col("l_orderkey") % 3).alias("batch"), F.floor(F.col("l_orderkey") / 2000).alias("file")
+    session = F.struct((F.col("l_orderkey") % 3).alias("BatchId"), F.col("l_orderkey").alias("RecordId"), side.alias("Original"))
+    files = card.select(batch, file, session.alias("s")).groupBy("batch", "file").agg(F.collect_list("s").alias("Sessions"))
+    records = written_once(files.select("batch", "file", F.to_json(F.struct("Sessions")).alias("value")), "records")
+    for k in range(3):
+        own = records.where(F.col("batch") == k).select("file", "value")
+        own.repartition("file").write.partitionBy("file").text(f"{path}/{'sub/' * k}CvrExport_{k}.json")
+    records.select("value").write.text(f"{path}/sub/NotAnExport.json")
+    marks = M.read_export(spark, path)
+    return marks.groupBy(F.col("batchId").alias("batch")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("recordId").alias("n_records"))
+
+
+@query(
+    "mixed_headers",
+    """SELECT CAST(sum(CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END) AS BIGINT) AS ann, CAST(sum(CASE WHEN l_quantity <= 25 THEN 1 ELSE 0 END) AS BIGINT) AS bob,
+  count(*) AS n, count(*) AS n_ids, max(CAST(l_linenumber AS BIGINT)) AS most FROM lineitem""",
+)
+def mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of one county whose columns stand in different order: cells follow the printed name."""
+    path = scratch_path(spark, "mixed")
+    ann = F.when(F.col("l_quantity") > 25, "1").otherwise("0").alias("Gov Ann")
+    bob = F.when(F.col("l_quantity") > 25, "0").otherwise("1").alias("Gov Bob")
+    lines = table(spark, folder, "lineitem")
+    lines.where("l_orderkey % 2 = 0").select(ann, bob, F.col("l_linenumber").alias("Line")).write.option("header", True).csv(f"{path}/a")
+    lines.where("l_orderkey % 2 = 1").select(F.col("l_linenumber").alias("Line"), bob, ann).write.option("header", True).csv(f"{path}/b")
+    raw = D.read_wide_ballots(spark, [f"{path}/a", f"{path}/b"], multi_line=False).withColumn("county_name", F.lit("ONE"))
+    return D.number_rows(raw, "idx", ["county_name"]).agg(
+        F.sum(F.col("Gov Ann").cast("bigint")).alias("ann"), F.sum(F.col("Gov Bob").cast("bigint")).alias("bob"),
+        F.count(F.lit(1)).alias("n"), F.count_distinct("idx").alias("n_ids"), F.max(F.col("Line").cast("bigint")).alias("most"),
+    )
+
+
+@query(
+    "repeated_header_county",
+    """SELECT CASE WHEN c_acctbal > 0 THEN 'FIRST PERSON' ELSE 'SECOND PERSON' END AS candidate, count(*) AS n,
+  CAST(sum(place) AS BIGINT) AS places FROM (SELECT *, row_number() OVER (ORDER BY c_custkey) AS place FROM customer) c GROUP BY 1""",
+)
+def repeated_header_county(spark: SparkSession, folder: str) -> DataFrame:
+    """A county file whose header block stands again mid-file, all the way to ballots numbered without the block."""
+    path = scratch_path(spark, "repeated")
+    first = F.col("c_acctbal") > 0
+    lines = table(spark, folder, "customer").select(
+        (F.col("c_custkey") * 10).alias("at"),
+        F.concat_ws(",", F.col("c_custkey").cast("string"), F.when(first, "1").otherwise("0"), F.when(first, "0").otherwise("1")).alias("value"),
+    )
+    block = ("2020 General,,", "Cvr Number,President,President", ",First Person,Second Person", ",DEM,REP")
+    heads = [(start + k, v) for start in (-9, 501) for k, v in enumerate(block)]
+    file = lines.unionByName(spark.createDataFrame(heads, "at bigint, value string"))
+    # the case is one file; a table this long is written by one task
+    file.coalesce(1).sortWithinPartitions("at").select("value").write.text(path)
+    raw = D.read_multi_header(spark, path, probe=2)
+    names = [("President First Person Dem", "First Person"), ("President Second Person Rep", "Second Person")]
+    contests = [("OHIO", "WAYNE", c, "PRESIDENT", "1", n, None, "1") for c, n in names]
+    long = K.clean_wide(raw, "OHIO", "WAYNE", spark.createDataFrame(contests, _CONTEST_SCHEMA))
+    return long.groupBy("candidate").agg(F.count(F.lit(1)).alias("n"), F.sum("cvr_id").alias("places"))
+
+
+_BUILT = " UNION ALL ".join(
+    f"""SELECT '{state}' AS state, '{county}' AS county_name, CASE WHEN {first} THEN 'ANN' ELSE 'BOB' END AS candidate,
+  count(*) AS n, count(*) AS n_voters FROM {source} GROUP BY 3"""
+    for state, county, first, source in (
+        ("OHIO", "WAYNE", "c_acctbal > 0", "customer"), ("OHIO", "GREENE", "c_acctbal > 0", "customer"),
+        ("NEW JERSEY", "CUMBERLAND", "c_acctbal > 0", "customer"), ("TEXAS", "WARD", "s_suppkey % 2 = 0", "supplier"),
+    )
+)
+
+
+@query("manifest_build", _BUILT + " UNION ALL SELECT 'OHIO', 'LOST', 'SET ASIDE', 0, 0 UNION ALL SELECT 'UTAH', 'SAN JUAN', 'SET ASIDE', 0, 0")
+def manifest_build(spark: SparkSession, folder: str) -> DataFrame:
+    """A manifest of county files of several kinds, two of them faulty, to the partitioned ballot table."""
+    path = scratch_path(spark, "build")
+    customers, first = table(spark, folder, "customer"), F.col("c_acctbal") > 0
+    yes, no = F.when(first, "1").otherwise("0"), F.when(first, "0").otherwise("1")
+    customers.select(F.col("c_custkey").alias("Cvr Number"), yes.alias("Gov Ann"), no.alias("Gov Bob")).write.option("header", True).csv(f"{path}/wide")
+    lines = customers.select((F.col("c_custkey") * 10).alias("at"), F.concat_ws(",", F.col("c_custkey").cast("string"), yes, no).alias("value"))
+    block = ("2020 General,,", "Cvr Number,Gov,Gov", ",Ann,Bob", ",DEM,REP")
+    heads = spark.createDataFrame([(start + k, v) for start in (-9, 501) for k, v in enumerate(block)], "at bigint, value string")
+    lines.unionByName(heads).coalesce(1).sortWithinPartitions("at").select("value").write.text(f"{path}/banner")
+    offered = customers.select("c_custkey", F.explode(F.array(F.struct(F.lit("Ann").alias("who"), first.alias("vote")), F.struct(F.lit("Bob").alias("who"), (~first).alias("vote")))).alias("o"))
+    flags = offered.select(F.col("c_custkey").alias("CVRNumber"), F.lit("Gov").alias("Contest"), F.col("o.who").alias("Candidate"), F.col("o.vote").alias("IsVote"))
+    flags.write.option("header", True).csv(f"{path}/flags")
+    name = F.when(F.col("s_suppkey") % 2 == 0, "Ann").otherwise("Bob")
+    ballot = F.concat(F.lit("<CastVoteRecord><Contests><Contest><Name>Gov</Name><Options><Option><Name>"), name,
+                      F.lit("</Name></Option></Options></Contest></Contests><PrecinctSplit><Name>S</Name></PrecinctSplit></CastVoteRecord>"))
+    table(spark, folder, "supplier").select(F.col("s_suppkey").alias("ballot"), ballot.alias("value")).repartition("ballot").write.partitionBy("ballot").text(f"{path}/xml")
+    files = [
+        ("wide", "OHIO", "WAYNE", "delim", None), ("banner", "OHIO", "GREENE", "delim", None), ("flags", "NEW JERSEY", "CUMBERLAND", "special", None),
+        ("xml", "TEXAS", "WARD", "xml", None), ("gone", "OHIO", "LOST", "delim", None), ("x", "UTAH", "SAN JUAN", "special", None), ("wide", "OHIO", "SKIPPED", "delim", "no"),
+    ]
+    manifest = spark.createDataFrame([(f"{path}/{f[0]}", *f[1:]) for f in files], "path string, state string, county_name string, type string, build string")
+    named = [("Gov Ann", "Ann"), ("Gov Bob", "Bob"), ("Gov Ann Dem", "Ann"), ("Gov Bob Rep", "Bob"), ("Gov", None)]
+    rows = [(*county, k, "GOVERNOR", "STATEWIDE", n, None, "1") for county in {f[1:3] for f in files} for k, n in named]
+    parties = spark.createDataFrame([], "state string, office string, district string, candidate string, party_detailed string, issue string")
+    failed = build_ballots(spark, manifest, spark.createDataFrame(rows, _CONTEST_SCHEMA), parties, f"{path}/out")
+    built = Y.read_partitioned(spark, f"{path}/out").groupBy("state", "county_name", "candidate").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("cvr_id").alias("n_voters")
+    )
+    aside = spark.createDataFrame([(*f[:2], "SET ASIDE", 0, 0) for f in failed], "state string, county_name string, candidate string, n bigint, n_voters bigint")
+    return built.unionByName(aside)

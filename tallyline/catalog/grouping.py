@@ -367,13 +367,13 @@ def dense_group_rows(spark: SparkSession, folder: str) -> DataFrame:
         """SELECT state, office, party_detailed, candidate, votes, cand_rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY state, office, party_detailed ORDER BY votes DESC, candidate) AS INTEGER) AS cand_rank
   FROM (SELECT state, office, party_detailed, candidate, CAST(sum(qty) AS BIGINT) AS votes FROM ballots
-        GROUP BY state, office, party_detailed, candidate) t) u WHERE cand_rank <= 2"""
+        GROUP BY state, office, party_detailed, candidate) t) u"""
     ),
 )
 def top_candidates(spark: SparkSession, folder: str) -> DataFrame:
     keys = ["state", "office", "party_detailed"]
     summed = G.sum_by(ballots(spark, folder), [*keys, "candidate"], "qty", "votes")
-    return G.rank_in_group(summed, keys, [F.desc("votes"), F.asc("candidate")]).where("cand_rank <= 2")
+    return G.rank_in_group(summed, keys, [F.desc("votes"), F.asc("candidate")])
 
 
 @query(

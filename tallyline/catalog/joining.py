@@ -16,10 +16,11 @@ from tallyline.sources.layout import append_literals, stale_partitions, to_build
 @query(
     "left_lookup",
     """SELECT o_orderkey, o_custkey, c_mktsegment FROM orders
-LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON o_custkey = c_custkey""",
+LEFT JOIN customer ON o_custkey = CASE WHEN c_custkey % 7 = 0 THEN -c_custkey ELSE c_custkey END""",
 )
 def left_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    customers = table(spark, folder, "customer").where("c_acctbal > 0").select("c_custkey", "c_mktsegment")
+    unmatched = F.when(F.col("c_custkey") % 7 == 0, -F.col("c_custkey")).otherwise(F.col("c_custkey"))
+    customers = table(spark, folder, "customer").select(unmatched.alias("c_custkey"), "c_mktsegment")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     return J.join_differing_keys(orders, customers, {"o_custkey": "c_custkey"})
 
@@ -259,7 +260,7 @@ def remap_ids(spark: SparkSession, folder: str) -> DataFrame:
     with_ballots(
         """SELECT team, state, county_name, count(*) AS n FROM (
   SELECT 'first' AS team, * FROM ballots WHERE nk % 4 <> 1 AND nk <> 10
-  UNION ALL SELECT 'second' AS team, * FROM ballots WHERE nk % 4 = 1 AND choice_no < 6) t GROUP BY team, state, county_name"""
+  UNION ALL SELECT 'second' AS team, * FROM ballots WHERE nk % 4 = 1) t GROUP BY team, state, county_name"""
     ),
 )
 def coalesce_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -269,7 +270,7 @@ def coalesce_sources(spark: SparkSession, folder: str) -> DataFrame:
     ).select(F.col("r_name").alias("state"), F.col("n_name").alias("county_name"), F.col("n_nationkey").alias("nk"))
     both = L.source_precedence(
         rows.withColumn("team", F.lit("first")),
-        rows.where("choice_no < 6").withColumn("team", F.lit("second")),
+        rows.withColumn("team", F.lit("second")),
         counties.where("nk % 4 = 1").drop("nk"),
         counties.where("nk = 10").drop("nk"),
     )

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.nulls import all_true, any_true, col, holds, sum0
 from tallyline.operators.joins import join_null_safe
+from tallyline.session import written_once
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], bounded: bool = False, **stats: Column) -> DataFrame:
@@ -155,7 +156,7 @@ def running_number(df: DataFrame, keys: Sequence[str], index: str, name: str, st
     return numbered.withColumn(name, F.col("__shift") + F.col("__k")).drop("__piece", "__shift", "__k")
 
 
-def dense_ids(df: DataFrame, keys: Sequence[str], name: str = "id", buckets: int = 1024) -> DataFrame:
+def dense_ids(df: DataFrame, keys: Sequence[str], name: str = "id", buckets: int = 1 << 16) -> DataFrame:
     """Number the distinct keys 1..n without a global sort; keys plus ``name``.
 
     Distinct keys hash evenly into a fixed number of buckets, are numbered
@@ -171,7 +172,24 @@ def dense_ids(df: DataFrame, keys: Sequence[str], name: str = "id", buckets: int
     return numbered.join(shift, "__b").select(*keys, (F.col("__shift") + F.col("__k")).alias(name))
 
 
-def attach_ids(df: DataFrame, keys: Sequence[str], name: str = "id", buckets: int = 1024) -> DataFrame:
+def ordered_ids(df: DataFrame, key: str, name: str = "id") -> DataFrame:
+    """Number the distinct values of ``key`` 1..n in their order; ``key`` plus ``name``.
+
+    Values are dealt into ranges, numbered inside theirs and shifted by the
+    sizes of the ranges before.  The ranges are written once, so that every
+    later reading sees the same cut.
+    """
+    cut = df.select(key).distinct().repartitionByRange(F.col(key)).withColumn("__range", F.spark_partition_id())
+    ranged = written_once(cut, "ranges")
+    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
+    # one row per range reaches this ordered window
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select("__range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__shift"))
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy(key))
+    return ranged.withColumn("__k", inside).join(shift, "__range").select(key, (F.col("__shift") + F.col("__k")).alias(name))
+
+
+def attach_ids(df: DataFrame, keys: Sequence[str], name: str = "id", buckets: int = 1 << 16) -> DataFrame:
     """Rows plus the dense id of their key (a dense group id)."""
     return join_null_safe(df, dense_ids(df, keys, name, buckets), keys, "inner")
 
@@ -252,9 +270,10 @@ def variable_summary(
         F.count("x").alias("__n"),
         F.percentile_approx("x", [0.5 - margin, 0.5 + margin], accuracy).alias("__bracket"),
     )
+    base = written_once(base, "brackets")  # a row per variable
     low, high = F.col("__bracket")[0], F.col("__bracket")[1]
     side = F.when(F.col("x") < low, -1).when(F.col("x") > high, 1).otherwise(0)
-    placed = known.join(base.select("Variable", "__bracket"), "Variable").withColumn("__side", side)
+    placed = known.join(F.broadcast(base.select("Variable", "__bracket")), "Variable").withColumn("__side", side)
     folded = placed.groupBy("Variable", "__side", F.when(F.col("__side") == 0, F.col("x")).alias("__v")).agg(
         F.count(F.lit(1)).alias("__c"), F.min("x").alias("__min"), F.max("x").alias("__max")
     )

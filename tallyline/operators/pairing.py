@@ -82,6 +82,8 @@ class _Stretch:
             if ahead is not None and (behind is None or ahead - i <= i - behind):
                 top, top_origin, inherited = i, ahead, False
                 used += 1
+                if used >= AHEAD:
+                    raise OverflowError("more rows consumed ahead than a file of any length allows")
             elif behind is not None:
                 top = i
             else:

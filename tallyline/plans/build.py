@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,6 +76,19 @@ def county_ballots(
     return full.select(*[full[c].try_cast(t).alias(c) if c == "cvr_id" else full[c].cast(t).alias(c) for c, t in types.items()])
 
 
+#: What a failed job says when machines, not files, are at fault.
+LOST = ("ExecutorLostFailure", "FetchFailed", "OutOfMemoryError", "No space left on device", "SparkContext was shut down")
+FAULTS = (PySparkException, Py4JJavaError, ValueError, IndexError)
+
+
+def _reason(spark: SparkSession, error: Exception) -> str:
+    """What is wrong with a county's files; an error of the cluster is raised again."""
+    text = str(error)
+    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped() or any(mark in text for mark in LOST):
+        raise error
+    return text[:200]
+
+
 def build_ballots(
     spark: SparkSession, manifest: DataFrame, contests: DataFrame, parties: DataFrame, path: str, together: int = 32
 ) -> list[tuple[str, str, str]]:
@@ -91,8 +105,8 @@ def build_ballots(
         try:
             long = county_ballots(spark, row["type"], row["path"], row["state"], row["county_name"], contests)
             planned.append((row["state"], row["county_name"], K.merge_party(long, parties).drop("issue")))
-        except (PySparkException, ValueError, IndexError) as error:
-            failed.append((row["state"], row["county_name"], str(error)[:200]))
+        except FAULTS as error:
+            failed.append((row["state"], row["county_name"], _reason(spark, error)))
     for start in range(0, len(planned), together):
         failed += _write(planned[start : start + together], path)
     return failed
@@ -102,7 +116,8 @@ def _write(counties: Sequence[tuple[str, str, DataFrame]], path: str) -> list[tu
     try:
         Y.write_partitioned(reduce(DataFrame.unionByName, [c[2] for c in counties]), path, KEYS, "replace")
         return []
-    except PySparkException as error:
+    except FAULTS as error:
+        reason = _reason(counties[0][2].sparkSession, error)
         if len(counties) == 1:
-            return [(counties[0][0], counties[0][1], str(error)[:200])]
+            return [(counties[0][0], counties[0][1], reason)]
         return [f for county in counties for f in _write([county], path)]

@@ -217,28 +217,27 @@ def vote_partition(marks: DataFrame, keys: Sequence[str] = ("cvr_id",), contest:
     OVERVOTE row per distinct magnitude, as the counters say.
     """
     group = [*keys, contest]
+    choices = [c for c in ("precinct", "magnitude") if c in marks.columns]
+    party = [c for c in ("party_detailed",) if c in marks.columns]
     valid = F.col("isVote") & ~F.col("isAmbiguous")
-    # the ambiguity rule looks only at marks of undervoted contests
-    blank_marks = F.when(F.col("undervotes") > 0, F.col("isAmbiguous"))
-    flagged = with_group_stats(marks, group, __valid=F.bool_or(valid), __all=F.bool_and(blank_marks))
-    under_row = ~F.col("__valid") & (F.col("undervotes") > 0)
-    kept_mark = under_row & (~F.col("isAmbiguous") | F.coalesce(F.col("__all"), F.lit(False)))
-    over_row = ~F.col("__valid") & (F.col("overvotes") > 0)
-    labels = F.array_compact(
-        F.array(
-            F.when(valid, F.lit("VALID")), F.when(kept_mark, F.lit("UNDERVOTE")), F.when(over_row, F.lit("OVERVOTE"))
-        )
+    under, over = F.col("undervotes") > 0, F.col("overvotes") > 0
+    votes = marks.where(valid).select(*group, *choices, "candidate", *party, F.lit("VALID").alias("vote_class"))
+    # a row per choice first, so that what meets for a contest is as short as its list of magnitudes
+    folded = marks.groupBy(*group, *choices).agg(
+        F.bool_or(valid).alias("__valid"),
+        F.bool_and(F.when(under, F.col("isAmbiguous"))).alias("__all"),  # only marks of undervoted contests
+        F.bool_or(holds(under)).alias("__under"), F.bool_or(holds(under & ~F.col("isAmbiguous"))).alias("__clear"),
+        F.bool_or(holds(over)).alias("__over"),
     )
-    labelled = flagged.withColumn("vote_class", F.explode(labels)).drop("__valid", "__all")
-    choices = [c for c in ("precinct", "magnitude") if c in marks.columns]
-    columns = [*group, *choices, "candidate", *[c for c in ("party_detailed",) if c in marks.columns], "vote_class"]
-    votes = labelled.where("vote_class = 'VALID'").select(*columns)
-    blanks = (
-        labelled.where("vote_class <> 'VALID'")
-        .select(*group, *choices, F.col("vote_class").alias("candidate"), "vote_class")
-        .distinct()
+    contests = folded.groupBy(*group).agg(
+        F.bool_or("__valid").alias("__valid"), F.bool_and("__all").alias("__all"),
+        F.collect_list(F.struct(*choices, "__under", "__clear", "__over")).alias("__rows"),
     )
-    return votes.unionByName(blanks, allowMissingColumns=True)
+    rows = contests.where(~F.col("__valid")).select(*group, "__all", F.explode("__rows").alias("r"))
+    kept = F.col("r.__clear") | (F.col("r.__under") & F.coalesce(F.col("__all"), F.lit(False)))
+    labels = F.array_compact(F.array(F.when(kept, F.lit("UNDERVOTE")), F.when(F.col("r.__over"), F.lit("OVERVOTE"))))
+    blanks = rows.select(*group, *[F.col(f"r.{c}").alias(c) for c in choices], F.explode(labels).alias("candidate"))
+    return votes.unionByName(blanks.withColumn("vote_class", F.col("candidate")), allowMissingColumns=True)
 
 
 def clean_race_export(raw: DataFrame, state: str, county: str, contests: DataFrame) -> DataFrame:

@@ -116,13 +116,11 @@ def coalesce_teams(
     Both branches are one plan with one write; each county comes from exactly
     one team.
     """
-    wrong = twice_listed(
-        first,
-        (F.col("state") == "OHIO") & (F.col("county_name") == "SENECA") & (F.col("office") == "STATE HOUSE"),
-        "087",
-    )
+    # only one office of one county is corrected; all other ballots pass by
+    slip = holds((F.col("state") == "OHIO") & (F.col("county_name") == "SENECA") & (F.col("office") == "STATE HOUSE"))
+    wrong = twice_listed(first, slip, "087")
     keys = [*COUNTY, "cvr_id", "office", "district"]
-    own = first.join(wrong.select(*keys), keys, "left_anti")
+    own = first.where(~slip).unionByName(first.where(slip).join(wrong.select(*keys), keys, "left_anti"))
     ready = add_party(
         reallocate_precincts(
             own.join(removed.select(*COUNTY), list(COUNTY), "left_anti").join(swapped.select(*COUNTY), list(COUNTY), "left_anti")

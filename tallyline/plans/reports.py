@@ -12,7 +12,6 @@ from tallyline.functions.text import comma_number, extract, join_sorted, pad_lef
 from tallyline.operators.groups import (
     filter_modes, rollup_totals, row_sum, tally, variable_summary, with_group_stats,
 )
-from tallyline.operators.joins import checked_join
 from tallyline.rules import vocabulary as V
 
 COUNTY = ("state", "county_name")
@@ -275,7 +274,8 @@ def precinct_comparison(
     # one row per precinct and mode is enough for the rule
     by_mode = tally(official, [*keys, "mode"], "votes", "votes")
     single = tally(filter_modes(by_mode, keys, "drop_mixed", bounded=True), keys, "n_v", "votes")
-    joined = checked_join(ballots, single, keys, "left", "one-to-one")
+    # both sides were just folded by these keys
+    joined = ballots.join(single, keys, "left")
     # fixed values: labels of the figure
     shown = {"REPUBLICAN": "Trump Votes", "DEMOCRAT": "Biden Votes"}
     named = joined.where(F.col("precinct").isNotNull()).withColumn("cand", lookup("party_detailed", shown))

@@ -21,6 +21,7 @@ OFFICE_TITLES = {
     "STATE SENATE": "State Senate",
     "STATE HOUSE": "State House",
 }
+# fixed values: offices elected by district, by state, and states with one name for both
 DISTRICT_OFFICES = ("STATE HOUSE", "STATE SENATE", "US HOUSE")
 STATEWIDE_OFFICES = ("GOVERNOR", "US SENATE")
 STATEWIDE_STATES = ("ALASKA", "RHODE ISLAND", "DELAWARE")
@@ -30,6 +31,7 @@ COMPARED_PARTIES = (
     "DEMOCRAT", "REPUBLICAN", "LIBERTARIAN", "GREEN", "NO PARTY AFFILIATION",
     "UNDERVOTE", "UNDERVOTES", "undervote", "WRITEIN", "WRITE-IN",
 )
+# fixed values: the parties named in reports
 MAIN_PARTIES = ("DEMOCRAT", "REPUBLICAN", "LIBERTARIAN")
 
 # fixed values: metadata columns of wide ballot files, not contests
@@ -109,6 +111,7 @@ PRESIDENT = (
 )
 # fixed value: what is removed from candidate text before and after the marks
 TEXT_NOISE = r"^$|^NA$|^N/A$|\([^)]*\)$|\p{Mn}|\p{P}"
+# fixed value: a cell that names no one
 NO_CHOICE = r"undervote|overvote|No image found"
 
 # fixed values: party names as vendors' party lists print them (first match wins)

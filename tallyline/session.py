@@ -28,7 +28,11 @@ def build_session(master: str | None = None, app: str = "tallyline", **extra: st
         builder = builder.master(master)
     for key, value in {**SETTINGS, **{k.replace("_", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    # how files are cut into splits must not follow the number of executors (see `number_rows`)
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return spark
 
 
 def use_local_scratch(spark: SparkSession) -> None:

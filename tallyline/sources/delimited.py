@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -42,12 +43,9 @@ def with_row_source(df: DataFrame) -> DataFrame:
     """Remember file, block and position; call right after the read.
 
     How files are cut into splits depends on the number of cores unless the
-    least number of partitions is set; it is pinned here, so that a later
+    least number of partitions is set; ``build_session`` sets it, so that a later
     reading of the same files sees the same blocks whatever executors come or go.
     """
-    spark, pinned = df.sparkSession, "spark.sql.files.minPartitionNum"
-    if spark.conf.get(pinned, None) is None:
-        spark.conf.set(pinned, str(spark.sparkContext.defaultParallelism))
     return df.select(
         "*",
         F.col("_metadata.file_path").alias(FILE),
@@ -56,6 +54,10 @@ def with_row_source(df: DataFrame) -> DataFrame:
     )
 
 
+#: Rows numbered in one piece where a block has gaps.
+STRETCH = 1 << 16
+
+
 def number_rows(df: DataFrame, name: str = "idx", scope: Sequence[str] = (FILE,)) -> DataFrame:
     """Dense 1-based row number in file order, per file or per other scope.
 
@@ -64,24 +66,38 @@ def number_rows(df: DataFrame, name: str = "idx", scope: Sequence[str] = (FILE,)
     the number of rows before it.  Only one row per block - a file's size over
     the split size - is ever sorted.  That little table is written once, so its
     size is known when the join is planned and ballots stay where they were
-    read.  A row that does not fit its block is an error, never a wrong number.
+    read.  Where rows were removed after the read, a row's place is its rank
+    among the rows kept, taken in pieces of :data:`STRETCH` places.  A row that
+    does not fit its block is an error, never a wrong number.
     """
     blocks = df.groupBy(*scope, *[c for c in (FILE, BLOCK) if c not in scope]).agg(
-        F.count(F.lit(1)).alias("__rows"), F.min(SPOT).alias("__base")
+        F.count(F.lit(1)).alias("__rows"), F.min(SPOT).alias("__base"), F.max(SPOT).alias("__top")
     )
     order = Window.partitionBy(*scope).orderBy(FILE, BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.withColumn("__start", F.coalesce(F.sum("__rows").over(order), F.lit(0)))
     keys = list(dict.fromkeys([*scope, FILE, BLOCK]))
-    facts = ("__start", "__base", "__rows")
+    facts = ("__start", "__base", "__rows", "__top")
     known = written_once(starts.select(*keys, *facts), "blocks")
-    place = F.col(SPOT) - F.col("__base")
-    fits = (place >= 0) & (place < F.col("__rows"))
+    joined = df.join(known, keys, "left")
+    inside = F.col(SPOT).between(F.col("__base"), F.col("__top"))
+    if known.where("__top - __base + 1 <> __rows").limit(1).count():
+        joined = _ranked_in_block(joined, keys)
+    else:
+        joined = joined.withColumn("__place", F.col(SPOT) - F.col("__base") + 1)
     changed = F.raise_error(F.lit("the files were split differently while numbering their rows"))
-    return (
-        df.join(known, keys, "left")
-        .withColumn(name, F.when(fits, F.col("__start") + place + 1).otherwise(changed.cast("bigint")))
-        .drop(*facts)
-    )
+    fits = inside & (F.col("__place") <= F.col("__rows"))
+    return joined.withColumn(name, F.when(fits, F.col("__start") + F.col("__place")).otherwise(changed.cast("bigint"))).drop(*facts, "__place")
+
+
+def _ranked_in_block(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``__place``: 1, 2, ... among the rows a block still has."""
+    pieces = joined.withColumn("__piece", F.floor((F.col(SPOT) - F.col("__base")) / STRETCH))
+    before = Window.partitionBy(*keys).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = pieces.groupBy(*keys, "__piece").agg(F.count(F.lit(1)).alias("__size"))
+    shifts = written_once(sizes.withColumn("__shift", F.coalesce(F.sum("__size").over(before), F.lit(0))).drop("__size"), "pieces")
+    rank = F.row_number().over(Window.partitionBy(*keys, "__piece").orderBy(SPOT))
+    placed = pieces.join(shifts, [*keys, "__piece"], "left").withColumn("__place", F.col("__shift") + rank)
+    return placed.drop("__piece", "__shift")
 
 
 def drop_row_source(df: DataFrame) -> DataFrame:
@@ -108,28 +124,51 @@ def header_names(spark: SparkSession, path: str, multi_line: bool = True) -> lis
     return unique_names(_first_records(spark, path, 1, multi_line)[0])
 
 
+def listed_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """The data files that paths, folders and globs name, in order; nothing of them is read."""
+    found = spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths)).select("path").distinct()
+    return sorted(r["path"] for r in found.collect())
+
+
+def _by_header(spark: SparkSession, paths: Sequence[str], multi_line: bool) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header; headers are probed side by side, a few records each."""
+    files = listed_files(spark, paths)
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        headers = list(pool.map(lambda f: _first_records(spark, f, 1, multi_line), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, first in zip(files, headers):
+        if first:
+            groups.setdefault(tuple(unique_names(first[0])), []).append(path)
+    return groups
+
+
+def _one_header(spark: SparkSession, names: Sequence[str], files: Sequence[str], multi_line: bool) -> DataFrame:
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return _text_reader(spark, multi_line).schema(schema).option("header", True).csv(list(files))
+
+
 def read_wide_ballots(
     spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True, row_source: bool = True
 ) -> DataFrame:
-    """Wide ballot file(s): everything text, names as printed in the header.
+    """Wide ballot file(s): everything text, names as printed in each file's own header.
 
-    Files of one call must share a header.  ``multi_line=False`` lets Spark
-    split large files that hold no quoted line breaks.
+    Files may order their columns differently or lack some; cells follow the
+    printed name, and a column a file lacks is null.  Empty files are skipped.
+    ``multi_line=False`` lets Spark split large files that hold no quoted line
+    breaks.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    names = header_names(spark, paths[0], multi_line)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = _text_reader(spark, multi_line).schema(schema).option("header", True).csv(paths)
-    return with_row_source(df) if row_source else df
+    groups = _by_header(spark, [paths] if isinstance(paths, str) else list(paths), multi_line)
+    if not groups:
+        raise ValueError(f"no ballot file with a header at {paths}")
+    tables = [_one_header(spark, names, files, multi_line) for names, files in groups.items()]
+    if row_source:
+        tables = [with_row_source(t) for t in tables]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
 def read_many(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:
     """Many ballot files as one table; differing columns are filled with nulls."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        groups.setdefault(tuple(header_names(spark, path, multi_line)), []).append(path)
-    tables = [read_wide_ballots(spark, group, multi_line) for group in groups.values()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    return read_wide_ballots(spark, list(paths), multi_line)
 
 
 #: Fixed value: what the first cell of an election-banner file holds.
@@ -182,7 +221,6 @@ def read_multi_header(
     probe_at = min(probe, width) - 1
     label = re.sub(r"\.\.\.\d+$", "", stacked[0][probe_at] or "")
     marks = body.where(holds(F.col(f"c{probe_at}") == label)).select("__idx")
-    # the ordinal among data records is what the block arithmetic refers to
     kept = drop_around(body, "__idx", marks, before=1, after=n_header - 1)
     sources = kept.select(*[F.col(f"c{k}").alias(n) for k, n in enumerate(names)], FILE, BLOCK, SPOT)
     return sources

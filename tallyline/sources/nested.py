@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.columns import rename
-from tallyline.operators.groups import attach_ids
+from tallyline.operators.groups import attach_ids, ordered_ids
 from tallyline.operators.joins import star_lookup
 from tallyline.plans.parties import standard_party
 
@@ -69,8 +69,14 @@ def flatten_export(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_export(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return flatten_export(spark.read.schema(EXPORT_SCHEMA).option("multiLine", True).json(paths))
+#: What the path of an export file, or of the folder of its pieces, holds.
+EXPORT_NAME = r"(?i)/[^/]*cvrexport[^/]*\.json(/|$)"
+
+
+def read_export(spark: SparkSession, folder: str | Sequence[str]) -> DataFrame:
+    """Every ``CvrExport*.json`` below the folder, in sub-folders too; other files are not opened."""
+    raw = spark.read.schema(EXPORT_SCHEMA).option("multiLine", True).option("recursiveFileLookup", True).json(folder)
+    return flatten_export(raw.where(F.col("_metadata.file_path").rlike(EXPORT_NAME)))
 
 
 def read_json_ballots(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,7 +109,7 @@ def read_json_ballots(spark: SparkSession, folder: str) -> DataFrame:
         spark, f"{folder}/PrecinctPortionManifest.json", {"precinct": "Description string", **described}
     ).withColumnRenamed("id", "portion_key")
     marks = attach_ids(
-        read_export(spark, f"{folder}/*[Cc][Vv][Rr][Ee]xport*.json"),
+        read_export(spark, folder),
         ["batchId", "cardId", "tabulatorId", "recordId"],
         "cvr_id",
     )
@@ -125,25 +131,20 @@ XML_SCHEMA = (
 )
 
 
-def read_xml_ballots(
-    spark: SparkSession, path: str, row_tag: str = "CastVoteRecord", all_options: bool = False
-) -> DataFrame:
-    """One XML file per ballot -> rows (cvr_id, contest, candidate, precinct).
+def read_xml_ballots(spark: SparkSession, path: str, row_tag: str = "CastVoteRecord") -> DataFrame:
+    """One XML file per ballot below a folder, sub-folders included -> rows (cvr_id, contest, candidate, precinct).
 
-    A write-in beats the option's name, which beats the undervote marker.  By
-    default only a contest's first option counts; ``all_options`` keeps each.
-    The ballot number is the dense number of its file.
+    A write-in beats the option's name, which beats the undervote marker; every
+    option of a contest counts.  The ballot number is the place of its file in
+    the order of paths, which moving the whole folder does not change.
     """
-    raw = spark.read.format("xml").option("rowTag", row_tag).schema(XML_SCHEMA).load(path)
+    raw = spark.read.format("xml").option("rowTag", row_tag).option("recursiveFileLookup", True).schema(XML_SCHEMA).load(path)
     contests = raw.select(
         F.col("_metadata.file_path").alias("__file"),
         F.col("PrecinctSplit.Name").alias("precinct"),
         F.explode("Contests.Contest").alias("c"),
     )
-    if all_options:
-        options = contests.select("*", F.explode_outer("c.Options.Option").alias("o"))
-    else:
-        options = contests.withColumn("o", F.try_element_at("c.Options.Option", F.lit(1)))
+    options = contests.select("*", F.explode_outer("c.Options.Option").alias("o"))
     marker = F.when(F.col("c.Undervotes").try_cast("int") == 1, F.lit("undervote"))
     writein = F.when(F.col("o.WriteInData.Text").isNotNull(), F.lit("WRITEIN"))
     labelled = options.select(
@@ -152,4 +153,5 @@ def read_xml_ballots(
         F.regexp_replace(F.coalesce(writein, F.col("o.Name"), marker), "\n", " ").alias("candidate"),
         "precinct",
     )
-    return attach_ids(labelled, ["__file"], "cvr_id").select("cvr_id", "contest", "candidate", "precinct")
+    numbered = labelled.join(ordered_ids(contests, "__file", "cvr_id"), "__file")
+    return numbered.select("cvr_id", "contest", "candidate", "precinct")

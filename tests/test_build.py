@@ -1,5 +1,7 @@
 """Manifest to partitioned ballots, over every file type, with faulty counties set aside."""
 
+import gzip
+
 from test_sources import export
 
 from tallyline.plans.build import build_ballots
@@ -15,8 +17,13 @@ CONTESTS = (
 def test_build(spark, tmp_path):
     (tmp_path / "wide.csv").write_text("Cvr Number,Precinct,Gov Ann,Gov Bob\n5,P1,1,0\n6,P1,0,0\n")
     (tmp_path / "banner.csv").write_text(
-        "2020 General,,\nCvr Number,Gov,Gov\n,Ann,Bob\n,DEM,REP\n1,0,1\n2,1,0\n"
+        "2020 General" + "," * 19 + "\nCvr Number,Gov,Gov" + ",Pad" * 17 + "\n,Ann,Bob" + "," * 17 + "\n,DEM,REP" + "," * 17 + "\n1,0,1" + "," * 17
+        # the header block stands again mid-file
+        + "\n2020 General" + "," * 19 + "\nCvr Number,Gov,Gov" + ",Pad" * 17 + "\n,Ann,Bob" + "," * 17 + "\n,DEM,REP" + "," * 17 + "\n2,1,0" + "," * 17 + "\n"
     )
+    # cut short behind a good beginning
+    (tmp_path / "cut.csv.gz").write_bytes(gzip.compress(b"Cvr Number,Gov Ann,Gov Bob\n" + b"".join(b"%d,1,%d\n" % (k, k * k % 7) for k in range(200_000)))[:-4000])
+    (tmp_path / "broken.csv.gz").write_bytes(b"\x1f\x8b\x08\x00 no gzip")
     (tmp_path / "json").mkdir()
     export(tmp_path / "json")
     (tmp_path / "xml").mkdir()
@@ -30,6 +37,7 @@ def test_build(spark, tmp_path):
         ("wide.csv", "OHIO", "WAYNE", "delim", None), ("banner.csv", "OHIO", "GREENE", "delim", None),
         ("json", "ARIZONA", "MARICOPA", "json", None), ("xml", "TEXAS", "WARD", "xml", None),
         ("flags.csv", "NEW JERSEY", "CUMBERLAND", "special", None), ("gone.csv", "OHIO", "LOST", "delim", None),
+        ("cut.csv.gz", "OHIO", "CUT", "delim", None), ("broken.csv.gz", "OHIO", "BROKEN", "delim", None),
         ("x", "UTAH", "SAN JUAN", "special", None), ("wide.csv", "OHIO", "SKIPPED", "delim", "no"),
     ]
     manifest = spark.createDataFrame(
@@ -48,7 +56,7 @@ def test_build(spark, tmp_path):
     )
     out = str(tmp_path / "out")
     failed = build_ballots(spark, manifest, contests, parties, out, together=3)
-    assert sorted(f[:2] for f in failed) == [("OHIO", "LOST"), ("UTAH", "SAN JUAN")]
+    assert sorted(f[:2] for f in failed) == [("OHIO", "BROKEN"), ("OHIO", "CUT"), ("OHIO", "LOST"), ("UTAH", "SAN JUAN")]
     got = read_partitioned(spark, out).select("county_name", "cvr_id", "office", "district", "candidate", "party_detailed").collect()
     assert sorted(map(tuple, got), key=str) == sorted([
         ("WAYNE", 1, "GOVERNOR", "OHIO", "ANN", "DEMOCRAT"), ("WAYNE", 2, "GOVERNOR", "OHIO", "UNDERVOTE", None),

@@ -117,13 +117,41 @@ def test_xml_ballots(spark, tmp_path):
                 "</Contest></Contests><PrecinctSplit><Name>P1</Name></PrecinctSplit></CastVoteRecord>")
 
     two = "<Option><Name>Ann</Name></Option><Option><Name>Bob</Name></Option>"
-    for k, text in enumerate([ballot(two), ballot("<Option><WriteInData><Text>Me</Text></WriteInData></Option>"), ballot("", "1"), ballot("")]):
-        (tmp_path / f"{k}.xml").write_text(text)
-    got = M.read_xml_ballots(spark, str(tmp_path))
-    assert cells(got, "contest", "candidate", "precinct") == [
-        ("Gov ernor", "Ann", "P1"), ("Gov ernor", "WRITEIN", "P1"), ("Gov ernor", "undervote", "P1"), ("Gov ernor", None, "P1")]
-    assert sorted(r["cvr_id"] for r in got.collect()) == [1, 2, 3, 4]
-    assert M.read_xml_ballots(spark, str(tmp_path), all_options=True).where("candidate = 'Bob'").count() == 1
+    for folder in ("b", "a"):
+        (tmp_path / folder / "sub").mkdir(parents=True)
+        for k, text in enumerate([ballot(two), ballot("<Option><WriteInData><Text>Me</Text></WriteInData></Option>"), ballot("", "1"), ballot("")]):
+            (tmp_path / folder / ("sub" if k == 2 else "") / f"{k}.xml").write_text(text)
+    for folder in ("b", "a"):  # numbers follow the paths below the folder, wherever it lies; sub-folders and second options count
+        got = M.read_xml_ballots(spark, str(tmp_path / folder))
+        assert cells(got, "cvr_id", "contest", "candidate", "precinct") == sorted([
+            (1, "Gov ernor", "Ann", "P1"), (1, "Gov ernor", "Bob", "P1"), (2, "Gov ernor", "WRITEIN", "P1"),
+            (4, "Gov ernor", "undervote", "P1"), (3, "Gov ernor", None, "P1")], key=str)
+
+
+def test_exports_in_sub_folders(spark, tmp_path):
+    export(tmp_path)
+    (tmp_path / "batch2").mkdir()
+    (tmp_path / "CvrExport_2.json").rename(tmp_path / "batch2" / "CvrExport_2.json")
+    assert M.read_json_ballots(spark, str(tmp_path)).count() == 3
+
+
+def test_headers_of_differing_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Cvr,Gov Ann,Gov Bob\n1,1,0\n2,0,1\n")
+    (tmp_path / "b.csv").write_text("Cvr,Gov Bob,Gov Ann,More\n3,1,0,x\n")
+    (tmp_path / "c.csv").write_text("")
+    got = D.read_wide_ballots(spark, str(tmp_path / "*.csv"))
+    assert cells(got, "Cvr", "Gov Ann", "Gov Bob", "More") == [("1", "1", "0", None), ("2", "0", "1", None), ("3", "0", "1", "x")]
+
+
+def test_numbers_close_the_gaps_of_removed_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(D, "STRETCH", 4)
+    for name, n in (("a", 23), ("b", 9)):
+        (tmp_path / f"{name}.csv").write_text("v\n" + "".join(f"{name}{k:02}\n" for k in range(n)))
+    raw = D.read_wide_ballots(spark, str(tmp_path / "*.csv")).withColumn("county", F.lit("X"))
+    kept = raw.where(~F.col("v").isin("a05", "a06", "a07", "a08", "a09", "b00", "b04"))
+    got = D.number_rows(kept, "idx", ["county"]).select("v", "idx").collect()
+    want = sorted(r["v"] for r in kept.select("v").collect())
+    assert sorted(map(tuple, got)) == [(v, k + 1) for k, v in enumerate(want)]
 
 
 def test_replace_touches_only_its_partitions(spark, tmp_path):
