@@ -35,8 +35,12 @@ def brute(texts, items):
         windows = [tuple(own[i : i + 5]) for i in range(len(own) - 4)]
         for k, t in enumerate(texts):
             have = t.split()
-            seen = {tuple(have[i : i + 5]) for i in range(len(have) - 4)}
-            if sum(x in seen for x in windows) >= D.CONTAINED * len(windows):
+            at = {}
+            for i in range(len(have) - 4):
+                at.setdefault(tuple(have[i : i + 5]), []).append(i)
+            shifts = [p - i for i, x in enumerate(windows) for p in at.get(x, ())]
+            run = max((shifts.count(s) for s in set(shifts)), default=0)
+            if sum(x in at for x in windows) >= D.CONTAINED * len(windows) or run >= D.RUN:
                 out.add((k, item))
     return sorted(out)
 

@@ -1,5 +1,4 @@
 import corpus_pipeline as C
-import pytest
 
 from tallyline.llm import decontaminate, mixing, pii, simhash, toxicity
 from tallyline.llm.base import QUERIES, table
@@ -35,13 +34,17 @@ def test_stages_take_effect(spark):
     for r in last.collect():
         got[r["doc_id"]] = got.get(r["doc_id"], 0) + 1
     assert all(got.get(k, 0) == n for k, n in want.items())
-    assert ids(C.run(spark, SF)) == ids(last)
 
 
-@pytest.mark.parametrize("rows", [[], cases.edges()[:9]], ids=["empty", "edges"])
-def test_stages_take_awkward_rows(spark, rows):
-    df = cases.table(spark, rows)
+def test_run_chains_the_stages(spark, monkeypatch):
+    monkeypatch.setattr(C, "STAGES", [(str(k), lambda s, docs, d, k=k: docs.where(docs.doc_id % 5 != k)) for k in range(4)])
+    assert {r["doc_id"] % 5 for r in C.run(spark, SF).select("doc_id").collect()} == {4}
+
+
+def test_stages_take_awkward_rows(spark):
+    df = cases.table(spark, cases.edges()[:9])
     for name, stage in C.STAGES:
         out = stage(spark, df, SF)
-        assert out.columns[: len(df.columns)] == df.columns and (out.count() == 0 if not rows else True), name
+        assert out.columns[: len(df.columns)] == df.columns, name
         df = out.select(*df.columns)
+    assert df.count()
