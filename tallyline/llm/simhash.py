@@ -213,16 +213,29 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """``docs`` with one row of each component of :func:`near_copies`: that of the least id, nulls last.
 
-    Of rows with equal ids and fingerprints' component, one stays.  All columns are kept.
+    Of several texts with that id the one of least hash stays, and of equal
+    rows one.  All columns are kept.  A row is known by its id and the hash of
+    its text, so the texts themselves are neither copied nor sent to Python twice.
     """
-    fp, row = fresh(docs, "fp_of_text"), fresh(docs, "row_of_text")
+    own = fresh(docs, "key_of_text")
+    text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     with Scratch(docs.sparkSession) as scratch:
-        staged = scratch.write(docs.select("*", fingerprint(F.col("text"), shingle).alias(fp), F.monotonically_increasing_id().alias(row)), "staged")
-        keys = staged.select(F.col(fp).alias("fp"), F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("long").alias("id"), F.col(row).alias("row")).alias("first"))
-        values = scratch.write(keys.groupBy("fp").agg(F.min("first").alias("first")), "distinct-fingerprints")
+        rows = needed(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("id"), text_key.alias("text_key"), fingerprint(F.col("text"), shingle).alias("fp"))
+        keys = scratch.write(rows.groupBy("fp", "id", "text_key").agg(F.count("*").alias("n")), "fingerprints")
+        first = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key", "n")
+        values = scratch.write(keys.groupBy("fp").agg(F.min(first).alias("first")), "distinct-fingerprints")
         classes = _classes(values, distance, scratch)
-        winners = classes.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
-        return scratch.keep(staged.join(winners, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns]), "one-of-each")
+        winners = scratch.write(classes.groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.text_key", "first.n"), "winners")
+        same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("w.id")) & (F.col(f"d.{own}") == F.col("w.text_key"))
+        met = docs.withColumn(own, text_key).alias("d").join(winners.alias("w"), same)
+        columns = [F.col(f"d.`{c}`") for c in docs.columns]
+        kept = met.where("w.n = 1").select(*columns)
+        if winners.where("n > 1").limit(1).count():
+            # rows that are there several times with one id
+            again = met.where("w.n > 1").select(*columns, F.col(f"d.{own}"))
+            once = again.groupBy(F.col("doc_id").cast("long"), own).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row"))
+            kept = kept.unionByName(once.select(*[F.col(f"row.`{c}`") for c in docs.columns]))
+        return scratch.keep(kept, "one-of-each")
 
 
 @query("op3_simhash_near_dedup")

@@ -204,8 +204,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     marked = needed(labels, "doc_id", "toxic").where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     total = marked.count()
     share = min(1.0, rows / max(total, 1))
-    some = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    return needed(docs, "doc_id", "text").join(some, "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int"))
+    some = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).limit(2 * rows)
+    # the sample is bounded, so texts need not be shuffled to meet it
+    return needed(docs, "doc_id", "text").join(F.broadcast(some), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int"))
 
 
 def _key_odds(rows: DataFrame, toxic: int, clean: int) -> dict[str, float]:
