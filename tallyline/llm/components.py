@@ -28,7 +28,7 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 
 def _mark(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).head())
+    return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).head())
 
 
 def stars(links: DataFrame, scratch: Scratch) -> DataFrame:
