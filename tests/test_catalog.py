@@ -1,6 +1,9 @@
 """Registered queries: against DuckDB on the smallest tables, and their plans."""
 
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -47,3 +50,12 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "PushedFilters: [" in plan and "GreaterThanOrEqual(l_shipdate" in plan
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
     assert {c.split(":")[0] for c in schema.split(",")} == {"l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"}
+
+
+def test_entry_stands_without_the_training_data_subpackage():
+    code = (
+        "import sys; sys.modules['tallyline.llm'] = sys.modules['corpus_pipeline'] = None\n"
+        "import __spark_entry__ as e; from tallyline import catalog\n"
+        "assert set(e.queries()) == set(catalog.QUERIES) and e.oracle_sql() == catalog.ORACLES"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(entry.__file__).parent)
