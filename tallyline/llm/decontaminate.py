@@ -1,11 +1,14 @@
 """Benchmark passages in documents by template windows (operator 1).
 
 Numbers, names and units become typed slots that keep their value: a token is a
-lower-case word, or a mark (1 name, 2 number, 3 unit) followed by the value.
-Windows of five tokens, slots reduced to their mark, are hashed and joined with
-the windows of the benchmark.  A document that holds enough of an item's
-windows, or a long aligned run of them, is a candidate; it is a leak if along
-the alignment every slot value of the item keeps one value in the document.
+lower-case word, or a mark (1 name, 2 number, 3 unit, 4 capital that opens a
+sentence) followed by the value.  Windows of five tokens, slots reduced to their
+mark, are hashed and joined with the windows of the benchmark, in three forms:
+as a template (opening capitals are words), plain (names are words as well, so
+case and punctuation do not matter) and open (opening capitals are names).  A
+document that holds enough of an item's windows of one form, or a long aligned
+run of them, is a candidate; it is a leak if along the alignment every slot
+value of the item keeps one value in the document.
 All of it is column expressions and joins; only windows that meet the benchmark
 leave the scan.
 """
@@ -36,17 +39,21 @@ UNITS = (
     "dollar", "dollars", "euro", "euros", "cent", "cents", "percent", "degree", "degrees", "kb", "mb", "gb", "hz", "w", "kw", "v", "mph",
 )
 
-_NAME = r"""\p{Lu}(?<=[\p{L}\p{N},;:)"']\s\p{Lu})[\p{L}\p{M}]*+"""
+#: Forms of windows.
+TEMPLATE, PLAIN, OPEN = 0, 1, 2
+
+_CAPITAL = r"""\p{Lu}(?<![\p{L}\p{M}\p{N}]\p{Lu})[\p{L}\p{M}]*+"""
+_INSIDE = r"""\x04(?<=[\p{L}\p{N},;:)"'](?:\s|[ \t]{2,8})\x04)"""
 _NUMBER = r"(?<![\p{L}\p{N}.,])[0-9]++(?:[.,:/-][0-9]++)*+"
 _UNIT = r"(\x02[0-9.,:/-]*[0-9]\s?)(" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{N}])"
-_TOKEN = r"\x02[0-9]++(?:[.,:/-][0-9]++)*+|[\x01\x03]?[\p{L}\p{M}\p{N}]++"
+_TOKEN = r"\x02[0-9]++(?:[.,:/-][0-9]++)*+|[\x01\x03\x04]?[\p{L}\p{M}\p{N}]++"
 #: Everything that sorts below this begins with a mark.
-_WORDS_FROM = "\u0004"
+_WORDS_FROM = "\u0005"
 
 
 def tokens(text: Column) -> Column:
     """Template tokens of a text, slots with mark and value; none for null."""
-    named = F.regexp_replace(F.coalesce(text, F.lit("")), _NAME, "\u0001$0")
+    named = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), _CAPITAL, "\u0004$0"), _INSIDE, "\u0001")
     numbered = F.regexp_replace(F.regexp_replace(named, _NUMBER, "\u0002$0"), _UNIT, "$1\u0003$2")
     return F.regexp_extract_all(F.lower(F.when(named.rlike("[0-9]"), numbered).otherwise(named)), F.lit(_TOKEN), F.lit(0))
 
@@ -55,8 +62,37 @@ def _is_slot(token: Column) -> Column:
     return token < F.lit(_WORDS_FROM)
 
 
-def _hashes(toks: Column) -> Column:
-    return F.transform(toks, lambda t: F.xxhash64(F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t)))
+def _word(token: Column) -> Column:
+    """A token without the mark of a name."""
+    return F.when(token.startswith("\u0001") | token.startswith("\u0004"), F.substring(token, 2, 1 << 30)).otherwise(token)
+
+
+def plain(toks: Column) -> Column:
+    """Tokens with names as words; a unit is any unit word after a number, whatever its case."""
+
+    def one(t: Column, i: Column) -> Column:
+        word = F.when(_is_slot(t), F.substring(t, 2, 1 << 30)).otherwise(t)
+        unit = F.get(toks, i - 1).startswith("\u0002") & word.isin(*UNITS)
+        return F.when(t.startswith("\u0002"), t).when(unit, F.concat(F.lit("\u0003"), word)).otherwise(word)
+
+    return F.transform(toks, one)
+
+
+def _hashes(toks: Column, form: int) -> Column:
+    """Hash of every token, slots by mark; ``toks`` are the plain ones for that form."""
+
+    def one(t: Column) -> Column:
+        kind = F.substring(t, 1, 1)
+        opening = F.lit("\u0001") if form == OPEN else F.substring(t, 2, 1 << 30)
+        return F.xxhash64(F.when(t >= _WORDS_FROM, t).when(kind == "\u0004", opening).otherwise(kind))
+
+    return F.transform(toks, one)
+
+
+def _hashed(rows: DataFrame, *keep: str) -> DataFrame:
+    """``rows`` of ``toks`` with a column of token hashes per form."""
+    both = rows.withColumn("plain", plain(F.col("toks")))
+    return both.select(*keep, *[_hashes(F.col("plain" if form == PLAIN else "toks"), form).alias(f"h{form}") for form in (TEMPLATE, PLAIN, OPEN)])
 
 
 def _windows(hashes: Column) -> Column:
@@ -70,13 +106,18 @@ def _text_key(text: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``item_id``, ``toks``, ``windows`` (number looked for), ``place``, ``hash`` of every informative window."""
+    """``item_id``, ``toks``, ``form``, ``windows`` (number looked for), ``place``, ``hash`` of every informative window."""
     items = needed(benchmark, "item_id", "text").withColumn("toks", tokens(F.col("text"))).select("item_id", _text_key(F.col("text")).alias("item_key"), "toks")
-    items = items.dropDuplicates(["item_id", "item_key"]).withColumn("hashes", _hashes(F.col("toks")))
-    placed = items.select("item_id", "item_key", "toks", F.posexplode(_windows(F.col("hashes"))).alias("place", "hash"))
-    literal = F.size(F.filter(F.slice("toks", F.col("place") + 1, F.lit(WINDOW)), lambda t: ~_is_slot(t)))
-    kept = placed.where(literal >= LITERALS)
-    return kept.withColumn("windows", F.count("*").over(W.partitionBy("item_id", "item_key")))
+    items = _hashed(items.dropDuplicates(["item_id", "item_key"]), "item_id", "item_key", "toks", "plain")
+    forms = F.array(*[
+        F.struct(F.lit(form).alias("form"), F.col("plain" if form == PLAIN else "toks").alias("read"), _windows(F.col(f"h{form}")).alias("hashes"))
+        for form in (TEMPLATE, PLAIN, OPEN)
+    ])
+    formed = items.select("item_id", "item_key", "toks", F.explode(forms).alias("f"))
+    placed = formed.select("item_id", "item_key", "toks", "f.form", "f.read", F.posexplode("f.hashes").alias("place", "hash"))
+    literal = F.size(F.filter(F.slice("read", F.col("place") + 1, F.lit(WINDOW)), lambda t: (t >= _WORDS_FROM) | ((F.col("form") == TEMPLATE) & t.startswith("\u0004"))))
+    kept = placed.where(literal >= LITERALS).drop("read")
+    return kept.withColumn("windows", F.count("*").over(W.partitionBy("item_id", "item_key", "form")))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -91,21 +132,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     with Scratch(spark) as scratch:
         index = scratch.write(benchmark_windows(benchmark), "benchmark-windows")
-        looked_for = index.select("item_id", "item_key", F.col("place").alias("item_place"), F.col("windows").alias("item_windows"), "hash")
+        looked_for = index.select("item_id", "item_key", "form", F.col("place").alias("item_place"), F.col("windows").alias("item_windows"), "hash")
         if index.count() <= BROADCAST_WINDOWS:
             looked_for = F.broadcast(looked_for)
         rows = needed(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-        hashed = rows.select("doc_id", _text_key(F.col("text")).alias("text_key"), tokens(F.col("text")).alias("toks")).select("doc_id", "text_key", _hashes(F.col("toks")).alias("hashes"))
-        placed = hashed.select("doc_id", "text_key", F.posexplode(_windows(F.col("hashes"))).alias("place", "hash"))
-        met = placed.join(looked_for, "hash").select("doc_id", "text_key", "item_id", "item_key", "item_windows", "item_place", (F.col("place") - F.col("item_place")).alias("shift"))
+        read = rows.select("doc_id", _text_key(F.col("text")).alias("text_key"), tokens(F.col("text")).alias("toks"))
+        hashed = _hashed(read, "doc_id", "text_key")
+        all_forms = F.concat(*[_windows(F.col(f"h{form}")) for form in (TEMPLATE, PLAIN, OPEN)])
+        places = F.greatest(F.size(f"h{TEMPLATE}") - WINDOW, F.lit(0)) + 1
+        placed = hashed.select("doc_id", "text_key", places.alias("places"), F.posexplode(all_forms).alias("at", "hash"))
+        placed = placed.select("doc_id", "text_key", (F.col("at") % F.col("places")).alias("place"), "hash")
+        met = placed.join(looked_for, "hash").select("doc_id", "text_key", "item_id", "item_key", "form", "item_windows", "item_place", (F.col("place") - F.col("item_place")).alias("shift"))
         # equal rows fold here, so a place counts once however often its document is there
-        hits = scratch.write(met.groupBy("doc_id", "text_key", "item_id", "item_key", "item_windows", "item_place", "shift").agg(F.lit(1).alias("one")).drop("one"), "window-hits")
-        pair = ["doc_id", "text_key", "item_id", "item_key", "item_windows"]
+        hits = scratch.write(met.groupBy("doc_id", "text_key", "item_id", "item_key", "form", "item_windows", "item_place", "shift").agg(F.lit(1).alias("one")).drop("one"), "window-hits")
+        pair = ["doc_id", "text_key", "item_id", "item_key", "form", "item_windows"]
         held = hits.groupBy(*pair, "item_place").agg(F.lit(1).alias("one")).groupBy(*pair).agg(F.count("*").alias("held_windows"))
         runs = hits.groupBy(*pair, "shift").agg(F.count("*").alias("run")).groupBy(*pair).agg(F.max(F.struct("run", (-F.col("shift")).alias("back"))).alias("best"))
         best = held.withColumnRenamed("doc_id", "id").alias("h").join(
             runs.withColumnRenamed("doc_id", "id").alias("r"),
-            F.expr("h.id <=> r.id AND h.text_key = r.text_key AND h.item_id <=> r.item_id AND h.item_key = r.item_key"),
+            F.expr("h.id <=> r.id AND h.text_key = r.text_key AND h.item_id <=> r.item_id AND h.item_key = r.item_key AND h.form = r.form"),
         ).select("h.*", F.col("r.best.run").alias("run"), (-F.col("r.best.back")).alias("shift"))
         enough = (F.col("held_windows") >= CONTAINED * F.col("item_windows")) | (F.col("run") >= RUN)
         candidates = scratch.write(best.where(enough), "candidates")
@@ -120,25 +165,33 @@ def _consistent(candidates: DataFrame, hits: DataFrame, rows: DataFrame, index:
     doc_tokens = texts.select("doc_id", "text_key", tokens(F.col("text")).alias("doc_toks"))
     item_tokens = index.select("item_id", "item_key", "toks").dropDuplicates(["item_id", "item_key"])
     c, h, d, i = candidates.alias("c"), hits.alias("h"), doc_tokens.alias("d"), item_tokens.alias("i")
-    same = "c.id <=> h.doc_id AND c.text_key = h.text_key AND c.item_id <=> h.item_id AND c.item_key = h.item_key AND c.shift = h.shift"
-    aligned = c.join(h, F.expr(same)).select("c.*", "h.item_place").groupBy("id", "text_key", "item_id", "item_key", "shift").agg(F.collect_set("item_place").alias("places"))
+    same = "c.id <=> h.doc_id AND c.text_key = h.text_key AND c.item_id <=> h.item_id AND c.item_key = h.item_key AND c.form = h.form AND c.shift = h.shift"
+    aligned = c.join(h, F.expr(same)).select("c.*", "h.item_place").groupBy("id", "text_key", "item_id", "item_key", "form", "shift").agg(F.collect_set("item_place").alias("places"))
     a = aligned.alias("a")
     both = a.join(d, F.expr("a.id <=> d.doc_id AND a.text_key = d.text_key")).join(i, F.expr("a.item_id <=> i.item_id AND a.item_key = i.item_key"))
     covered = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + (WINDOW - 1)))))
     inside = F.filter(covered, lambda p: p < F.size("toks"))
+    is_plain = F.col("form") == PLAIN
+    read = both.withColumns({c: F.when(is_plain, plain(F.col(c))).otherwise(F.col(c)) for c in ("toks", "doc_toks")})
     pairs = F.transform(inside, lambda p: F.struct(F.get("toks", p).alias("item_value"), F.get("doc_toks", p + F.col("shift")).alias("doc_value")))
-    slots = both.select("a.id", "a.text_key", "a.item_id", "a.item_key", F.explode(F.filter(pairs, lambda s: _is_slot(s["item_value"]))).alias("slot"))
-    keys = ["id", "text_key", "item_id", "item_key"]
-    kept = slots.groupBy(*keys, "slot.item_value").agg((F.min("slot.doc_value") == F.max("slot.doc_value")).alias("same")).groupBy(*keys).agg(
-        F.count("*").alias("slot_values"), F.avg(F.col("same").cast("double")).alias("slot_consistency"))
+    named = F.filter(pairs, lambda s: _is_slot(s["item_value"]) & ((F.col("form") == OPEN) | ~s["item_value"].startswith("\u0004")))
+    slots = read.select("a.id", "a.text_key", "a.item_id", "a.item_key", "a.form", F.explode(named).alias("slot"))
+    keys = ["id", "text_key", "item_id", "item_key", "form"]
+    slots = slots.select(*keys, (~F.col("slot.item_value").startswith("\u0004")).alias("sure"), _word(F.col("slot.item_value")).alias("item_value"), _word(F.col("slot.doc_value")).alias("doc_value"))
+    values = slots.groupBy(*keys, "item_value").agg(F.max("sure").alias("sure"), F.min("doc_value").alias("low"), F.max("doc_value").alias("high"))
+    # a word that only opens sentences and is the same in both is no name
+    values = values.where("sure OR low <> item_value OR high <> item_value")
+    kept = values.groupBy(*keys).agg(F.count("*").alias("slot_values"), F.avg((F.col("low") == F.col("high")).cast("double")).alias("slot_consistency"))
     s = kept.alias("s")
-    found = c.join(s, F.expr("c.id <=> s.id AND c.text_key = s.text_key AND c.item_id <=> s.item_id AND c.item_key = s.item_key"), "left")
-    out = found.select(
-        F.col("c.id").alias("doc_id"), "c.text_key", "c.item_id", "c.item_windows", "c.held_windows",
-        (F.col("held_windows") / F.col("item_windows")).alias("containment"),
-        F.coalesce("slot_values", F.lit(0)).alias("slot_values"), F.coalesce("slot_consistency", F.lit(1.0)).alias("slot_consistency"),
-    )
-    return out.where(F.col("slot_consistency") >= CONSISTENT)
+    found = c.join(s, F.expr("c.id <=> s.id AND c.text_key = s.text_key AND c.item_id <=> s.item_id AND c.item_key = s.item_key AND c.form = s.form"), "left")
+    contained = F.col("held_windows") / F.col("item_windows")
+    facts = {
+        "containment": contained, "first_form": -F.col("c.form"), "item_windows": F.col("c.item_windows"), "held_windows": F.col("c.held_windows"),
+        "slot_values": F.coalesce("slot_values", F.lit(0)), "slot_consistency": F.coalesce("slot_consistency", F.lit(1.0)),
+    }
+    out = found.select(F.col("c.id").alias("doc_id"), "c.text_key", "c.item_id", "c.item_key", F.struct(*[v.alias(k) for k, v in facts.items()]).alias("f"))
+    best = out.where(F.col("f.slot_consistency") >= CONSISTENT).groupBy("doc_id", "text_key", "item_id", "item_key").agg(F.max("f").alias("f"))
+    return best.select("doc_id", "text_key", "item_id", *[f"f.{k}" for k in ("item_windows", "held_windows", "containment", "slot_values", "slot_consistency")])
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -28,6 +28,21 @@ def test_reparameterised_questions(spark):
     assert got == [(0, 1), (1, 1)]
 
 
+def test_copies_in_other_case_spacing_and_punctuation(spark):
+    item = "A train leaves with Anna and 120 km go by in 2 hours. Before noon Anna meets Bert. They cross the bridge."
+    texts = [
+        item.upper(), item.lower(), item.replace(".", ""), item.replace(" Anna", "  Anna"), "so said " + item, item.title(),
+        item.replace("Anna", "  Carla").replace("120", "75"), cases.prose(100, 5),
+    ]
+    assert found(spark, texts, [(1, item)]) == [(k, 1) for k in range(7)]
+
+
+def test_names_that_open_sentences(spark):
+    item = "Tom has 3 apples in the basket. Tom gives 2 apples to the girl."
+    texts = [item.replace("Tom", "Carla"), item.replace("Tom has", "Carla has").replace("Tom gives", "Ines gives"), item]
+    assert found(spark, texts, [(1, item)]) == [(0, 1), (2, 1)]
+
+
 def brute(texts, items):
     out = set()
     for item, text in items:
