@@ -15,6 +15,8 @@ leave the scan.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,8 +24,10 @@ from pyspark.sql import functions as F
 from tallyline.llm.base import Scratch, fresh, needed, query, table
 
 WINDOW = 5
-#: Words (not slots) a benchmark window needs to be looked for.
+#: Words (not slots) a benchmark window needs to be looked for by marks; plain windows with fewer are looked for by their values.
 LITERALS = 3
+#: Tokens an item needs to be looked for; one of fewer tokens than a window is a window of its own length.
+LEAST = 3
 #: Share of an item's windows a document must hold, or the windows of one alignment that are enough.
 CONTAINED, RUN = 0.8, 9
 #: Share of an item's slot values that must keep one value.
@@ -90,15 +94,26 @@ def _hashes(toks: Column, form: int) -> Column:
 
 
 def _hashed(rows: DataFrame, *keep: str) -> DataFrame:
-    """``rows`` of ``toks`` with a column of token hashes per form."""
+    """``rows`` of ``toks`` with a column of token hashes per form, the plain ones as ``valued`` with values as well."""
     both = rows.withColumn("plain", plain(F.col("toks")))
-    return both.select(*keep, *[_hashes(F.col("plain" if form == PLAIN else "toks"), form).alias(f"h{form}") for form in (TEMPLATE, PLAIN, OPEN)])
+    return both.select(*keep, *[_hashes(F.col("plain" if form == PLAIN else "toks"), form).alias(f"h{form}") for form in (TEMPLATE, PLAIN, OPEN)], F.transform("plain", lambda t: F.xxhash64(t)).alias("valued"))
 
 
-def _windows(hashes: Column) -> Column:
+def _windows(hashes: Column, length: int = WINDOW) -> Column:
     """Hash of the window at every place; a shorter text is one window."""
-    last = F.greatest(F.size(hashes) - WINDOW, F.lit(0))
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(hashes, i + 1, F.lit(WINDOW))))
+    last = F.greatest(F.size(hashes) - length, F.lit(0))
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(hashes, i + 1, F.lit(length))))
+
+
+def _probes(hashed: DataFrame, length: int) -> DataFrame:
+    """``place`` and ``hash`` of the windows of one length of every document, in all forms."""
+    places = F.greatest(F.size(f"h{TEMPLATE}") - length, F.lit(0)) + 1
+    # a text with fewer slots has no window that is poor in words
+    poor = F.size(F.filter("plain", _is_slot)) > length - LITERALS
+    valued = F.when(poor, _windows(F.col("valued"), length)).otherwise(F.array().cast("array<bigint>"))
+    all_forms = F.concat(*[_windows(F.col(f"h{form}"), length) for form in (TEMPLATE, PLAIN, OPEN)], valued)
+    placed = hashed.select("doc_id", "text_key", places.alias("places"), F.posexplode(all_forms).alias("at", "hash"))
+    return placed.select("doc_id", "text_key", (F.col("at") % F.col("places")).alias("place"), "hash")
 
 
 def _text_key(text: Column) -> Column:
@@ -108,15 +123,16 @@ def _text_key(text: Column) -> Column:
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """``item_id``, ``toks``, ``form``, ``windows`` (number looked for), ``place``, ``hash`` of every informative window."""
     items = needed(benchmark, "item_id", "text").withColumn("toks", tokens(F.col("text"))).select("item_id", _text_key(F.col("text")).alias("item_key"), "toks")
-    items = _hashed(items.dropDuplicates(["item_id", "item_key"]), "item_id", "item_key", "toks", "plain")
+    items = _hashed(items.dropDuplicates(["item_id", "item_key"]), "item_id", "item_key", "toks", "plain").where(F.size("toks") >= LEAST)
     forms = F.array(*[
-        F.struct(F.lit(form).alias("form"), F.col("plain" if form == PLAIN else "toks").alias("read"), _windows(F.col(f"h{form}")).alias("hashes"))
+        F.struct(F.lit(form).alias("form"), F.col("plain" if form == PLAIN else "toks").alias("read"), _windows(F.col(f"h{form}")).alias("hashes"), _windows(F.col("valued")).alias("values"))
         for form in (TEMPLATE, PLAIN, OPEN)
     ])
     formed = items.select("item_id", "item_key", "toks", F.explode(forms).alias("f"))
-    placed = formed.select("item_id", "item_key", "toks", "f.form", "f.read", F.posexplode("f.hashes").alias("place", "hash"))
+    placed = formed.select("item_id", "item_key", "toks", "f.form", "f.read", "f.values", F.posexplode("f.hashes").alias("place", "hash"))
     literal = F.size(F.filter(F.slice("read", F.col("place") + 1, F.lit(WINDOW)), lambda t: (t >= _WORDS_FROM) | ((F.col("form") == TEMPLATE) & t.startswith("\u0004"))))
-    kept = placed.where(literal >= LITERALS).drop("read")
+    chosen = F.when(literal >= LITERALS, F.col("hash")).when(F.col("form") == PLAIN, F.get("values", F.col("place")))
+    kept = placed.withColumn("hash", chosen).where("hash IS NOT NULL").drop("read", "values")
     return kept.withColumn("windows", F.count("*").over(W.partitionBy("item_id", "item_key", "form")))
 
 
@@ -125,8 +141,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Columns: ``doc_id``, ``text_key`` (hash of the text), ``item_id``,
     ``item_windows``, ``held_windows``, ``containment``, ``slot_values``,
-    ``slot_consistency``.  Null and empty texts hold nothing, nor do items
-    with fewer than three words; null ids are reported as null; repeated rows
+    ``slot_consistency``.  Null and empty texts hold nothing, nor are items
+    of fewer than three tokens looked for; null ids are reported as null; repeated rows
     are reported once; empty tables give no rows; other columns are not read.
     """
     spark = docs.sparkSession
@@ -137,11 +153,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             looked_for = F.broadcast(looked_for)
         rows = needed(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
         read = rows.select("doc_id", _text_key(F.col("text")).alias("text_key"), tokens(F.col("text")).alias("toks"))
-        hashed = _hashed(read, "doc_id", "text_key")
-        all_forms = F.concat(*[_windows(F.col(f"h{form}")) for form in (TEMPLATE, PLAIN, OPEN)])
-        places = F.greatest(F.size(f"h{TEMPLATE}") - WINDOW, F.lit(0)) + 1
-        placed = hashed.select("doc_id", "text_key", places.alias("places"), F.posexplode(all_forms).alias("at", "hash"))
-        placed = placed.select("doc_id", "text_key", (F.col("at") % F.col("places")).alias("place"), "hash")
+        hashed = _hashed(read, "doc_id", "text_key", "plain")
+        short = [r["n"] for r in index.select(F.size("toks").alias("n")).where(F.col("n") < WINDOW).distinct().orderBy("n").collect()]
+        placed = reduce(DataFrame.unionByName, [_probes(hashed, length) for length in (WINDOW, *short)])
         met = placed.join(looked_for, "hash").select("doc_id", "text_key", "item_id", "item_key", "form", "item_windows", "item_place", (F.col("place") - F.col("item_place")).alias("shift"))
         # equal rows fold here, so a place counts once however often its document is there
         hits = scratch.write(met.groupBy("doc_id", "text_key", "item_id", "item_key", "form", "item_windows", "item_place", "shift").agg(F.lit(1).alias("one")).drop("one"), "window-hits")

@@ -43,6 +43,15 @@ def test_names_that_open_sentences(spark):
     assert found(spark, texts, [(1, item)]) == [(0, 1), (2, 1)]
 
 
+def test_items_poor_in_words_and_short_items(spark):
+    dense, names, short, shorter = "What is 12 + 7 - 3 * 4", "Anna 5, Bert 7, Carla 9, Dora 11, Emil 13", "Which river crosses Verona?", "Add 4 twice"
+    opening = "Which number comes after 4 sevens"
+    texts = [f"{cases.prose(40, 1)} {x} {cases.prose(30, 2)}" for x in (dense, names, short, shorter, opening)]
+    texts += [dense.replace("7", "8").replace("4", "5"), cases.prose(90, 3) + " 1 2 3 4 5 6", short, "crosses Verona", "Add 5 twice"]
+    items = [(k, x) for k, x in enumerate((dense, names, short, shorter, opening))] + [(9, "4 7")]
+    assert found(spark, texts, items) == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (7, 2)]
+
+
 def brute(texts, items):
     out = set()
     for item, text in items:
