@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -16,6 +18,9 @@ from tallyline.functions.text import null_tokens, unique_names
 from tallyline.operators.joins import drop_around
 from tallyline.session import written_once
 
+#: Column for the text of a record that has not as many cells as the header.
+MISFIT = "__misfit"
+
 #: Columns `row_source` adds: where a row lies in the files that were read.
 FILE, BLOCK, SPOT = "__file", "__block", "__spot"
 
@@ -119,6 +124,13 @@ def _first_records(spark: SparkSession, path: str, n: int, multi_line: bool) ->
     return [list(r) for r in rows]
 
 
+def _whole_records(spark: SparkSession, path: str, n: int, multi_line: bool) -> list[list[str | None]]:
+    """As `_first_records`, each with all its cells; those are cut to the width of the first."""
+    reader = _text_reader(spark, multi_line).schema(f"first STRING, {MISFIT} STRING").option("columnNameOfCorruptRecord", MISFIT)
+    rows = reader.option("header", False).option("columnPruning", False).csv(path).limit(n).collect()
+    return [[c or None for c in next(csv.reader(io.StringIO(r[1], newline="")))] if r[1] else [r[0]] for r in rows]
+
+
 def header_names(spark: SparkSession, path: str, multi_line: bool = True) -> list[str]:
     """Column names of a ballot file with blanks, repeats and bad bytes repaired."""
     return unique_names(_first_records(spark, path, 1, multi_line)[0])
@@ -142,9 +154,25 @@ def _by_header(spark: SparkSession, paths: Sequence[str], multi_line: bool) -> d
     return groups
 
 
-def _one_header(spark: SparkSession, names: Sequence[str], files: Sequence[str], multi_line: bool) -> DataFrame:
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return _text_reader(spark, multi_line).schema(schema).option("header", True).csv(list(files))
+def _read_whole(
+    spark: SparkSession, names: Sequence[str], files: Sequence[str], multi_line: bool, header: bool
+) -> DataFrame:
+    """Text columns ``names``; a record with anything beyond the last of them is an error, never cut.
+
+    Shorter records end in nulls, and empty cells beyond the last column hold
+    nothing.  The check is a filter, so no choice of columns leaves it out.
+    """
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MISFIT]])
+    reader = _text_reader(spark, multi_line).schema(schema).option("header", header).option("columnNameOfCorruptRecord", MISFIT)
+    # a reader that skips columns does not count cells
+    reader = reader.option("columnPruning", False)
+    bare = F.regexp_replace(MISFIT, r'(^|,)""(?=,|$)', "$1")
+    bare = F.regexp_replace(F.regexp_replace(bare, r'(^|,)"(?:[^"]|"")*+"', "$1q"), r"[,\r\n]+$", "")
+    wide = F.size(F.split(bare, ",", -1)) > len(names)
+    # the message names a cell because Spark reads no file for the text of misfits alone
+    told = F.concat(F.lit(f"a record has more than {len(names)} cells; it begins with "), F.coalesce(F.col("`" + names[0].replace("`", "``") + "`"), F.lit("a blank")))
+    fits = F.when(F.col(MISFIT).isNotNull() & wide, F.raise_error(told).cast("boolean")).otherwise(True)
+    return reader.csv(list(files)).where(fits).drop(MISFIT)
 
 
 def read_wide_ballots(
@@ -154,13 +182,14 @@ def read_wide_ballots(
 
     Files may order their columns differently or lack some; cells follow the
     printed name, and a column a file lacks is null.  Empty files are skipped.
+    A record with more cells than its header is an error when it is read.
     ``multi_line=False`` lets Spark split large files that hold no quoted line
     breaks.
     """
     groups = _by_header(spark, [paths] if isinstance(paths, str) else list(paths), multi_line)
     if not groups:
         raise ValueError(f"no ballot file with a header at {paths}")
-    tables = [_one_header(spark, names, files, multi_line) for names, files in groups.items()]
+    tables = [_read_whole(spark, names, files, multi_line, True) for names, files in groups.items()]
     if row_source:
         tables = [with_row_source(t) for t in tables]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
@@ -209,13 +238,12 @@ def read_multi_header(
     themselves stay distributed.  A record whose ``probe``-th column repeats
     its own header marks a repeated header block, removed with its neighbours.
     """
-    head = _first_records(spark, path, skip + n_header, multi_line)
+    head = _whole_records(spark, path, skip + n_header, multi_line)
     width = max(len(r) for r in head)
     stacked = [[*r, *[None] * (width - len(r))] for r in head[skip:]]
     joined = ["_".join(part for part in column if part not in (None, "", "NA")) for column in zip(*stacked)]
     names = title_names([re.sub(r"\.\.\.\d+", "", n) for n in joined])
-    schema = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(width)])
-    raw = _text_reader(spark, multi_line).schema(schema).option("header", False).csv(path)
+    raw = _read_whole(spark, [f"c{k}" for k in range(width)], [path], multi_line, False)
     numbered = number_rows(with_row_source(raw), "__idx")
     body = numbered.where(F.col("__idx") > skip + n_header)
     probe_at = min(probe, width) - 1

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallyline.plans.cleaning import discover_contests, vote_partition
@@ -72,6 +73,26 @@ def test_files_of_different_columns(spark, tmp_path):
     assert cells(df, "k", "x", "y") == [("1", "2", None), ("3", None, "4")]
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_records_wider_than_their_header_are_an_error(spark, tmp_path, multi_line):
+    (tmp_path / "a.csv").write_text('Id,Pres,Sen\n1,a,b\n2,"c, ""d"", e, f"\n3,a,b,,""\n4\n')
+    df = D.read_wide_ballots(spark, str(tmp_path / "a.csv"), multi_line=multi_line)
+    assert cells(df, "Id", "Pres", "Sen") == [("1", "a", "b"), ("2", 'c, "d", e, f', None), ("3", "a", "b"), ("4", None, None)]
+    assert df.count() == 4
+    for record in ("5,a,b,lost", '5,a,b,"lost, ""x"""', "5,a,b,,lost"):
+        (tmp_path / "b.csv").write_text(f"Id,Pres,Sen\n1,a,b\n{record}\n6,a,b\n")
+        wide = D.read_wide_ballots(spark, str(tmp_path / "b.csv"), multi_line=multi_line)
+        for cut in (wide, wide.select("Pres")):
+            with pytest.raises(PySparkException, match="more than 3 cells; it begins with 5"):
+                cut.collect()
+
+
+def test_records_wider_than_stacked_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "h.csv").write_text("2020 General\n,Pres,Sen\n,A,B\nId,x,y\n1,1,0\n2,0,1,1\n")
+    with pytest.raises(PySparkException, match="more than 3 cells; it begins with 2"):
+        D.read_multi_header(spark, str(tmp_path / "h.csv"), probe=2).collect()
+
+
 def test_totals_row_and_cell_fixes(spark):
     df = spark.createDataFrame([("a", 1, "1 (50%)"), ("a", 2, "0 (3%) z"), ("b", 1, "t")], "f string, idx int, c string")
     assert cells(D.drop_last_row(D.fix_cells(df, [D.MARK_WITH_SHARE], ["c"]), "idx", ["f"]), "f", "idx", "c") == [("a", 1, "1")]
