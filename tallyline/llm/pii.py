@@ -39,7 +39,6 @@ LOOSE = {
 LEAST_DIGITS = 7
 ROUNDS, RATE, PRECISION = 30, 0.3, 0.9
 CONTEXT = 24
-MOST_COMBINATIONS = 100_000
 
 # fixed values: words that announce personal data, by kind
 HINTS = ("tel", "phone", "call", "fax", "mobil", "mail", "contact", "card", "visa", "iban", "ssn", "passport", "account", "ip ", "server", "host")
@@ -267,7 +266,8 @@ def fit(docs: DataFrame) -> Trees:
     fold = (F.pmod(F.xxhash64("text"), F.lit(FOLDS)) == HELD_OUT).alias("held")
     spans = candidate_spans(base_spans(prepared)).select(fold, F.explode("candidates").alias("c"))
     counts = spans.groupBy("held", *[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(F.count("*").alias("n"), F.sum(F.col("c.known").cast("long")).alias("known"))
-    rows = [r.asDict() for r in counts.orderBy("held", *FEATURES).limit(MOST_COMBINATIONS).collect()]
+    # the features bound the rows, so all are taken
+    rows = [r.asDict() for r in counts.orderBy("held", *FEATURES).collect()]
     return boost(rows)
 
 

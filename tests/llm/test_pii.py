@@ -95,3 +95,12 @@ def test_trees_learn_and_become_columns(spark):
 def test_no_python_in_the_plan(spark):
     plan = P.redact(cases.table(spark, rows()[:20]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_statistics_take_every_combination(spark, monkeypatch):
+    docs, seen = cases.table(spark, rows()), []
+    monkeypatch.setattr(P, "MOST_COMBINATIONS", 1, raising=False)  # the cut there was
+    monkeypatch.setattr(P, "boost", lambda combinations: seen.extend(combinations) or P.Trees())
+    P.fit(docs)
+    candidates = P.candidate_spans(P.base_spans(P._prepare(docs))).agg(F.sum(F.size("candidates"))).head()[0]
+    assert {r["held"] for r in seen} == {True, False} and sum(r["n"] for r in seen) == candidates
