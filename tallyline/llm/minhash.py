@@ -22,11 +22,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyline.llm.base import Scratch, needed, query, table
+from tallyline.llm.base import Scratch, needed, query, schema, table
 from tallyline.llm.components import stars
 from tallyline.llm.words import BASES, Block, U, blocks, mix, rolling
 from tallyline.shipping import by_value
@@ -98,33 +98,54 @@ def short_sketch(sketch: np.ndarray) -> np.ndarray:
     return (mix(sketch) >> U(56)).astype(np.uint8)
 
 
+def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))
+
+
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _sketched(docs: DataFrame, size: int) -> DataFrame:
-    """A row per row of ``docs``: id, number of the row, set (key and size, shingles, bands, short sketch)."""
-    made = "doc_id long, row long, n_shingles long, set_key long, bands array<long>, short binary, shingles array<long>"
+    """A row per row of ``docs``: id, hash of the text, set (key and size), keys of its bands, short sketch."""
+    made = "n_shingles long, set_key long, bands array<long>, short binary"
+    names = ["doc_id", "text_key", *[c.split()[0] for c in made.split(", ")]]
 
     def run(batches):
-        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for first, raws in blocks(texts, ELEMENTS):
+            for first, raws in blocks(batch.column(2).to_pylist(), ELEMENTS):
                 values, sizes = shingle_sets(raws, size)
-                ends = np.cumsum(sizes)
                 key = np.zeros(len(raws), U)
                 np.bitwise_xor.at(key, np.repeat(np.arange(len(raws)), sizes), mix(values ^ U(BASES[0])))
                 key = mix(key + sizes.astype(U))
                 sketch = sketches(values, sizes)
-                bands, short = band_keys(sketch).view(np.int64), short_sketch(sketch)
                 some = sizes > 0
-                offsets = np.concatenate(([0], np.cumsum(np.where(some, BANDS, 0)))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(first, len(raws)), pa.array(np.arange(row, row + len(raws))), pa.array(sizes), pa.array(key.view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands[some].reshape(-1))), pa.array([s.tobytes() for s in short], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(values.view(np.int64))),
-                ], [c.split()[0] for c in made.split(", ")])
-                row += len(raws)
+                    batch.column(0).slice(first, len(raws)), batch.column(1).slice(first, len(raws)), pa.array(sizes), pa.array(key.view(np.int64)),
+                    _lists(band_keys(sketch)[some].reshape(-1), np.where(some, BANDS, 0)), pa.array([s.tobytes() for s in short_sketch(sketch)], pa.binary()),
+                ], names)
+
+    rows = needed(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), _text_key(F.col("text")).alias("text_key"), "text")
+    return rows.mapInArrow(run, f"doc_id long, text_key long, {made}")
+
+
+def _with_shingles(sets: DataFrame, docs: DataFrame, size: int, scratch: Scratch, *keep: str) -> DataFrame:
+    """``sets`` (``set_key``, ``doc_id``, ``text_key``, ``keep``) with their ``shingles``, read again from one text each."""
+    wanted = scratch.write(sets.select("set_key", F.col("doc_id").alias("id"), F.col("text_key").alias("of"), *keep), "wanted-sets")
+    texts = needed(docs, "doc_id", "text").withColumn("key", _text_key(F.col("text")))
+    met = texts.join(wanted, (F.col("key") == F.col("of")) & F.col("doc_id").cast("long").eqNullSafe(F.col("id")))
+    # a row may be there several times
+    once = met.groupBy("set_key", *keep).agg(F.first("text").alias("text"))
+    kept = [f for f in once.schema.fields if f.name != "text"]
+
+    def run(batches):
+        for batch in batches:
+            for first, raws in blocks(batch.column(len(kept)).to_pylist(), ELEMENTS):
+                values, sizes = shingle_sets(raws, size)
+                yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(first, len(raws)) for k in range(len(kept))], _lists(values, sizes)], [*[f.name for f in kept], "shingles"])
 
-    rows = needed(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, made)
+    return scratch.write(once.mapInArrow(run, T.StructType([*kept, *schema("shingles array<long>").fields])), "shingle-sets")
 
 
 def _agree(a: str, b: str) -> Column:
@@ -140,11 +161,9 @@ def _agree(a: str, b: str) -> Column:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """The pairs (``a``, ``b`` set keys) whose shingle sets are similar enough; only sets of a pair are read on."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
-    held = scratch.write(sets.select("set_key", "shingles").join(wanted, "set_key", "left_semi"), "paired-sets")
-    one = held.select(F.col("set_key").alias("a"), F.col("shingles").alias("of_a"))
-    two = held.select(F.col("set_key").alias("b"), F.col("shingles").alias("of_b"))
+    """The pairs (``a``, ``b`` set keys) whose shingle sets are similar enough."""
+    one = sets.select(F.col("set_key").alias("a"), F.col("shingles").alias("of_a"))
+    two = sets.select(F.col("set_key").alias("b"), F.col("shingles").alias("of_b"))
     both = pairs.join(one, "a").join(two, "b").withColumn("shared", F.size(F.array_intersect("of_a", "of_b")))
     close = both.where(100 * F.col("shared") >= percent * (F.size("of_a") + F.size("of_b") - F.col("shared")))
     return scratch.write(close.select("a", "b"), "links")
@@ -171,12 +190,13 @@ def _prefix_pairs(rest: DataFrame, percent: int) -> DataFrame:
     least a pair of these sizes shares at ``percent``.  So a match counts only
     that early in both: nothing is lost in any order, and the rarest keep pairs few.
     """
-    held = rest.select("set_key", "root", "n", F.explode("shingles").alias("shingle"))
+    held = rest.select("set_key", F.explode("shingles").alias("shingle"))
     spread = held.groupBy("shingle").agg(F.count("*").alias("df"))
-    ranked = held.join(spread, "shingle").groupBy("set_key", "root", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("by_df"))
+    ranked = held.join(spread, "shingle").groupBy("set_key").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("by_df"))
+    ranked = ranked.withColumn("n", F.size("by_df"))
     # the smallest partner leaves the longest prefix
-    prefix = ranked.select("set_key", "root", "n", F.posexplode(F.expr(f"SLICE(by_df, 1, CAST(n - CEIL({percent} * n / 100) AS INT) + 1)")).alias("at", "s"))
-    prefix = prefix.where("s.df > 1").select("set_key", "root", "n", "at", F.col("s.shingle").alias("shingle"))
+    prefix = ranked.select("set_key", "n", F.posexplode(F.expr(f"SLICE(by_df, 1, CAST(n - CEIL({percent} * n / 100) AS INT) + 1)")).alias("at", "s"))
+    prefix = prefix.where("s.df > 1").select("set_key", "n", "at", F.col("s.shingle").alias("shingle")).join(rest.select("set_key", "root"), "set_key")
     other = prefix.select(F.col("set_key").alias("b"), F.col("root").alias("b_root"), F.col("n").alias("b_n"), F.col("at").alias("b_at"), "shingle")
     least = percent * (F.col("n") + F.col("b_n"))
     early = ((100 + percent) * (F.col("n") - F.col("at")) >= least) & ((100 + percent) * (F.col("b_n") - F.col("b_at")) >= least)
@@ -186,25 +206,27 @@ def _prefix_pairs(rest: DataFrame, percent: int) -> DataFrame:
     return pairs.join(of_a, "a").join(of_b, "b").where(_agree("of_a", "of_b")).select("a", "b")
 
 
-def similar_sets(sets: DataFrame, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
+def similar_sets(sets: DataFrame, docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Links (``a``, ``b`` set keys) that connect exactly what all similar pairs of ``sets`` connect.
 
-    ``sets``: one row per distinct set, with ``set_key``, ``n_shingles``,
-    ``bands``, ``short`` and ``shingles``.
+    ``sets``: one row per distinct set, with ``set_key``, ``n`` (size), ``bands``,
+    ``short``, and ``doc_id`` and ``text_key`` of a row of ``docs`` with that set.
+    Texts are read again for sets that have a candidate only.
     """
     light = sets.select("set_key", F.explode("bands").alias("bucket"))
     shared = light.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
     inside = scratch.write(light.join(shared, "bucket"), "buckets")
     company = inside.groupBy("set_key").agg(F.sum("held").alias("company"))
-    facts = sets.select("set_key", F.col("n_shingles").alias("n"), "short").join(company, "set_key")
-    members = scratch.write(inside.drop("held").join(facts, "set_key"), "members")
+    members = scratch.write(inside.drop("held").join(sets.select("set_key", "n", "short").join(company, "set_key"), "set_key"), "members")
     near_centre = scratch.write(_centre_pairs(members, percent), "centre-pairs")
-    links = _confirmed(near_centre, sets, percent, scratch)
+    paired = near_centre.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
+    links = _confirmed(near_centre, _with_shingles(sets.join(paired, "set_key"), docs, shingle, scratch), percent, scratch)
     roots = stars(links, scratch).withColumnRenamed("node", "set_key")
-    placed = members.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
+    placed = members.select("set_key", "bucket").join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
+    placed = scratch.write(placed, "placed")
     split = placed.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("split")).where("split").drop("split")
-    rest = placed.join(split, "bucket", "left_semi").select("set_key", "n", "short", "root").dropDuplicates(["set_key"])
-    rest = scratch.write(rest.join(sets.select("set_key", "shingles"), "set_key"), "unsettled-sets")
+    rest = placed.join(split, "bucket", "left_semi").groupBy("set_key", "root").agg(F.lit(1).alias("one")).drop("one")
+    rest = _with_shingles(sets.join(rest, "set_key"), docs, shingle, scratch, "n", "short", "root")
     more = scratch.write(_prefix_pairs(rest, percent).join(near_centre, ["a", "b"], "left_anti"), "prefix-pairs")
     return links.unionByName(_confirmed(more, rest, percent, scratch))
 
@@ -223,13 +245,13 @@ def minhash_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
     """
     with Scratch(docs.sparkSession) as scratch:
         rows = scratch.write(_sketched(docs, shingle), "sketches")
-        some = rows.where("n_shingles > 0")
-        # of equal sets one row carries the shingles on
-        values = scratch.write(some.groupBy("set_key").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"), F.count("*").alias("copies")), "distinct-sets")
-        first = some.join(values.select("row"), "row", "left_semi")
-        sets = first.select("set_key", "n_shingles", "bands", "short", "shingles")
-        ends = stars(similar_sets(sets, scratch, percent), scratch).withColumnRenamed("node", "set_key")
-        classes = scratch.write(values.join(ends, "set_key", "left").select("set_key", "least", F.coalesce("root", "set_key").alias("root")), "classes")
+        # equal sets become one, known by one of their texts
+        same = [F.first(c).alias(c) for c in ("bands", "short")]
+        one = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("one")
+        values = rows.where("n_shingles > 0").groupBy("set_key").agg(F.first("n_shingles").alias("n"), one, *same)
+        values = scratch.write(values.select("set_key", "n", "one.doc_id", "one.text_key", "bands", "short"), "distinct-sets")
+        ends = stars(similar_sets(values, docs, scratch, shingle, percent), scratch).withColumnRenamed("node", "set_key")
+        classes = scratch.write(values.join(ends, "set_key", "left").select("set_key", F.col("doc_id").alias("least"), F.coalesce("root", "set_key").alias("root")), "classes")
         named = classes.join(classes.groupBy("root").agg(F.min("least").alias("component")), "root").select("set_key", "component")
         whole = rows.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
         alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
