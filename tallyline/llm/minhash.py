@@ -38,6 +38,8 @@ COORDINATES, ROWS = 160, 5
 BANDS = COORDINATES // ROWS
 #: Bins that agree by less than this cannot be a link: 136 are expected at 0.85, with a deviation below 4.6.
 AGREE = 104
+#: The rarity of shingles is counted in 2^CELL_BITS cells.
+CELL_BITS = 16
 #: Elements hashed at a time.
 ELEMENTS = 1 << 21
 
@@ -182,21 +184,60 @@ def _centre_pairs(members: DataFrame, percent: int) -> DataFrame:
     return sided.where(_agree("short", "other")).select("a", "b").distinct()
 
 
+def _cells(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> U(64 - CELL_BITS)).astype(np.int64)
+
+
+def _spread(rest: DataFrame) -> np.ndarray:
+    """Number of shingles of ``rest`` by cell of their hash: a table of fixed size, folded in the tasks."""
+
+    def fold(batches):
+        total = np.zeros(1 << CELL_BITS, np.int64)
+        for batch in batches:
+            held = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            total += np.bincount(_cells(held), minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["cell", "held"])
+
+    sums = rest.select("shingles").mapInArrow(fold, "cell long, held long").groupBy("cell").agg(F.sum("held").alias("held")).toArrow()
+    out = np.zeros(1 << CELL_BITS, np.int64)
+    out[sums.column("cell").to_numpy()] = sums.column("held").to_numpy()
+    return out
+
+
+def _prefixes(rest: DataFrame, percent: int) -> DataFrame:
+    """The first shingles of every set in the order of (cell count, hash), as many as the smallest partner leaves."""
+    spread = rest.sparkSession.sparkContext.broadcast(_spread(rest))
+
+    def run(batches):
+        common = spread.value
+        for batch in batches:
+            lists = batch.column(2)
+            sizes = np.diff(lists.offsets.to_numpy())
+            values = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((values, common[_cells(values)], owner))
+            at = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            kept = np.flatnonzero(at <= (sizes - -(-percent * sizes // 100))[owner])
+            own = pa.array(owner[kept])
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).take(own), batch.column(1).take(own), pa.array(sizes[owner[kept]].astype(np.int64)),
+                pa.array(at[kept]), pa.array(values[order][kept].view(np.int64)),
+            ], ["set_key", "root", "n", "at", "shingle"])
+
+    return rest.select("set_key", "root", "shingles").mapInArrow(run, "set_key long, root long, n long, at long, shingle long")
+
+
 def _prefix_pairs(rest: DataFrame, percent: int) -> DataFrame:
     """Pairs of ``rest`` (sets with ``root``) in different components that share one of their rarest shingles.
 
     In one order of all shingles, rarest first, the first one that two sets share
     stands behind at most ``n - overlap`` others in either, with ``overlap`` the
     least a pair of these sizes shares at ``percent``.  So a match counts only
-    that early in both: nothing is lost in any order, and the rarest keep pairs few.
+    that early in both: nothing is lost in any order, and the rarest keep pairs
+    few.  Rarity is read from counts by hash cell, which tell what many sets share.
     """
-    held = rest.select("set_key", F.explode("shingles").alias("shingle"))
-    spread = held.groupBy("shingle").agg(F.count("*").alias("df"))
-    ranked = held.join(spread, "shingle").groupBy("set_key").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("by_df"))
-    ranked = ranked.withColumn("n", F.size("by_df"))
-    # the smallest partner leaves the longest prefix
-    prefix = ranked.select("set_key", "n", F.posexplode(F.expr(f"SLICE(by_df, 1, CAST(n - CEIL({percent} * n / 100) AS INT) + 1)")).alias("at", "s"))
-    prefix = prefix.where("s.df > 1").select("set_key", "n", "at", F.col("s.shingle").alias("shingle")).join(rest.select("set_key", "root"), "set_key")
+    prefix = _prefixes(rest, percent)
     other = prefix.select(F.col("set_key").alias("b"), F.col("root").alias("b_root"), F.col("n").alias("b_n"), F.col("at").alias("b_at"), "shingle")
     least = percent * (F.col("n") + F.col("b_n"))
     early = ((100 + percent) * (F.col("n") - F.col("at")) >= least) & ((100 + percent) * (F.col("b_n") - F.col("b_at")) >= least)
