@@ -15,8 +15,6 @@ leave the scan.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -105,15 +103,37 @@ def _windows(hashes: Column, length: int = WINDOW) -> Column:
     return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(hashes, i + 1, F.lit(length))))
 
 
-def _probes(hashed: DataFrame, length: int) -> DataFrame:
-    """``place`` and ``hash`` of the windows of one length of every document, in all forms."""
-    places = F.greatest(F.size(f"h{TEMPLATE}") - length, F.lit(0)) + 1
-    # a text with fewer slots has no window that is poor in words
-    poor = F.size(F.filter("plain", _is_slot)) > length - LITERALS
-    valued = F.when(poor, _windows(F.col("valued"), length)).otherwise(F.array().cast("array<bigint>"))
-    all_forms = F.concat(*[_windows(F.col(f"h{form}"), length) for form in (TEMPLATE, PLAIN, OPEN)], valued)
-    placed = hashed.select("doc_id", "text_key", places.alias("places"), F.posexplode(all_forms).alias("at", "hash"))
-    return placed.select("doc_id", "text_key", (F.col("at") % F.col("places")).alias("place"), "hash")
+def _at(hashes: Column, places: Column, length: int) -> Column:
+    return F.transform(places, lambda i: F.struct(i.alias("place"), F.xxhash64(F.slice(hashes, i + 1, F.lit(length))).alias("hash")))
+
+
+def _touching(changed: Column, last: Column, length: int) -> Column:
+    """Places of the windows that hold one of the tokens ``changed``."""
+    return F.array_distinct(F.flatten(F.transform(changed, lambda p: F.sequence(F.greatest(p - (length - 1), F.lit(0)), F.least(p, last)))))
+
+
+def _probes(hashed: DataFrame, lengths: list[int]) -> DataFrame:
+    """``place`` and ``hash`` of the windows of every document, all lengths and forms out of one read.
+
+    A window of another form is there only if it holds a token whose hash differs from the template's.
+    """
+    size = F.size(f"h{TEMPLATE}")
+
+    def changed(form: int) -> Column:
+        return F.filter(F.sequence(F.lit(0), size), lambda i: F.get(f"h{form}", i) != F.get(f"h{TEMPLATE}", i)).alias(f"changed{form}")
+
+    slots = F.size(F.filter("plain", _is_slot)).alias("slots")
+    marked = hashed.select("doc_id", "text_key", "plain", "valued", *[f"h{form}" for form in (TEMPLATE, PLAIN, OPEN)], changed(PLAIN), changed(OPEN), slots)
+    none = F.array().cast("array<struct<place:int,hash:bigint>>")
+    found = []
+    for length in lengths:
+        last = F.greatest(size - length, F.lit(0))
+        every = F.sequence(F.lit(0), last)
+        found.append(_at(F.col(f"h{TEMPLATE}"), every, length))
+        found += [_at(F.col(f"h{form}"), _touching(F.col(f"changed{form}"), last, length), length) for form in (PLAIN, OPEN)]
+        # a text with fewer slots has no window that is poor in words
+        found.append(F.when(F.col("slots") > length - LITERALS, _at(F.col("valued"), every, length)).otherwise(none))
+    return marked.select("doc_id", "text_key", F.explode(F.concat(*found)).alias("w")).select("doc_id", "text_key", "w.place", "w.hash")
 
 
 def _text_key(text: Column) -> Column:
@@ -155,8 +175,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         read = rows.select("doc_id", _text_key(F.col("text")).alias("text_key"), tokens(F.col("text")).alias("toks"))
         hashed = _hashed(read, "doc_id", "text_key", "plain")
         short = [r["n"] for r in index.select(F.size("toks").alias("n")).where(F.col("n") < WINDOW).distinct().orderBy("n").collect()]
-        placed = reduce(DataFrame.unionByName, [_probes(hashed, length) for length in (WINDOW, *short)])
-        met = placed.join(looked_for, "hash").select("doc_id", "text_key", "item_id", "item_key", "form", "item_windows", "item_place", (F.col("place") - F.col("item_place")).alias("shift"))
+        met = _probes(hashed, [WINDOW, *short]).join(looked_for, "hash").select("doc_id", "text_key", "item_id", "item_key", "form", "item_windows", "item_place", (F.col("place") - F.col("item_place")).alias("shift"))
         # equal rows fold here, so a place counts once however often its document is there
         hits = scratch.write(met.groupBy("doc_id", "text_key", "item_id", "item_key", "form", "item_windows", "item_place", "shift").agg(F.lit(1).alias("one")).drop("one"), "window-hits")
         pair = ["doc_id", "text_key", "item_id", "item_key", "form", "item_windows"]

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.base import FOLDS, HELD_OUT, fresh, needed, query, table
+from tallyline.llm.base import FOLDS, HELD_OUT, Scratch, fresh, needed, query, table
 
 #: Patterns of the base kinds, in output order.  Possessive repeats and the anchors before
 #: them only save time: what they rule out cannot begin or extend a match.
@@ -321,7 +321,9 @@ def redact(docs: DataFrame) -> DataFrame:
     df = df.withColumn("done", F.when(F.size("marks") > 0, done))
     tail = F.substring(F.col("text"), F.col("done.at") + 1, F.length("text"))
     clean = F.when(F.col("no_text"), F.lit(None).cast("string")).when(F.size("marks") > 0, F.concat(F.col("done.out"), tail)).otherwise(F.col("text"))
-    return df.select(*[clean.alias(c) if c == "text" else F.col(f"{held}.`{c}`") for c in docs.columns])
+    # written, as whoever reads the text on would expand this expression at every use
+    with Scratch(docs.sparkSession) as scratch:
+        return scratch.keep(df.select(*[clean.alias(c) if c == "text" else F.col(f"{held}.`{c}`") for c in docs.columns]), "redacted")
 
 
 @query("op9_pii_spans")
