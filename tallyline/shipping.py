@@ -13,3 +13,7 @@ from pyspark import cloudpickle
 
 def by_value(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
+# modules that travel whole hold a reference to the function above
+by_value(__name__)
