@@ -24,6 +24,7 @@ from tallyline.session import scratch_path, written_once
 from tallyline.sources import delimited as D
 from tallyline.sources import layout as Y
 from tallyline.sources import nested as M
+from tallyline.sources import records as R
 
 
 @query(
@@ -133,6 +134,27 @@ def numbered_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "split_quoted_files",
+    """SELECT o_orderpriority AS priority, count(*) AS n, CAST(1 AS BIGINT) AS low, count(*) AS high, count(*) AS n_ids,
+  CAST(sum(o_orderkey) AS BIGINT) AS keys, CAST(sum(length(o_orderstatus || chr(10) || '"' || o_orderpriority || '"' || chr(10) || o_orderkey)) AS BIGINT) AS n_chars
+FROM orders GROUP BY o_orderpriority""",
+)
+def split_quoted_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files with quoted line breaks and quotes, cut by ranges, numbered through all files of a folder in one batch."""
+    path = scratch_path(spark, "quoted")
+    note = F.concat("o_orderstatus", F.lit('\n"'), "o_orderpriority", F.lit('"\n'), F.col("o_orderkey").cast("string"))
+    rows = table(spark, folder, "orders").select("o_orderkey", note.alias("note"), F.col("o_orderpriority").alias("scope_of"))
+    rows.repartition(6).write.partitionBy("scope_of").option("header", True).option("escape", '"').csv(path)
+    scope = F.regexp_extract(D.FILE, "/scope_of=([^/]*)/", 1)
+    # a line break or quote lost, doubled or moved to another record changes keys or characters
+    read = R.read_split(spark, path, scope).withColumn("priority", F.regexp_extract("note", '"([^"]*)"', 1))
+    return read.groupBy("priority").agg(
+        F.count(F.lit(1)).alias("n"), F.min("idx").alias("low"), F.max("idx").alias("high"), F.count_distinct("idx").alias("n_ids"),
+        F.sum(F.col("o_orderkey").cast("bigint")).alias("keys"), F.sum(F.length("note")).alias("n_chars"),
+    )
+
+
 @query(
     "many_files",
     """SELECT kind, count(*) AS n, count(name) AS n_name, count(balance) AS n_balance FROM (

@@ -154,6 +154,26 @@ def _by_header(spark: SparkSession, paths: Sequence[str], multi_line: bool) -> d
     return groups
 
 
+def _within_width(names: Sequence[str]) -> Column:
+    """True; an error where the record kept in :data:`MISFIT` has anything beyond the last of ``names``."""
+    bare = F.regexp_replace(MISFIT, r'(^|,)""(?=,|$)', "$1")
+    bare = F.regexp_replace(F.regexp_replace(bare, r'(^|,)"(?:[^"]|"")*+"', "$1q"), r"[,\r\n]+$", "")
+    wide = F.size(F.split(bare, ",", -1)) > len(names)
+    # the message names a cell because Spark reads no file for the text of misfits alone
+    told = F.concat(F.lit(f"a record has more than {len(names)} cells; it begins with "), F.coalesce(F.col("`" + names[0].replace("`", "``") + "`"), F.lit("a blank")))
+    return F.when(F.col(MISFIT).isNotNull() & wide, F.raise_error(told).cast("boolean")).otherwise(True)
+
+
+def parse_cells(rows: DataFrame, record: str, names: Sequence[str]) -> DataFrame:
+    """``rows`` with the text column ``record`` replaced by its cells, under the rules of a ballot file."""
+    made = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MISFIT]])
+    rules = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "columnNameOfCorruptRecord": MISFIT, "multiLine": "true", "maxCharsPerColumn": "-1"}
+    cells = rows.withColumn("__cells", F.from_csv(record, made.toDDL(), rules))
+    kept = [c for c in rows.columns if c != record]
+    wide = cells.select(*kept, *[F.col("__cells").getField(n).alias(n) for n in [*names, MISFIT]])
+    return wide.where(_within_width(names)).drop(MISFIT)
+
+
 def _read_whole(
     spark: SparkSession, names: Sequence[str], files: Sequence[str], multi_line: bool, header: bool
 ) -> DataFrame:
@@ -166,13 +186,7 @@ def _read_whole(
     reader = _text_reader(spark, multi_line).schema(schema).option("header", header).option("columnNameOfCorruptRecord", MISFIT)
     # a reader that skips columns does not count cells
     reader = reader.option("columnPruning", False)
-    bare = F.regexp_replace(MISFIT, r'(^|,)""(?=,|$)', "$1")
-    bare = F.regexp_replace(F.regexp_replace(bare, r'(^|,)"(?:[^"]|"")*+"', "$1q"), r"[,\r\n]+$", "")
-    wide = F.size(F.split(bare, ",", -1)) > len(names)
-    # the message names a cell because Spark reads no file for the text of misfits alone
-    told = F.concat(F.lit(f"a record has more than {len(names)} cells; it begins with "), F.coalesce(F.col("`" + names[0].replace("`", "``") + "`"), F.lit("a blank")))
-    fits = F.when(F.col(MISFIT).isNotNull() & wide, F.raise_error(told).cast("boolean")).otherwise(True)
-    return reader.csv(list(files)).where(fits).drop(MISFIT)
+    return reader.csv(list(files)).where(_within_width(names)).drop(MISFIT)
 
 
 def read_wide_ballots(
