@@ -1,11 +1,14 @@
 """Manifest -> long ballot table: one reader per file type, one write per batch.
 
-The plan of each county is built on its own, so a county whose files are missing
+The delimited files of all counties are scanned in one job, which gives headers,
+banners and ballot numbers and lets files with quoted line breaks be read by many
+tasks; planning them takes no job per county.  The plan of each county is built on its own, so a county whose files are missing
 or malformed is set aside and reported while the others go on.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -17,6 +20,7 @@ from tallyline.plans import cleaning as K
 from tallyline.sources import delimited as D
 from tallyline.sources import layout as Y
 from tallyline.sources import nested as M
+from tallyline.sources import records as R
 
 KEYS = ("state", "county_name")
 Reader = Callable[[SparkSession, str, str, str, DataFrame], DataFrame]
@@ -29,6 +33,21 @@ def read_delimited(spark: SparkSession, path: str, state: str, county: str, cont
     return K.clean_wide(raw, state, county, contests)
 
 
+def read_from_batch(batch: R.Batch, path: str, state: str, county: str, contests: DataFrame) -> DataFrame | None:
+    """A county's plain wide files out of a batch; None if another reader has to take them."""
+    files = batch.below([path])
+    if not files or re.search(D.BANNER, batch.opens_with(files)):
+        return None
+    return K.clean_wide(batch.read(files, K.NUMBERED, by_scope=False), state, county, contests)
+
+
+def scanned_together(spark: SparkSession, paths: Sequence[str]) -> R.Batch | None:
+    """One scan of all delimited files that exist; None where there are none."""
+    conf, jvm = spark._jsc.hadoopConfiguration(), spark._jvm
+    there = [p for p in paths if (at := jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(conf).exists(at)]
+    return R.Batch(spark, there, past_faults=True) if there else None
+
+
 def read_json(spark: SparkSession, path: str, state: str, county: str, contests: DataFrame) -> DataFrame:
     votes = K.vote_partition(M.read_json_ballots(spark, path)).drop("vote_class")
     return K.clean_labelled(votes, state, county, contests)
@@ -63,13 +82,15 @@ READERS: dict[str, Reader] = {"delim": read_delimited, "json": read_json, "xml":
 
 
 def county_ballots(
-    spark: SparkSession, kind: str, path: str, state: str, county: str, contests: DataFrame
+    spark: SparkSession, kind: str, path: str, state: str, county: str, contests: DataFrame, batch: R.Batch | None = None
 ) -> DataFrame:
-    """Long ballot table of one county, whatever its file type."""
+    """Long ballot table of one county, whatever its file type; delimited files come out of ``batch`` where it holds them."""
     reader = READERS.get(kind) or SPECIAL.get((state, county)) or SPECIAL.get((state, None))
     if reader is None:
         raise ValueError(f"no reader for {kind!r} of {county}, {state}")
-    long = reader(spark, path, state, county, contests)
+    long = read_from_batch(batch, path, state, county, contests) if batch is not None and reader is read_delimited else None
+    if long is None:
+        long = reader(spark, path, state, county, contests)
     # one schema for every county, whatever columns its files had
     types = {c: "bigint" if c == "cvr_id" else "string" for c in K.LONG_COLUMNS}
     full = K.add_missing(long, K.LONG_COLUMNS)
@@ -95,15 +116,18 @@ def build_ballots(
     """Write the counties of a manifest below ``path``; return those set aside.
 
     ``manifest`` (path, state, county_name, type, build) has a row per county file
-    and is read to the driver.  Counties are planned one by one and written
+    and is read to the driver.  Delimited files are scanned together, so planning their
+    counties takes no jobs of their own.  Counties are planned one by one and written
     ``together`` at a time; if such a write fails its counties are written singly,
     so only the faulty ones are missing.  Only written partitions are replaced.
     """
     failed: list[tuple[str, str, str]] = []
     planned: list[tuple[str, str, DataFrame]] = []
-    for row in Y.to_build(manifest).collect():
+    rows = Y.to_build(manifest).collect()
+    batch = scanned_together(spark, [r["path"] for r in rows if r["type"] == "delim"])
+    for row in rows:
         try:
-            long = county_ballots(spark, row["type"], row["path"], row["state"], row["county_name"], contests)
+            long = county_ballots(spark, row["type"], row["path"], row["state"], row["county_name"], contests, batch)
             planned.append((row["state"], row["county_name"], K.merge_party(long, parties).drop("issue")))
         except FAULTS as error:
             failed.append((row["state"], row["county_name"], _reason(spark, error)))

@@ -143,14 +143,22 @@ def unpivot_ballots(
     )
 
 
+#: Column of a ballot number given by the reader.
+NUMBERED = "__number"
+
+
 def prepare_wide(raw: DataFrame, state: str, county: str) -> DataFrame:
     """Canonical precinct column, no metadata columns, literal keys, ballot number.
 
-    The ballot number is the row's place over all files of the county.
+    The ballot number is the row's place over all files of the county; a reader
+    that numbered them already gave it as :data:`NUMBERED`.
     """
     renamed = rename_aliases(raw, "precinct", V.PRECINCT_ALIASES)
     named = add_literals(renamed, state=state, county_name=county)
-    numbered = number_rows(named, "cvr_id", scope=["state", "county_name"])
+    if NUMBERED in raw.columns:
+        numbered = named.withColumnRenamed(NUMBERED, "cvr_id")
+    else:
+        numbered = number_rows(named, "cvr_id", scope=["state", "county_name"])
     return drop_known(numbered, (*V.METADATA_COLUMNS, "__file", "__block", "__spot"))
 
 

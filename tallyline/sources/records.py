@@ -20,7 +20,7 @@ import csv
 import io
 from collections.abc import Sequence
 from functools import reduce
-from urllib.parse import unquote
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +39,10 @@ by_value(__name__)
 HEAD = 1 << 20
 
 
-def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _lines(spark: SparkSession, paths: Sequence[str], past_faults: bool = False) -> DataFrame:
     """Lines with file and range, in the order of the file within a task."""
-    return spark.read.option("lineSep", "\n").text(list(paths)).select("value", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK))
+    reader = spark.read.option("lineSep", "\n").option("ignoreCorruptFiles", past_faults)
+    return reader.text(list(paths)).select("value", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK))
 
 
 def _scan(batches, totals: bool):
@@ -90,13 +91,15 @@ def _scan(batches, totals: bool):
         yield total()
 
 
-def block_index(spark: SparkSession, paths: Sequence[str], scope: Column | None = None) -> DataFrame:
+def block_index(spark: SparkSession, paths: Sequence[str], scope: Column | None = None, past_faults: bool = False) -> DataFrame:
     """A row per range of all files: start state (``inside``), number of records before it in its file (``before``),
     data records before its file in the ``scope`` (an expression over the file's path; its own by default), and the file's ``head``.
 
-    One job whatever the number of files.  Files whose last quote stays open are an error.
+    One job whatever the number of files.  ``left_open`` marks files whose last
+    quote is never closed.  With ``past_faults`` a file that cannot be read does not
+    stop the scan of the others; reading its records still does.
     """
-    made = _lines(spark, paths).mapInArrow(lambda b: _scan(b, True), f"{FILE} string, {BLOCK} long, odd long, n0 long, n1 long, head string")
+    made = _lines(spark, paths, past_faults).mapInArrow(lambda b: _scan(b, True), f"{FILE} string, {BLOCK} long, odd long, n0 long, n1 long, head string")
     inside_file = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     whole_file = Window.partitionBy(FILE)
     stated = made.withColumn("inside", F.coalesce(F.bit_xor("odd").over(inside_file), F.lit(0))).withColumn("left_open", F.bit_xor("odd").over(whole_file) == 1)
@@ -108,11 +111,7 @@ def block_index(spark: SparkSession, paths: Sequence[str], scope: Column | None
     counted = counted.withColumn("data", F.when(first, F.greatest(F.col("in_file") - 1, F.lit(0))).otherwise(0))
     earlier = Window.partitionBy("scope").orderBy(FILE).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     shift = F.sum("data").over(earlier) - F.sum("data").over(whole_file)
-    known = written_once(counted.withColumn("shift", shift).select(FILE, BLOCK, "inside", "before", "in_file", "shift", "left_open", "head"), "ranges")
-    broken = [r[0] for r in known.where("left_open").select(FILE).distinct().orderBy(FILE).limit(5).collect()]
-    if broken:
-        raise ValueError(f"a quote stays open to the end of {', '.join(broken)}")
-    return known
+    return written_once(counted.withColumn("shift", shift).select(FILE, BLOCK, "inside", "before", "in_file", "shift", "left_open", "head"), "ranges")
 
 
 def split_records(spark: SparkSession, paths: Sequence[str], index: DataFrame) -> DataFrame:
@@ -129,18 +128,59 @@ def split_records(spark: SparkSession, paths: Sequence[str], index: DataFrame) -
     return whole.unionByName(joined).withColumn("record", F.regexp_replace("record", "\r$", ""))
 
 
-def _headers(spark: SparkSession, index: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """The files of each header, from the index; only a header longer than its file's first range is looked up."""
-    heads = {r[FILE]: r["head"] for r in index.where("in_file > 0").groupBy(FILE).agg(F.max("head").alias("head")).collect()}
-    missing = [f for f, head in heads.items() if head is None]
-    if missing:
-        first = split_records(spark, [unquote(f) for f in missing], index).where("row = 1")
-        heads |= {r[FILE]: r["record"] for r in first.collect()}
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, head in sorted(heads.items()):
-        cells = next(csv.reader(io.StringIO(head.removesuffix("\r"), newline="")))
-        groups.setdefault(tuple(unique_names([c or None for c in cells])), []).append(file)
-    return groups
+def _place(path: str) -> str:
+    """A path without scheme and authority, as files are compared."""
+    return urlparse(path).path.rstrip("/")
+
+
+class Batch:
+    """The delimited files of many counties, scanned once.
+
+    What the driver holds is a row per file: its name, its number of records and
+    its first record.
+    """
+
+    def __init__(self, spark: SparkSession, paths: Sequence[str], scope: Column | None = None, past_faults: bool = False) -> None:
+        self.spark, self.index = spark, block_index(spark, paths, scope, past_faults)
+        facts = self.index.groupBy(FILE).agg(F.max("in_file").alias("held"), F.max("left_open").alias("open"), F.max("head").alias("head"), F.max("shift").alias("shift"))
+        self.files = {r[FILE]: r for r in facts.collect()}
+
+    def below(self, paths: Sequence[str]) -> list[str]:
+        """The files that are one of ``paths`` or lie in one, in order."""
+        own = [_place(p) for p in paths]
+        return sorted(f for f in self.files if any((at := _place(unquote(f))) == p or at.startswith(p + "/") for p in own))
+
+    def _first_cells(self, files: Sequence[str]) -> dict[str, list[str | None]]:
+        """Cells of the first record of every file that has one; only one longer than its file's first range is looked up."""
+        heads = {f: self.files[f]["head"] for f in files if self.files[f]["held"]}
+        if missing := [f for f, head in heads.items() if head is None]:
+            first = split_records(self.spark, [unquote(f) for f in missing], self.index).where("row = 1")
+            heads |= {r[FILE]: r["record"] for r in first.collect()}
+        return {f: [c or None for c in next(csv.reader(io.StringIO(head.removesuffix("\r"), newline="")))] for f, head in heads.items()}
+
+    def opens_with(self, files: Sequence[str]) -> str:
+        """The very first cell of ``files``."""
+        return next((cells[0] or "" for cells in self._first_cells(files[:1]).values()), "")
+
+    def read(self, files: Sequence[str], number: str = "idx", by_scope: bool = True) -> DataFrame:
+        """The data records of ``files``, numbered within the batch's scope, or through ``files`` alone."""
+        if broken := [f for f in files if self.files[f]["open"]]:
+            raise ValueError(f"a quote stays open to the end of {', '.join(broken[:5])}")
+        shift, groups, so_far = {}, {}, 0
+        for file, cells in sorted(self._first_cells(files).items()):
+            groups.setdefault(tuple(unique_names(cells)), []).append(file)
+            shift[file], so_far = so_far, so_far + self.files[file]["held"] - 1
+        tables = []
+        for names, own in groups.items():
+            records = split_records(self.spark, [unquote(f) for f in own], self.index).where("row > 1")
+            if by_scope:
+                before = F.col("shift")
+            else:
+                before = F.element_at(F.create_map(*[F.lit(x) for f in own for x in (f, shift[f])]), F.col(FILE))
+            tables.append(parse_cells(records.select(FILE, (before + F.col("row") - 1).alias(number), "record"), "record", names))
+        if not tables:
+            raise ValueError("no ballot file with a header")
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
 def read_split(spark: SparkSession, paths: str | Sequence[str], scope: Column | None = None, number: str = "idx") -> DataFrame:
@@ -151,13 +191,5 @@ def read_split(spark: SparkSession, paths: str | Sequence[str], scope: Column |
     header is an error when it is read; empty files are skipped.  The jobs run
     before the result is read do not depend on the number of files.
     """
-    listed = [paths] if isinstance(paths, str) else list(paths)
-    index = block_index(spark, listed, scope)
-    tables = []
-    for names, files in _headers(spark, index).items():
-        records = split_records(spark, [unquote(f) for f in files], index).where("row > 1")
-        numbered = records.select(FILE, (F.col("shift") + F.col("row") - 1).alias(number), "record")
-        tables.append(parse_cells(numbered, "record", names))
-    if not tables:
-        raise ValueError(f"no ballot file with a header at {paths}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    batch = Batch(spark, [paths] if isinstance(paths, str) else list(paths), scope)
+    return batch.read(sorted(batch.files), number)

@@ -4,7 +4,7 @@ import gzip
 
 from test_sources import export
 
-from tallyline.plans.build import build_ballots
+from tallyline.plans.build import build_ballots, county_ballots, scanned_together
 from tallyline.plans.cleaning import party_lookup
 from tallyline.sources.layout import read_partitioned
 
@@ -65,3 +65,36 @@ def test_build(spark, tmp_path):
         *[r for r in map(tuple, got) if r[0] == "MARICOPA"],
     ], key=str)
     assert sorted(r["candidate"] for r in got if r["county_name"] == "MARICOPA") == ["ANN", "UNDERVOTE", "UNDERVOTE"]
+
+
+def test_planning_delimited_counties_takes_no_jobs_of_their_own(spark, tmp_path):
+    contests = spark.createDataFrame([("OHIO", f"C{k}", "Gov Ann", "GOVERNOR", None, "ANN", None, None) for k in range(12)], CONTESTS)
+    for k in range(12):
+        rows = "".join(f'{n},"first\nsecond",1\n' for n in range(k + 1))
+        for part in range(2):
+            (tmp_path / f"c{k}").mkdir(exist_ok=True)
+            (tmp_path / f"c{k}" / f"{part}.csv").write_text("Cvr Number,Note,Gov Ann\n" + rows)
+
+    def planned(n):
+        spark.sparkContext.setJobGroup(f"plan{n}", "planning")
+        paths = [str(tmp_path / f"c{k}") for k in range(n)]
+        batch = scanned_together(spark, [*paths, str(tmp_path / "gone")])
+        tables = [county_ballots(spark, "delim", p, "OHIO", f"C{k}", contests, batch) for k, p in enumerate(paths)]
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"plan{n}"))
+        spark.sparkContext.setJobGroup("other", "reading")
+        return tables, jobs
+
+    (_, few), (tables, many) = planned(3), planned(12)
+    # only the lookup of a county's contests is collected per county
+    assert many - few <= 9 * lookup_jobs(spark, contests)
+    for k in (0, 11):
+        assert sorted(r["cvr_id"] for r in tables[k].select("cvr_id").collect()) == list(range(1, 2 * (k + 1) + 1))
+
+
+def lookup_jobs(spark, contests):
+    """Jobs that reading one county's contests to the driver takes."""
+    spark.sparkContext.setJobGroup("lookup", "lookup")
+    contests.where("county_name = 'C0'").collect()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("lookup"))
+    spark.sparkContext.setJobGroup("other", "reading")
+    return jobs
