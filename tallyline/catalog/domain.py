@@ -599,7 +599,8 @@ _TEAMS = f"""seneca AS (SELECT st, county, cvr_id, office, district FROM (
     UNION ALL SELECT st, county, cvr_id, office, district, cand, party_d, mag, prec FROM src WHERE nk % 4 = 1 AND choice_no < 6)"""
 
 
-def teams(spark: SparkSession, folder: str) -> DataFrame:
+def teams(spark: SparkSession, folder: str, second: str = "choice_no < 6") -> DataFrame:
+    """Both teams' ballots as one; ``second`` says which choices the second team read."""
     rows = team_ballots(spark, folder)
     # places come from the customers, not from their ballots
     homes = places(spark, folder).select(*_team_place(), "nk").distinct()
@@ -612,7 +613,7 @@ def teams(spark: SparkSession, folder: str) -> DataFrame:
     plain = rows.drop("choice_no", "nk")
     return L.coalesce_teams(
         plain,
-        rows.where("choice_no < 6").drop("choice_no", "nk"),
+        rows.where(second).drop("choice_no", "nk"),
         counties.where("nk = 10"),
         counties.where("nk % 4 = 1"),
         missing,
@@ -620,13 +621,16 @@ def teams(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_TEAMS_SQL = f"""SELECT st AS state, county AS county_name, office, c2 AS candidate, p3 AS party_detailed, party,
+  {_MAGNITUDE} AS magnitude, CASE WHEN pr.p IS NOT NULL THEN 'R-' || prec END AS precinct_returns, count(*) AS n
+FROM fmt LEFT JOIN (SELECT DISTINCT st AS s, county AS c, prec AS p FROM src) pr ON st = s AND county = c AND prec = p
+GROUP BY 1, 2, 3, 4, 5, 6, 7, 8"""
+
+
 @query(
     "coalesce_teams",
     with_ballots(
-        f"""SELECT st AS state, county AS county_name, office, c2 AS candidate, p3 AS party_detailed, party,
-  {_MAGNITUDE} AS magnitude, CASE WHEN pr.p IS NOT NULL THEN 'R-' || prec END AS precinct_returns, count(*) AS n
-FROM fmt LEFT JOIN (SELECT DISTINCT st AS s, county AS c, prec AS p FROM src) pr ON st = s AND county = c AND prec = p
-GROUP BY 1, 2, 3, 4, 5, 6, 7, 8""",
+        _TEAMS_SQL,
         _REAL,
         _TEAMS,
         _FORMATTED.replace("FROM src WHERE", "FROM src2 WHERE"),
@@ -637,6 +641,16 @@ def coalesce_teams(spark: SparkSession, folder: str) -> DataFrame:
     return G.tally(teams(spark, folder), keys)
 
 
+@query(
+    "coalesce_teams_whole",
+    with_ballots(_TEAMS_SQL, _REAL, _TEAMS.replace(" AND choice_no < 6", ""), _FORMATTED.replace("FROM src WHERE", "FROM src2 WHERE")),
+)
+def coalesce_teams_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``coalesce_teams``, with all choices of the second team."""
+    keys = ["state", "county_name", "office", "candidate", "party_detailed", "party", "magnitude", "precinct_returns"]
+    return G.tally(teams(spark, folder, "true"), keys)
+
+
 @query(
     "release_subset",
     with_ballots(

@@ -76,6 +76,26 @@ def full_chain(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "full_chain_whole",
+    with_ballots(
+        """SELECT state, office, party, max(n) FILTER (side = 'h') AS n_h, max(n) FILTER (side = 'm') AS n_m, max(n) FILTER (side = 'c') AS n_c,
+  max(n) FILTER (side = 'v') AS n_v FROM (
+  SELECT 'h' AS side, state, office, party, count(*) AS n FROM src WHERE nk <> 3 GROUP BY ALL
+  UNION ALL SELECT 'm', state, office, party, count(*) FROM src WHERE nk <> 5 GROUP BY ALL
+  UNION ALL SELECT 'c', state, office, party, count(*) FROM src WHERE nk <> 7 GROUP BY ALL
+  UNION ALL SELECT 'v', state, office, party, count(*) FROM src WHERE nk <> 11 GROUP BY ALL) t GROUP BY state, office, party""",
+        "src AS (SELECT *, CASE WHEN choice_no = 7 THEN NULL ELSE party_detailed END AS party FROM ballots)",
+    ),
+)
+def full_chain_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``full_chain`` over all ballots; each side lacks one nation, so keys are missing on every side."""
+    rows = ballots(spark, folder).withColumn("party", F.when(F.col("choice_no") != 7, F.col("party_detailed")))
+    keys = ["state", "office", "party"]
+    sides = {side: G.tally(rows.where(f"nk <> {nation}"), keys) for side, nation in (("h", 3), ("m", 5), ("c", 7), ("v", 11))}
+    return J.stack_sides(keys, **sides).select(*keys, "n_h", "n_m", "n_c", "n_v")
+
+
 @query(
     "right_join",
     """SELECT n_name, CAST(coalesce(s.n, 0) AS BIGINT) AS n_suppliers FROM

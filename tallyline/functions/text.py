@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 import unicodedata
 
 import pandas as pd
@@ -148,7 +149,7 @@ def name_distance(a: Column | str, b: Column | str, method: str = "osa") -> Colu
 
 
 def unique_names(names: list[str | None]) -> list[str]:
-    """Header repair: blank names and repeats get their position as ``...k``."""
+    """Header repair: blank names and repeats, whatever their case, get their position as ``...k``."""
     cleaned = [re.sub("�", "", n or "") for n in names]
-    repeated = {n for n in cleaned if cleaned.count(n) > 1}
-    return [n if n and n not in repeated else f"{n}...{k}" for k, n in enumerate(cleaned, 1)]
+    times = Counter(n.lower() for n in cleaned)
+    return [n if n and times[n.lower()] == 1 else f"{n}...{k}" for k, n in enumerate(cleaned, 1)]

@@ -79,6 +79,8 @@ SPECIAL: dict[tuple[str, str | None], Reader] = {
     ("FLORIDA", None): _several,
 }
 READERS: dict[str, Reader] = {"delim": read_delimited, "json": read_json, "xml": read_xml}
+#: Readers of files whose contests are values.
+LABELLED = {"json": M.read_json_ballots, "xml": M.read_xml_ballots}
 
 
 def county_ballots(
@@ -97,6 +99,30 @@ def county_ballots(
     return full.select(*[full[c].try_cast(t).alias(c) if c == "cvr_id" else full[c].cast(t).alias(c) for c, t in types.items()])
 
 
+def contests_of_manifest(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+    """Contest names of every county of a manifest that names files by ``delim``, ``json`` or ``xml``.
+
+    Headers of plain delimited files come out of one scan of all of them; a
+    stacked header and the values of labelled files are read per county, and
+    only when the result is.  Files that are missing have no contests.
+    """
+    rows = Y.to_build(manifest).collect()
+    batch = scanned_together(spark, [r["path"] for r in rows if r["type"] == "delim"])
+    known, names, tables = {*K.V.METADATA_COLUMNS, *K.V.PRECINCT_ALIASES}, [], []
+    for row in rows:
+        place = (row["state"], row["county_name"], row["type"])
+        if row["type"] == "delim":
+            files = batch.below([row["path"]]) if batch is not None else []
+            if files and re.search(D.BANNER, batch.opens_with(files)):
+                tables.append((*place, D.read_multi_header(spark, row["path"])))
+            else:
+                names += [(*place, n) for n in (batch.names(files) if files else []) if n not in known]
+        elif row["type"] in LABELLED:
+            tables.append((*place, LABELLED[row["type"]](spark, row["path"])))
+    found = spark.createDataFrame(names, "state string, county_name string, type string, contest string")
+    return found.unionByName(K.discover_contests(tables)) if tables else found
+
+
 #: What a failed job says when machines, not files, are at fault.
 LOST = ("ExecutorLostFailure", "FetchFailed", "OutOfMemoryError", "No space left on device", "SparkContext was shut down")
 FAULTS = (PySparkException, Py4JJavaError, ValueError, IndexError)

@@ -158,6 +158,10 @@ class Batch:
             heads |= {r[FILE]: r["record"] for r in first.collect()}
         return {f: [c or None for c in next(csv.reader(io.StringIO(head.removesuffix("\r"), newline="")))] for f, head in heads.items()}
 
+    def names(self, files: Sequence[str]) -> list[str]:
+        """All column names of ``files``, repaired, in order of appearance."""
+        return list(dict.fromkeys(n for _, cells in sorted(self._first_cells(files).items()) for n in unique_names(cells)))
+
     def opens_with(self, files: Sequence[str]) -> str:
         """The very first cell of ``files``."""
         return next((cells[0] or "" for cells in self._first_cells(files[:1]).values()), "")

@@ -4,7 +4,7 @@ import gzip
 
 from test_sources import export
 
-from tallyline.plans.build import build_ballots, county_ballots, scanned_together
+from tallyline.plans.build import build_ballots, contests_of_manifest, county_ballots, scanned_together
 from tallyline.plans.cleaning import party_lookup
 from tallyline.sources.layout import read_partitioned
 
@@ -98,3 +98,18 @@ def lookup_jobs(spark, contests):
     jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("lookup"))
     spark.sparkContext.setJobGroup("other", "reading")
     return jobs
+
+
+def test_contests_from_the_manifest(spark, tmp_path):
+    for k, header in enumerate(("Cvr Number,Gov,gov,House", "Cvr Number,Senate", "2020 General" + "," * 19)):
+        (tmp_path / f"{k}.csv").write_text(header + "\n1,1,1,1\n")
+    (tmp_path / "x.xml").write_text(
+        "<CastVoteRecord><Contests><Contest><Name>Mayor</Name><Options><Option><Name>Ann</Name></Option></Options>"
+        "<Undervotes>0</Undervotes></Contest></Contests><PrecinctSplit><Name>S</Name></PrecinctSplit></CastVoteRecord>"
+    )
+    files = [("0.csv", "A", "delim"), ("1.csv", "B", "delim"), ("x.xml", "C", "xml"), ("gone.csv", "D", "delim")]
+    rows = [(str(tmp_path / p), "OHIO", c, t, None) for p, c, t in files]
+    found = contests_of_manifest(spark, spark.createDataFrame(rows, "path string, state string, county_name string, type string, build string"))
+    assert sorted((r["county_name"], r["contest"]) for r in found.collect()) == [
+        ("A", "Gov...2"), ("A", "House"), ("A", "gov...3"), ("B", "Senate"), ("C", "Mayor"),
+    ]
