@@ -40,6 +40,8 @@ BANDS = COORDINATES // ROWS
 AGREE = 104
 #: The rarity of shingles is counted in 2^CELL_BITS cells.
 CELL_BITS = 16
+#: Wanted texts are told from others by a bit each in a table of at most 2^FILTER_BITS bits (32 MB).
+FILTER_BITS = 28
 #: Elements hashed at a time.
 ELEMENTS = 1 << 21
 
@@ -132,11 +134,37 @@ def _sketched(docs: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id long, text_key long, {made}")
 
 
+def _may_be_wanted(wanted: DataFrame, doc_id: str, text_key: str, most: int = FILTER_BITS) -> Column:
+    """Is a row (``doc_id``, ``text_key``) among ``wanted`` (``id``, ``of``)?  Never false for one that is, seldom true for others.
+
+    A bit per hash cell, eight times as many as wanted rows and 2^``most`` at
+    most, is set where a wanted row falls into the cell.  Where more are wanted
+    the table fills up and lets more rows pass, to the join behind it.
+    """
+    bits = min(most, max(16, (8 * wanted.count()).bit_length()))
+    cell = F.shiftrightunsigned(F.xxhash64("id", "of"), 64 - bits)
+    rows = wanted.select(cell.alias("cell")).groupBy(F.shiftright("cell", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(cell & 63 AS int)))").alias("bits")
+    ).toArrow()
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    held = wanted.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+
+    @F.pandas_udf("boolean")
+    def udf(hashes: pd.Series) -> pd.Series:
+        cells = hashes.to_numpy(np.int64).view(np.uint64) >> U(64 - bits)
+        return pd.Series((held.value[cells >> U(6)] >> (cells & U(63)) & U(1)).astype(bool))
+
+    return udf(F.xxhash64(doc_id, text_key))
+
+
 def _with_shingles(sets: DataFrame, docs: DataFrame, size: int, scratch: Scratch, *keep: str) -> DataFrame:
     """``sets`` (``set_key``, ``doc_id``, ``text_key``, ``keep``) with their ``shingles``, read again from one text each."""
     wanted = scratch.write(sets.select("set_key", F.col("doc_id").alias("id"), F.col("text_key").alias("of"), *keep), "wanted-sets")
-    texts = needed(docs, "doc_id", "text").withColumn("key", _text_key(F.col("text")))
-    met = texts.join(wanted, (F.col("key") == F.col("of")) & F.col("doc_id").cast("long").eqNullSafe(F.col("id")))
+    texts = needed(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), _text_key(F.col("text")).alias("key"), "text")
+    # only texts that may be wanted are shuffled
+    near = texts.where(_may_be_wanted(wanted, "doc_id", "key"))
+    met = near.join(wanted, (F.col("key") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")))
     # a row may be there several times
     once = met.groupBy("set_key", *keep).agg(F.first("text").alias("text"))
     kept = [f for f in once.schema.fields if f.name != "text"]

@@ -78,3 +78,16 @@ def test_sketch_fills_and_estimates():
 
 def test_short_sketch_keeps_the_bound():
     assert minhash.AGREE <= 0.85 * minhash.COORDINATES - 6 * (minhash.COORDINATES * 0.85 * 0.15) ** 0.5 + 5
+
+
+def test_filter_of_wanted_texts_loses_none(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(20000).select(F.when(F.col("id") != 7, F.col("id")).alias("id"), (F.col("id") % 50).alias("of"))
+    wanted = rows.where("id % 10 = 3 OR id IS NULL").coalesce(2)
+    held = rows.where(minhash._may_be_wanted(wanted, "id", "of"))
+    assert wanted.exceptAll(held).isEmpty() and held.count() < 2001 + 0.2 * 18000
+    # a table too small for its rows only lets more pass
+    crowded = rows.where(minhash._may_be_wanted(wanted, "id", "of", most=8))
+    assert wanted.exceptAll(crowded).isEmpty()
+    assert rows.where(minhash._may_be_wanted(wanted.where("false"), "id", "of")).isEmpty()
