@@ -248,6 +248,28 @@ def vote_partition(marks: DataFrame, keys: Sequence[str] = ("cvr_id",), contest:
     return votes.unionByName(blanks.withColumn("vote_class", F.col("candidate")), allowMissingColumns=True)
 
 
+def _voted_or_blank(marks: DataFrame, contest: Sequence[str]) -> DataFrame:
+    """One row per voter, contest and choice; a contest without a ``__vote`` has the one choice ``undervote``.
+
+    The vote flag and the choices of a contest are folded together, so ballots
+    are shuffled once.  A set holds only what differs between the marks of a
+    contest and is combined map-side: many rows with the same voter, or with none, add
+    nothing to it.  Of equal choices the first contest name stays; null choices go.
+    """
+    rest = [c for c in marks.columns if c not in (*contest, "contest", "candidate", "__vote")]
+    fields = ["contest", *rest]
+    folded = marks.groupBy(*contest).agg(
+        F.bool_or("__vote").alias("__voted"), F.sort_array(F.collect_set(F.struct("candidate", *fields))).alias("__marks")
+    )
+    first = F.filter(
+        "__marks", lambda m, k: m["candidate"].isNotNull()
+        & ~F.coalesce(F.get("__marks", k - 1)["candidate"] == m["candidate"], F.lit(False)),
+    )
+    blank = F.array_min(F.transform("__marks", lambda m: F.struct(F.lit("undervote").alias("candidate"), *[m[c].alias(c) for c in fields])))
+    kept = folded.select(*contest, F.explode(F.when(F.col("__voted"), first).otherwise(F.array(blank))).alias("__mark"))
+    return kept.select(*contest, *[F.col(f"__mark.{c}").alias(c) for c in ("candidate", *fields)])
+
+
 def clean_race_export(raw: DataFrame, state: str, county: str, contests: DataFrame) -> DataFrame:
     """One-race-per-file export (voter, precinct, race, choice) -> long ballot table."""
     named = raw.select(
@@ -257,16 +279,12 @@ def clean_race_export(raw: DataFrame, state: str, county: str, contests: DataFra
     lookup = rename(contest_lookup(contests, state, county).drop("state", "county_name"), __named="candidate")
     joined = add_literals(named.join(lookup, "contest", "left"), state=state, county_name=county).dropna(subset=["office"])
     no_vote = (F.col("__cell") == "0") | detect("__cell", "undervote")
-    flagged = with_group_stats(
-        joined, [*BALLOT_KEYS, "office", "district"], voted=F.bool_or(~F.coalesce(no_vote, F.lit(False)))
-    )
-    cell = F.when(F.col("voted"), F.col("__cell")).otherwise("undervote")
     chosen = first_match(
-        [(detect(cell, "undervote"), F.lit("undervote")), (cell == "0", F.lit(None).cast("string"))],
-        F.coalesce(F.col("__named"), cell),
+        [(detect("__cell", "undervote"), F.lit("undervote")), (F.col("__cell") == "0", F.lit(None).cast("string"))],
+        F.coalesce(F.col("__named"), F.col("__cell")),
     )
-    known = flagged.withColumn("candidate", chosen).drop("__cell", "__named", "voted").dropna(subset=["candidate"])
-    single = first_per_key(known, [*BALLOT_KEYS, "office", "district", "candidate"], ["contest"])
+    marks = joined.withColumns({"candidate": chosen, "__vote": ~F.coalesce(no_vote, F.lit(False))})
+    single = _voted_or_blank(marks.drop("__cell", "__named"), [*BALLOT_KEYS, "office", "district"])
     party = party_from_marks("party_detailed", "candidate", V.RACE_EXPORT_PARTY_MARKS)
     bare = remove_all("candidate", V.RACE_EXPORT_MARKS_REMOVED, ignore_case=True)
     labelled = single.withColumn("party_detailed", party).withColumn(

@@ -179,3 +179,20 @@ def test_file_without_a_known_contest_is_an_error(spark):
     lookup = spark.createDataFrame([("z", "X", "1", "Ann")], "contest string, office string, district string, candidate string")
     with pytest.raises(ValueError, match="no column"):
         K.unpivot_ballots(wide, lookup, ids=["cvr_id"])
+
+
+def test_race_export_folds_votes_and_choices_together(spark):
+    raw = spark.createDataFrame(
+        [("1", "p", "Pres A", "0"), ("1", "p", "Pres B", "Ann"), ("1", "p", "Pres A", "Ann"), ("1", "p", "Pres A", "Undervote"),
+         ("2", "p", "Pres B", "0"), ("2", "p", "Pres A", "undervote"), ("3", "p", "Pres A", None), ("3", "p", "Pres A", "0"),
+         (None, "p", "Pres A", "0"), (None, "q", "Pres A", "Bob"), (None, "q", "Pres A", "Bob")],
+        "cid string, Precinct string, Race string, Candidate string",
+    ).repartition(3)
+    table = contests(spark, ("Pres A", "US HOUSE", None, None, None, "1"), ("Pres B", "US HOUSE", None, None, None, "2"))
+    got = K.clean_race_export(raw, "S", "C", table)
+    assert cells(got, "cvr_id", "precinct", "candidate", "contest", "magnitude") == [
+        ("1", "p", "ANN", "Pres A", "1"), ("1", "p", "UNDERVOTE", "Pres A", "1"),
+        ("2", "p", "UNDERVOTE", "Pres A", "1"), (None, "q", "BOB", "Pres A", "1")]
+    # the lookup and the repartition aside, ballots are exchanged once and joined once
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1 and plan.count("ENSURE_REQUIREMENTS") <= 3
