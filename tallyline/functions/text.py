@@ -139,12 +139,26 @@ def _osa_distance(left: pd.Series, right: pd.Series) -> pd.Series:
     )
 
 
+def _neighbours(c: Column) -> Column:
+    """All pairs of adjacent characters (shorter texts give themselves)."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda k: F.substr(c, k, F.lit(2)))
+
+
 def name_distance(a: Column | str, b: Column | str, method: str = "osa") -> Column:
-    """Edit distance; ``osa`` counts a swap once, ``levenshtein`` (built in) twice."""
+    """Edit distance; ``osa`` counts a swap once, ``levenshtein`` (built in) twice.
+
+    The two differ only where a swap could save an edit: two edits or more, and adjacent
+    characters of one text that stand reversed in the other.  Only such pairs
+    are handed to the Arrow UDF, the others travel as nulls.
+    """
+    a, b = col(a), col(b)
+    plain = F.levenshtein(a, b)
     if method == "levenshtein":
-        return F.levenshtein(col(a), col(b))
+        return plain
     if method == "osa":
-        return _osa_distance(col(a), col(b))
+        swapped = F.transform(_neighbours(b), lambda pair: F.reverse(pair))
+        open_ = (plain > 1) & F.arrays_overlap(_neighbours(a), swapped)
+        return F.coalesce(_osa_distance(F.when(open_, a), F.when(open_, b)), plain)
     raise ValueError(f"unknown distance {method!r}")
 
 

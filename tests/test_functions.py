@@ -1,5 +1,7 @@
 """Text and null rules: one test per trap."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +126,11 @@ def test_three_valued_aggregates(spark):
 def test_ratio_and_number(spark):
     assert one(spark, N.ratio(F.col("x"), F.lit(0)), x=3) is None
     assert one(spark, N.number("s"), s="1x") is None
+
+
+def test_swap_distance_equals_its_definition_on_random_names(spark):
+    draw = random.Random(3)
+    names = [None, "", "A", "AA", "Ñu", "uÑ", "😀a", "a😀"] + ["".join(draw.choices("ABC 1é", k=draw.randint(0, 7))) for _ in range(60)]
+    rows = spark.createDataFrame([(a, b) for a in names for b in names], "a string, b string")
+    for a, b, found in rows.select("a", "b", T.name_distance("a", "b")).collect():
+        assert found == (None if a is None or b is None else T.osa(a, b)), (a, b)
