@@ -119,25 +119,33 @@ def strip_accents(c: Column | str) -> Column:
     return F.regexp_replace(decompose(c), r"\p{Mn}", "")
 
 
-def osa(a: str, b: str) -> int:
-    """Optimal string alignment distance: edits plus adjacent swaps at cost one."""
-    before, row = [], list(range(len(b) + 1))
-    for i, ca in enumerate(a, 1):
-        older, before, row = before, row, [i]
-        for j, cb in enumerate(b, 1):
-            best = min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (ca != cb))
-            if i > 1 and j > 1 and ca == b[j - 2] and a[i - 2] == cb:
-                best = min(best, older[j - 2] + 1)
-            row.append(best)
-    return row[-1]
-
-
-@F.pandas_udf(T.IntegerType())
-def _osa_distance(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series(
-        [None if a is None or b is None else osa(a, b) for a, b in zip(left, right)], dtype="Int32"
+def _swap_distance(a: Column, b: Column) -> Column:
+    """Optimal string alignment as two nested folds: over the characters of ``a``, and over a row of the table.
+
+    The state holds the last two rows; what several places need lies in it, too,
+    as a lambda computes everything else anew for every cell.
+    """
+    zero = F.lit(0)
+    start = F.struct(
+        F.sequence(zero, F.length(b)).alias("row"), F.sequence(zero, F.length(b)).alias("older"),
+        F.split(b, "").alias("to"), F.lit("").alias("last"),
     )
 
+    def cell(s: Column, ca: Column, row: Column, j: Column) -> Column:
+        cb = F.get(s["to"], j - 1)
+        edit = F.get(s["row"], j - 1) + F.when(ca == cb, 0).otherwise(1)
+        # without a character before it, either side of the test is null or false
+        swap = F.when((ca == F.get(s["to"], j - 2)) & (s["last"] == cb), F.get(s["older"], j - 2) + 1)
+        return F.least(F.get(s["row"], j) + 1, F.element_at(row, -1) + 1, edit, swap)
+
+    def step(s: Column, ca: Column) -> Column:
+        first = F.array(F.get(s["row"], zero) + 1)
+        places = F.sequence(F.lit(1), F.size(s["to"]))
+        row = F.aggregate(places, first, lambda row, j: F.concat(row, F.array(cell(s, ca, row, j))))
+        return F.struct(row.alias("row"), s["row"].alias("older"), s["to"].alias("to"), ca.alias("last"))
+
+    return F.aggregate(F.split(a, ""), start, step, lambda s: F.element_at(s["row"], -1))
+
 
 def _neighbours(c: Column) -> Column:
     """All pairs of adjacent characters (shorter texts give themselves)."""
@@ -148,8 +156,8 @@ def name_distance(a: Column | str, b: Column | str, method: str = "osa") -> Colu
     """Edit distance; ``osa`` counts a swap once, ``levenshtein`` (built in) twice.
 
     The two differ only where a swap could save an edit: two edits or more, and adjacent
-    characters of one text that stand reversed in the other.  Only such pairs
-    are handed to the Arrow UDF, the others travel as nulls.
+    characters of one text that stand reversed in the other.  Only for such pairs
+    the whole table of distances is folded, in the JVM as well.
     """
     a, b = col(a), col(b)
     plain = F.levenshtein(a, b)
@@ -158,7 +166,7 @@ def name_distance(a: Column | str, b: Column | str, method: str = "osa") -> Colu
     if method == "osa":
         swapped = F.transform(_neighbours(b), lambda pair: F.reverse(pair))
         open_ = (plain > 1) & F.arrays_overlap(_neighbours(a), swapped)
-        return F.coalesce(_osa_distance(F.when(open_, a), F.when(open_, b)), plain)
+        return F.when(open_, _swap_distance(a, b)).otherwise(plain)
     raise ValueError(f"unknown distance {method!r}")
 
 

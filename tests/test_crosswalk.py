@@ -3,9 +3,9 @@
 import random
 
 import pytest
+from distances import osa
 from pyspark.sql import functions as F
 
-from tallyline.functions.text import osa
 from tallyline.plans import crosswalk as X
 from tallyline.rules.precincts import BALLOT_LABELS, RETURNS_LABELS
 
