@@ -97,16 +97,14 @@ def infer_undervotes(
     return flagged.withColumn("candidate", choice_from_cell(cell, named, F.col("voted")))
 
 
-def unpivot_ballots(
-    wide: DataFrame, lookup: DataFrame, ids: Sequence[str] = ("state", "county_name", "cvr_id", "precinct")
-) -> DataFrame:
-    """Wide ballots -> long choices with undervotes, without a shuffle.
-
-    A ballot is one wide row, so whether a vote was cast in a contest is an
-    expression over that row's cells.  The lookup is no longer than the file is
-    wide; it is read to the driver to group the columns by (office, district)
-    and joined back as literals.  Extra lookup columns are carried along, and
-    ``__pos`` holds the place of the column in the file.
+def _contest_columns(
+    wide: DataFrame, lookup: DataFrame, ids: Sequence[str]
+) -> tuple[list[str], list[str], dict[tuple, list[tuple[str, int, tuple]]]]:
+    """Columns that identify a ballot, those the lookup carries, and the cells of each (office, district).
+
+    The lookup is no longer than the file is wide, so it is read to the driver.
+    A cell is (column, its place in the file, its entry of the lookup); cells
+    are listed in the file's order, entries of one column in that of their values.
     """
     kept = [c for c in ids if c in wide.columns]
     cells = [c for c in wide.columns if c not in kept]
@@ -117,22 +115,37 @@ def unpivot_ballots(
     if not named:
         raise ValueError("no column of the file is a contest of the lookup")
     at = {c: k for k, c in enumerate(carried)}
-    contests: dict[tuple, list[str]] = {}
-    for cell in cells:
-        for entry in named.get(cell, ()):
-            contests.setdefault((entry[at["office"]], entry[at["district"]]), []).append(cell)
-    order = {contest: k for k, contest in enumerate(contests)}
+
+    def by_value(entry: tuple) -> list[tuple]:
+        rest = [v for c, v in zip(carried, entry) if c != "candidate"]
+        return [(v is not None, v or "") for v in [*rest, entry[at["candidate"]]]]
+
+    contests: dict[tuple, list[tuple[str, int, tuple]]] = {}
+    for place, cell in enumerate(cells):
+        for entry in sorted(named.get(cell, ()), key=by_value):
+            contests.setdefault((entry[at["office"]], entry[at["district"]]), []).append((cell, place, entry))
+    return kept, carried, contests
+
+
+def unpivot_ballots(
+    wide: DataFrame, lookup: DataFrame, ids: Sequence[str] = ("state", "county_name", "cvr_id", "precinct")
+) -> DataFrame:
+    """Wide ballots -> long choices with undervotes, without a shuffle.
+
+    A ballot is one wide row, so whether a vote was cast in a contest is an
+    expression over that row's cells, grouped by (office, district) and joined
+    to the lookup as literals.  Extra lookup columns are carried along, and
+    ``__pos`` holds the place of the column in the file.
+    """
+    kept, carried, contests = _contest_columns(wide, lookup, ids)
     # a missing cell is no row of the long table, so it decides nothing
-    voted = F.array(*[any_of([holds(~is_blank_cell(f"`{c}`")) for c in columns]) for columns in contests.values()])
+    voted = F.array(*[any_of([holds(~is_blank_cell(f"`{c}`")) for c, _, _ in cells]) for cells in contests.values()])
     literal = wide.sparkSession.createDataFrame(
-        [
-            (cell, *entry, order[(entry[at["office"]], entry[at["district"]])], cells.index(cell))
-            for cell, entries in named.items()
-            for entry in entries
-        ],
+        [(cell, *entry, k, place) for k, cells in enumerate(contests.values()) for cell, place, entry in cells],
         ", ".join(["contest string", *[f"`{c}` string" for c in carried], "__k int", "__pos int"]),
     ).withColumnRenamed("candidate", "__named")
-    flagged = wide.select(*kept, voted.alias("__voted"), *[F.col(f"`{c}`") for c in cells if c in named])
+    used = {cell for cells in contests.values() for cell, _, _ in cells}
+    flagged = wide.select(*kept, voted.alias("__voted"), *[F.col(f"`{c}`") for c in wide.columns if c in used])
     long = flagged.unpivot([*kept, "__voted"], None, "contest", "__cell").where(F.col("__cell").isNotNull())
     joined = long.join(F.broadcast(literal), "contest")  # as long as the file is wide
     choice = choice_from_cell("__cell", "__named", F.col("voted"))
@@ -143,6 +156,46 @@ def unpivot_ballots(
     )
 
 
+def single_choices(
+    wide: DataFrame, lookup: DataFrame, ids: Sequence[str] = ("state", "county_name", "cvr_id", "precinct")
+) -> DataFrame:
+    """Wide ballots -> long choices, each choice of a contest once: that of the first column.
+
+    For files whose rows are single ballots.  All choices of a ballot stand in
+    its row, so repeats are found there, among the cells of a contest, and no
+    choice is shuffled.  Missing cells and cells that are no choice give no row.
+    """
+    kept, carried, contests = _contest_columns(wide, lookup, ids)
+    named = carried.index("candidate")
+    cells = F.array(*[
+        F.array(*[F.struct(F.col(f"`{c}`").alias("cell"), F.lit(entry[named]).cast("string").alias("named")) for c, _, entry in listed])
+        for listed in contests.values()
+    ])
+    # one step per value used more than once, so that no lambda computes it again for every cell
+    marked = F.transform(cells, lambda of: F.struct(of.alias("of"), F.exists(of, lambda x: holds(~is_blank_cell(x["cell"]))).alias("voted")))
+    chosen = F.transform(marked, lambda m, k: F.struct(
+        F.transform(m["of"], lambda x: F.when(x["cell"].isNotNull(), choice_from_cell(x["cell"], x["named"], m["voted"]))).alias("choices"),
+        k.alias("k"),
+    ))
+    firsts = F.flatten(F.transform(chosen, lambda c: F.transform(
+        F.filter(F.array_distinct(c["choices"]), lambda choice: choice.isNotNull()),
+        lambda choice: F.struct(c["k"].alias("k"), F.array_position(c["choices"], choice).alias("p"), choice.alias("candidate")),
+    )))
+    others = [c for c in carried if c != "candidate"]
+    literal = wide.sparkSession.createDataFrame(
+        [
+            (k, p, cell, *[v for c, v in zip(carried, entry) if c != "candidate"])
+            for k, listed in enumerate(contests.values())
+            for p, (cell, _, entry) in enumerate(listed, 1)
+        ],
+        ", ".join(["__k int", "__p long", "contest string", *[f"`{c}` string" for c in others]]),
+    )
+    long = wide.select(*kept, F.explode(firsts).alias("__one")).select(
+        *kept, F.col("__one.k").alias("__k"), F.col("__one.p").alias("__p"), F.col("__one.candidate").alias("candidate")
+    )
+    return long.join(F.broadcast(literal), ["__k", "__p"]).drop("__k", "__p")  # as long as the file is wide
+
+
 #: Column of a ballot number given by the reader.
 NUMBERED = "__number"
 
@@ -198,9 +251,10 @@ def clean(df: DataFrame, order: Sequence[str] = ("contest",)) -> DataFrame:
 
 
 def clean_wide(raw: DataFrame, state: str, county: str, contests: DataFrame) -> DataFrame:
-    """Wide delimited file of a county -> long ballot table."""
+    """Wide delimited file of a county -> long ballot table, without a shuffle of choices."""
     wide = prepare_wide(raw, state, county)
-    return clean(unpivot_ballots(wide, contest_lookup(contests, state, county)), order=("__pos",))
+    single = single_choices(wide, contest_lookup(contests, state, county))
+    return _finish(clean_text(single.dropna(subset=["office"])))
 
 
 def clean_labelled(df: DataFrame, state: str, county: str, contests: DataFrame) -> DataFrame:

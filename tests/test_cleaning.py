@@ -1,8 +1,11 @@
 """Ballot cleaning: undervotes, text rules, adapters."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from tallyline.operators.groups import first_per_key
 from tallyline.plans import cleaning as K
 from tallyline.sources.delimited import read_wide_ballots
 
@@ -82,6 +85,32 @@ def test_wide_and_long_undervote_rules_agree(spark):
     assert (1, "b", False, None) in cells(from_wide, *columns)
 
 
+def test_single_choices_equal_the_fold_of_all_choices(spark):
+    rng = random.Random(7)
+    entries = [(f"c{k}", rng.choice(["X", "Y", None]), rng.choice(["1", None]), rng.choice([None, "Ann", "Bob"]), rng.choice([None, "G"])) for k in range(9)]
+    entries += [("c1", "X", "1", "Ann", None), ("c1", "X", "1", "Bob", "A"), ("c2", "Y", "1", None, None), ("absent", "X", "1", None, None)]
+    lookup = spark.createDataFrame(entries, "contest string, office string, district string, candidate string, party_detailed string")
+    cell = lambda: rng.choice([None, "0", "1", "Ann", "Bob", "*", "undervote", "redacted", ""])
+    wide = spark.createDataFrame(
+        [("S", "C", k, "p", *[cell() for _ in range(9)]) for k in range(300)],
+        "state string, county_name string, cvr_id int, precinct string, " + ", ".join(f"c{k} string" for k in range(9)),
+    )
+    key = ["state", "county_name", "cvr_id", "office", "district", "candidate"]
+    folded = first_per_key(K.unpivot_ballots(wide, lookup).dropna(subset=["candidate"]), key, ("__pos",))
+    columns = (*key, "precinct", "party_detailed", "contest")
+    single = K.single_choices(wide, lookup)
+    assert cells(single, *columns) == cells(folded, *columns)
+    assert "Exchange hashpartitioning" not in single._jdf.queryExecution().toString()
+
+
+def test_clean_wide_shuffles_no_choice(spark):
+    contests = spark.createDataFrame([("S", "C", "a", "X", "1", "Ann", None, "1")], CONTESTS)
+    wide = spark.createDataFrame([(1, "1")], f"`{K.NUMBERED}` long, a string")
+    plan = K.clean_wide(wide, "S", "C", contests)
+    assert cells(plan, "candidate") == [("ANN",)]
+    assert "hashpartitioning" not in plan._jdf.queryExecution().toString()
+
+
 MARKS = "cvr_id int, contest string, precinct string, magnitude string, candidate string, party_detailed string, isVote boolean, isAmbiguous boolean, undervotes int, overvotes int"
 
 
