@@ -17,7 +17,8 @@ from tallyline.plans import reports as R
 from tallyline.plans import returns as O
 from tallyline.plans import second_team as S2
 from tallyline.rules.precincts import BALLOT_LABELS, RETURNS_LABELS
-from tallyline.session import written_once
+from tallyline.session import scratch_path, written_once
+from tallyline.sources import layout as Y
 
 # ---------------------------------------------------------------- cleaning
 
@@ -343,7 +344,7 @@ def crosswalk_match(spark: SparkSession, folder: str) -> DataFrame:
 # swaps count once; on these labels the oracle's distance agrees with string alignment
 @query("crosswalk_match_osa", ORACLES["crosswalk_match"].replace("levenshtein(", "damerau_levenshtein("))
 def crosswalk_match_osa(spark: SparkSession, folder: str) -> DataFrame:
-    """The same with swaps at cost one (Arrow UDF; also checked against all pairs in the tests)."""
+    """The same with swaps at cost one (also checked against all pairs in the tests)."""
     return X.match_precincts(*_sides(spark, folder), method="osa").drop("precinct_cvr", "precinct_returns")
 
 
@@ -691,6 +692,25 @@ def release_checks(spark: SparkSession, folder: str) -> DataFrame:
     return senate.unionByName(house)
 
 
+@query(
+    "published_release",
+    with_ballots(
+        """SELECT office, CAST(count(*) AS BIGINT) AS n_observed, CAST(count(*) AS BIGINT) AS n_stored, count(DISTINCT county_name) AS n_counties
+FROM (SELECT DISTINCT state, county_name, cvr_id, office FROM ballots) b GROUP BY office"""
+    ),
+)
+def published_release(spark: SparkSession, folder: str) -> DataFrame:
+    """Publish a choice per voter and office; the counts the write observed next to those of what it stored."""
+    path = scratch_path(spark, "release")
+    single = G.first_per_key(ballots(spark, folder), ["state", "county_name", "cvr_id", "office"], ["choice_no"])
+    seen = L.publish_release(single, path)
+    observed = spark.createDataFrame(list(seen.items()), "office string, n_observed long")
+    stored = Y.read_partitioned(spark, path).groupBy("office").agg(
+        F.count(F.lit(1)).alias("n_stored"), F.count_distinct("county_name").alias("n_counties")
+    )
+    return stored.join(observed, "office", "left")
+
+
 # ---------------------------------------------------------------- second team
 
 _ITEMS = """src AS (SELECT CASE state WHEN 'AFRICA' THEN 'GA' WHEN 'AMERICA' THEN 'AK' WHEN 'ASIA' THEN 'CA' WHEN 'EUROPE' THEN 'DE' ELSE 'XX' END AS state,

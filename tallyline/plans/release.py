@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.nulls import holds, if_else, is_in, not_in, recode, replace_where
@@ -167,23 +168,68 @@ class RepeatedBallots(ValueError):
     """A voter occurs more than once in an office."""
 
 
+def _checked(offices: Sequence[str]) -> Column:
+    """Rows of which a voter may have one per office: multi-member lower houses are left out."""
+    several = (F.col("office") == "STATE HOUSE") & is_in("state", ("WEST VIRGINIA", "ARIZONA"))
+    return is_in("office", offices) & ~holds(several)
+
+
+def _seat() -> Column:
+    """The senate seat where a state elects two."""
+    return F.when((F.col("office") == "US SENATE") & (F.col("state") == "GEORGIA"), F.col("district"))
+
+
 def check_release(release: DataFrame, offices: Sequence[str] = tuple(V.OFFICES)) -> None:
     """Every voter occurs exactly once per office, or an error names the office.
 
     The whole release is read once: voters are counted per office, then the
     counts of all offices come back as one small table.
     """
-    voter = [*COUNTY, "cvr_id"]
-    rows = release.where(is_in("office", offices)).where(
-        ~((F.col("office") == "STATE HOUSE") & is_in("state", ("WEST VIRGINIA", "ARIZONA")))
-    )
-    seat = F.when((F.col("office") == "US SENATE") & (F.col("state") == "GEORGIA"), F.col("district"))
-    counts = tally(rows.withColumn("__seat", seat), ["office", *voter, "__seat"])
+    rows = release.where(_checked(offices)).withColumn("__seat", _seat())
+    counts = tally(rows, ["office", *COUNTY, "cvr_id", "__seat"])
     worst = counts.groupBy("office").agg(F.max("n").alias("n")).where("n > 1").collect()
     if worst:
         raise RepeatedBallots(", ".join(f"{r['office']}: {r['n']} times" for r in worst))
 
 
+_REFUSED = "release refused: "
+#: Tasks the rows without a voter number are spread over.
+NAMELESS_TASKS = 1024
+
+
+def publish_release(release: DataFrame, path: str, offices: Sequence[str] = tuple(V.OFFICES)) -> dict[str, int]:
+    """Check the release while it is written; only a release that holds replaces its partitions.
+
+    The rules are those of :func:`check_release`, and a checked row without a
+    voter number is refused as well, since it cannot be shown to be the only
+    one.  Rows are dealt by voter and counted in the write's own plan, so the
+    release is computed once and never read back.  A row that breaks a rule
+    fails its task before the job commits: what ``path`` held stays as it was,
+    and :class:`RepeatedBallots` names the office.  Returned are the checked
+    rows written per office, which is also their number of voters, observed by
+    the write; an office without rows has 0, an empty release writes nothing.
+
+    A window holds a voter's rows of one office.  Only a broken release has
+    many there; its task spills, and the release is refused.
+    """
+    checked, named = _checked(offices), F.col("cvr_id").isNotNull()
+    # rows that no rule compares need not meet
+    spread = F.when(~named, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in release.columns]), F.lit(NAMELESS_TASKS)))
+    voter = Window.partitionBy("office", *COUNTY, "cvr_id", _seat(), spread)
+    counted = release.withColumn("__times", F.count(F.lit(1)).over(voter))
+    reason = F.when(~named, F.lit("no voter number")).otherwise(F.concat(F.col("__times").cast("string"), F.lit(" times")))
+    refusal = F.raise_error(F.concat(F.lit(_REFUSED), "office", F.lit(": "), reason, F.lit(";")))
+    broken = checked & (~named | (F.col("__times") > 1))
+    single = counted.where(F.when(broken, refusal.cast("boolean")).otherwise(F.lit(True))).drop("__times")
+    written = [F.count_if(checked & (F.col("office") == office)).alias(office) for office in offices]
+    try:
+        return write_partitioned(single, path, COUNTY, "replace", written)
+    except PySparkException as error:
+        if _REFUSED not in str(error):
+            raise
+        raise RepeatedBallots(str(error).split(_REFUSED, 1)[1].split(";", 1)[0]) from error
+
+
 def released_counties(release: DataFrame) -> DataFrame:
     return release.select(*COUNTY).distinct().orderBy(*COUNTY)
 

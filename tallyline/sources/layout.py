@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,22 +35,30 @@ def read_partitioned(
         spark.conf.set(setting, before)
 
 
-def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], mode: str = "replace") -> None:
+def write_partitioned(
+    df: DataFrame, path: str, keys: Sequence[str], mode: str = "replace", observed: Sequence[Column] = ()
+) -> dict:
     """Write one folder per key.
 
     ``replace`` swaps only the partitions present in ``df`` and leaves the rest;
     ``overwrite`` replaces the whole data set; ``append`` adds files.  Rows are
     rebalanced by key first: AQE merges small counties and splits a county that
     is too large for one task, so neither tiny nor giant files come out.
+
+    Aggregates in ``observed`` are taken from the rows as they are written, in
+    the writing stage itself, where a task that is run again counts once; their
+    values are returned by name.
     """
     if mode not in ("replace", "overwrite", "append"):
         raise ValueError(f"unknown mode {mode!r}")
-    writer = df.hint("rebalance", *[F.col(k) for k in keys]).write.partitionBy(*keys)
+    dealt, seen = df.hint("rebalance", *[F.col(k) for k in keys]), Observation()
+    writer = (dealt.observe(seen, *observed) if observed else dealt).write.partitionBy(*keys)
     if mode == "append":
         writer.mode("append").parquet(path)
     else:
         dynamic = "dynamic" if mode == "replace" else "static"
         writer.mode("overwrite").option("partitionOverwriteMode", dynamic).parquet(path)
+    return seen.get if observed else {}
 
 
 def write_report(df: DataFrame, path: str) -> None:

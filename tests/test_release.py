@@ -113,6 +113,27 @@ def test_release_check_finds_repeats(spark):
     assert cells(L.repeated_ballots(table(spark, *twice), "GOVERNOR")) == [(2, 1)]
 
 
+def test_publish_counts_voters_and_refuses_repeats(spark, tmp_path):
+    path = str(tmp_path / "published")
+    fine = [choice(cvr_id=k) for k in range(5)] + [choice(cvr_id=1, office="SHERIFF")] * 2 + [choice(None, cvr_id=1)]
+    fine += [choice("ARIZONA", office="STATE HOUSE"), choice("ARIZONA", office="STATE HOUSE", candidate="B"), choice(cvr_id=None, office=None),
+             choice("GEORGIA", office="US SENATE", district="GEORGIA"), choice("GEORGIA", office="US SENATE", district="GEORGIA-III")]
+    seen = L.publish_release(table(spark, *fine), path)
+    assert {k: n for k, n in seen.items() if n} == {"GOVERNOR": 6, "US SENATE": 2}
+    stored = cells(read_partitioned(spark, path), *["state", "cvr_id", "office", "candidate"])
+    assert len(stored) == len(fine)
+    # a refused release leaves everything as it was, good counties of it included
+    for bad, why in [((choice(cvr_id=9), choice(cvr_id=9, candidate="B")), "GOVERNOR: 2 times"),
+                     ((choice(cvr_id=None, office="US HOUSE"),), "US HOUSE: no voter number")]:
+        with pytest.raises(L.RepeatedBallots, match=why):
+            L.publish_release(table(spark, choice("ARIZONA", cvr_id=5), choice("NEW", cvr_id=1), *bad), path)
+        assert cells(read_partitioned(spark, path), "state", "cvr_id", "office", "candidate") == stored
+    # only the counties of a release are replaced
+    L.publish_release(table(spark, choice("ARIZONA", cvr_id=5)), path)
+    assert len(cells(read_partitioned(spark, path), "cvr_id")) == len(fine) - 1
+    assert set(L.publish_release(table(spark, choice()).limit(0), path).values()) == {0}
+
+
 def test_one_to_one_fixes_fill_party(spark):
     rows = table(spark, choice("OHIO", office="STATE HOUSE", district="053", candidate="THOMAS HELL", party=None), choice("MICHIGAN", "MASON", district="103"))
     meta = spark.createDataFrame([("OHIO", "STATE HOUSE", "THOMAS HALL", "053", "REPUBLICAN")], "state string, office string, candidate string, district string, party_detailed string")
