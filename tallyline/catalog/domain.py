@@ -341,6 +341,20 @@ def crosswalk_match(spark: SparkSession, folder: str) -> DataFrame:
     return matched.drop("precinct_cvr", "precinct_returns")
 
 
+@query(
+    "crosswalk_printed",
+    with_ballots(
+        """SELECT state, county_name, x AS label_cvr, substr(x, 6) AS precinct_cvr,
+  CASE WHEN NOT beaten THEN regexp_extract(y, 'P[0-9]+') END AS precinct_returns, CASE WHEN NOT beaten THEN y END AS label_returns FROM blanked""",
+        _PRECINCT_SIDES,
+    ),
+)
+def crosswalk_printed(spark: SparkSession, folder: str) -> DataFrame:
+    """The labels as either source prints them, next to the normalised ones."""
+    matched = X.match_precincts(*_sides(spark, folder), method="levenshtein")
+    return matched.select("state", "county_name", "label_cvr", "precinct_cvr", "precinct_returns", "label_returns")
+
+
 # swaps count once; on these labels the oracle's distance agrees with string alignment
 @query("crosswalk_match_osa", ORACLES["crosswalk_match"].replace("levenshtein(", "damerau_levenshtein("))
 def crosswalk_match_osa(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +17,6 @@ from tallyline.session import written_once
 MATCHED_PARTIES = ("DEMOCRAT", "REPUBLICAN")
 AREA = ("state", "county_name")
 CONTEST = ("office", "district", "party")
-#: Widths of the vote bands candidates are looked up in, finest first.
-BANDS = (1, 8, 64, 512, 4096, 32768, 262144, 1 << 62)
 #: Widths for the votes of a whole label: powers of two.
 SIZE_BANDS = tuple(1 << k for k in range(48))
 #: A contest is core where at least this share of a county's returns labels has it.
@@ -108,8 +106,8 @@ def match_precincts(ballots: DataFrame, returns: DataFrame, method: str = "osa")
     join.  For the rest, one candidate with similar votes gives an upper bound
     of the least score.  A pair at or below it must come within the bound -
     within a fraction of it, where several contests are surely shared - in some
-    contest, so a banded equi join finds every pair that could win, and only
-    those are scored.  Both inputs are read by
+    contest, so a banded equi join finds every pair that could win; those whose
+    core contests together stay within the bound are scored.  Both inputs are read by
     several of these steps, so they are written once first.
     """
     ballots, returns = written_once(ballots, "precincts-cvr"), written_once(returns, "precincts-returns")
@@ -149,68 +147,115 @@ def match_precincts(ballots: DataFrame, returns: DataFrame, method: str = "osa")
     )
 
 
+def _bands(most: int) -> list[int]:
+    """Widths in powers of eight, the last one wide enough for the largest difference."""
+    widths = [1]
+    while widths[-1] < most:
+        widths.append(widths[-1] * 8)
+    return widths
+
+
+def _core_contests(right: DataFrame) -> DataFrame:
+    """Per county the contests (a list) that nearly all of its returns labels have."""
+    labels = right.groupBy(*AREA).agg(F.count_distinct("y").alias("n_labels"))
+    core = (
+        right.dropna(subset=[*CONTEST]).groupBy(*AREA, *CONTEST).agg(F.count(F.lit(1)).alias("n_with")).join(labels, list(AREA))
+        .where(F.col("n_with") >= F.lit(CORE_SHARE) * F.col("n_labels"))
+    )
+    return core.groupBy(*AREA).agg(F.array_sort(F.collect_list(F.struct(*CONTEST))).alias("core"))
+
+
+def _vectors(side: DataFrame, label: str, votes: str, core: DataFrame) -> DataFrame:
+    """Per label its votes in the county's core contests, in one order, null where it lacks one."""
+    own = F.map_from_entries(F.collect_list(F.struct(F.struct(*CONTEST).alias("contest"), F.col(votes).alias("votes"))))
+    listed = side.dropna(subset=[*CONTEST]).groupBy(*AREA, label).agg(own.alias("own")).join(core, list(AREA))
+    return listed.select(*AREA, label, F.transform("core", lambda contest: F.try_element_at("own", contest)).alias("vector"))
+
+
+def _core_distance(one: Column | str, other: Column | str) -> Column:
+    """Summed difference over the core contests both labels have: never above the discrepancy."""
+    apart = F.zip_with(one, other, lambda p, q: F.coalesce(F.abs(p - q), F.lit(0).cast("bigint")))
+    return F.coalesce(F.aggregate(apart, F.lit(0).cast("bigint"), lambda total, d: total + d), F.lit(0).cast("bigint"))
+
+
 def _near_pairs(left: DataFrame, right: DataFrame, method: str) -> DataFrame:
-    """All pairs whose score may be the least of their ballot label (a superset)."""
+    """All pairs whose score may be the least of their ballot label (a superset).
+
+    The votes of a label's core contests travel with it as a vector, so a pair
+    that meets in a band is measured over all of them inside the join; only
+    pairs within the bound are shuffled and scored.
+    """
     contest = [*AREA, *CONTEST]
+    counts = left.select("n").unionByName(right.select(F.col("v").alias("n")))
+    widths = _bands(counts.agg(F.max("n") - F.least(F.min("n"), F.lit(0))).head()[0] or 0)
+    core = _core_contests(right)
+    x_vector, y_vector = _vectors(left, "x", "n", core), _vectors(right, "y", "v", core)
 
-    def band(votes: str, widths: Sequence[int] = BANDS) -> Column:
+    def band(votes: str, widths: Sequence[int]) -> Column:
         return F.explode(
             F.array(*[F.struct(F.lit(w).alias("w"), F.floor(F.col(votes) / F.lit(w)).alias("b")) for w in widths])
         )
 
-    def guess(x: DataFrame, y: DataFrame, keys: Sequence[str], votes: str, widths: Sequence[int]) -> DataFrame:
-        """Per ballot label the returns label it meets in the narrowest band."""
-        sample = y.select(*keys, "y", band(votes, widths).alias("k")).groupBy(*keys, "k").agg(F.min("y").alias("y"))
-        met = x.select(*keys, "x", band(votes, widths).alias("k")).join(sample, [*keys, "k"])
-        return met.groupBy(*AREA, "x").agg(F.min(F.struct("k.w", "y")).alias("best")).select(*AREA, "x", "best.y")
+    def guess(x: DataFrame, y: DataFrame, keys: Sequence[str], meeting: Callable[[], Column], per: Sequence[str] = ()) -> DataFrame:
+        """Per ballot label (and ``per``) the returns label it meets in the narrowest band."""
+        sample = y.select(*keys, "y", meeting().alias("k")).groupBy(*keys, "k").agg(F.min("y").alias("y"))
+        met = x.select(*keys, "x", meeting().alias("k")).join(sample, [*keys, "k"])
+        return met.groupBy(*AREA, *per, "x").agg(F.min(F.struct("k.w", "y")).alias("best")).select(*AREA, "x", "best.y")
+
+    def planes() -> Column:
+        """Cells of every two neighbouring core contests: few labels share one, so the one met is often the match."""
+        at = F.sequence(F.lit(0), F.size("vector") - 1)
+        cell = lambda k, w: F.struct(
+            F.lit(w).alias("w"), F.floor(F.get("vector", k) / F.lit(w)).alias("b"),
+            F.floor(F.get("vector", (k + 1) % F.size("vector")) / F.lit(w)).alias("c"), k.alias("at"),
+        )
+        cells = F.flatten(F.transform(at, lambda k: F.array(*[cell(k, w) for w in widths])))
+        return F.explode(F.filter(cells, lambda c: c["b"].isNotNull() & c["c"].isNotNull()))
 
-    # two guesses bound the least score: a label of similar size, and - since that
-    # one may share no contest - a label met in some contest
+    # guesses bound the least score: a label of similar size, and - since that one may
+    # share no contest - a label met in some contest, and one per plane of core contests
     sizes = (
         left.groupBy(*AREA, "x").agg(F.sum("n").alias("size")),
         right.groupBy(*AREA, "y").agg(F.sum("v").alias("size")),
     )
-    guesses = guess(*sizes, AREA, "size", SIZE_BANDS).unionByName(
-        guess(left, right.withColumnRenamed("v", "n"), contest, "n", BANDS)
+    guesses = (
+        guess(*sizes, AREA, lambda: band("size", SIZE_BANDS))
+        .unionByName(guess(left, right.withColumnRenamed("v", "n"), contest, lambda: band("n", widths)))
+        .unionByName(guess(x_vector, y_vector, AREA, planes, ["k.at"]))
     ).distinct()
     bound = _score(guesses, left, right, method).groupBy(*AREA, "x").agg(
         F.min(F.col("discrepancy") + F.col("name_ed_dist")).alias("bound")
     )
     # a returns label that has every core contest shares all of x's core contests,
     # so one of those differs by at most the bound over their number
-    labels = right.groupBy(*AREA).agg(F.count_distinct("y").alias("n_labels"))
-    core = (
-        right.groupBy(*contest).agg(F.count(F.lit(1)).alias("n_with")).join(labels, list(AREA))
-        .where(F.col("n_with") >= F.lit(CORE_SHARE) * F.col("n_labels"))
-        .select(*contest, F.lit(True).alias("core"))
-    )
-    n_core = core.groupBy(*AREA).agg(F.count(F.lit(1)).alias("n_core"))
-    marked = right.join(core, contest, "left")
-    whole = (
-        marked.groupBy(*AREA, "y").agg(F.count("core").alias("has")).join(n_core, list(AREA))
-        .where("has = n_core").select(*AREA, "y", F.lit(True).alias("whole"))
-    )
-    offered = marked.join(whole, [*AREA, "y"], "left").select(
-        *contest, "y", "v", F.coalesce("whole", F.lit(False)).alias("whole"), band("v").alias("k")
-    ).select(*contest, "y", "v", "whole", "k.w", "k.b")
-    known = left.join(core, contest, "left")
-    share = known.groupBy(*AREA, "x").agg(F.count("core").alias("n_core")).join(bound, [*AREA, "x"])
-    sides = F.explode(F.array(F.lit(True), F.lit(False))).alias("whole")
+    offered = right.join(y_vector.withColumnRenamed("vector", "y_vector"), [*AREA, "y"], "left").select(
+        *contest, "y", "v", "y_vector", F.coalesce(~F.exists("y_vector", lambda v: v.isNull()), F.lit(False)).alias("whole"),
+        band("v", widths).alias("k"),
+    ).select(*contest, "y", "v", "y_vector", "whole", "k.w", "k.b")
+    own = x_vector.withColumnRenamed("vector", "x_vector").join(core, list(AREA))
+    known = left.join(own, [*AREA, "x"], "left").join(bound, [*AREA, "x"])
+    n_core = F.coalesce(F.size(F.filter("x_vector", lambda v: v.isNotNull())), F.lit(0))
+    in_core = F.coalesce(F.array_contains("core", F.struct(*CONTEST)), F.lit(False))
     by_core = F.col("whole") & (F.col("n_core") > 0)
     wanted = (
-        known.join(share, [*AREA, "x"]).select("*", sides)
-        .where(~by_core | F.col("core"))
+        known.withColumns({"n_core": n_core, "in_core": in_core}).drop("core")
+        .select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("whole"))
+        .where(~by_core | F.col("in_core"))
         .withColumn("parts", F.when(by_core, F.col("n_core")).otherwise(1))
-        .withColumn("reach", F.floor(F.col("bound") / F.col("parts")))
+        # no two counts are further apart than the last width
+        .withColumn("reach", F.least(F.floor(F.col("bound") / F.col("parts")), F.lit(widths[-1])))
     )
     # the narrowest width not below the reach: at most three bands cover the range
-    width = F.coalesce(*[F.when(F.lit(w) >= F.col("reach"), F.lit(w)) for w in BANDS])
+    width = F.coalesce(*[F.when(F.lit(w) >= F.col("reach"), F.lit(w)) for w in widths])
     low, high = (F.floor((F.col("n") + sign * F.col("reach")) / F.col("w")) for sign in (-1, 1))
     spread = wanted.withColumn("w", width).withColumn("b", F.explode(F.sequence(low, high)))
     # names that differ in length by k are at least k edits apart
     spelled = F.abs(F.length(F.upper("x")) - F.length(F.upper("y")))
-    gap = F.col("parts") * F.abs(F.col("n") - F.col("v")) + spelled
-    found = spread.join(offered, [*contest, "whole", "w", "b"]).where(gap <= F.col("bound"))
+    apart = F.abs(F.col("n") - F.col("v"))
+    near = (apart <= F.col("reach")) & (apart + spelled <= F.col("bound"))
+    found = spread.join(offered, [*contest, "whole", "w", "b"]).where(near).where(
+        _core_distance("x_vector", "y_vector") + spelled <= F.col("bound")
+    )
     return found.select(*AREA, "x", "y").distinct()
 
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from distances import osa
 from pyspark.sql import functions as F
@@ -74,6 +75,33 @@ def test_pruned_match_equals_all_pairs(spark, method, distance, seed):
     assert sorted(map(tuple, rows), key=str) == all_pairs(left, right, distance)
 
 
+def like_sized(labels):
+    """A county whose labels all have about as many votes in every contest; a fifth of the ballots' are miscounted."""
+    rng = np.random.default_rng(5)
+    contests = [("S", "C", office, "1", party) for office in "PSHGL" for party in ("DEMOCRAT", "REPUBLICAN")]
+    votes = rng.integers(900, 1100, (labels, len(contests)))
+    seen = votes + rng.integers(-6, 7, votes.shape) * (rng.random((labels, 1)) < 0.2)
+    rows = lambda name, counts: [
+        (s, c, f"{name} {k}", office, district, party, int(n), [f"{name} {k}"])
+        for k, row in enumerate(counts) for (s, c, office, district, party), n in zip(contests, row)
+        if not (k % 50 == 7 and office == "L")  # some lack a contest
+    ]
+    return rows("Pct", seen), rows("Precinct No", votes[rng.permutation(labels)])
+
+
+def test_labels_of_like_size_score_few_pairs(spark):
+    labels = 400
+    left, right = like_sized(labels)
+    x, y = (spark.createDataFrame(rows, SIDE) for rows in (left, right))
+    got = X.match_precincts(x, y).select("state", "county_name", "label_cvr", "label_returns", "discrepancy", "name_ed_dist").collect()
+    assert sorted(map(tuple, got), key=str) == all_pairs(left, right, osa)
+    key = ["state", "county_name"]
+    scored = X._near_pairs(
+        x.select(*key, F.col("label").alias("x"), *X.CONTEST, "n"), y.select(*key, F.col("label").alias("y"), *X.CONTEST, F.col("n").alias("v")), "osa"
+    ).count()
+    assert labels <= scored < 4 * labels  # of 160,000
+
+
 @pytest.mark.parametrize("state, county, label, expected", [
     ("COLORADO", "MOFFAT", "123 - (4567 x)", "4567"),          # listed twice: the first entry wins
     ("COLORADO", "MESA", "123 - x", "123"),
