@@ -11,8 +11,9 @@ what its own words cost.
 
 Hashes travel packed: texts are dealt into chunks of a few megabytes, and a
 chunk sends each bucket of hashes one sorted array and gets one bit per entry
-back.  The number of chunks and of buckets follows the input, so that a task
-always holds a bounded part of either.  Chunks lie in a bucketed table in the
+back.  The number of chunks and of buckets follows the input; beyond a
+terabyte their size grows with its root (at 100 TB a chunk has 40 MB of text,
+a bucket the hashes of 120 MB).  Chunks lie in a bucketed table in the
 warehouse while the call runs, so the texts are shuffled once.
 """
 
@@ -39,6 +40,10 @@ WINDOW = 35
 CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 12 << 20
 #: Bytes of text in one task of the bucketed table.
 TASK_BYTES = 24 << 20
+#: Spark's limit of buckets in a table; beyond it a task holds more chunks, one after another.
+MOST_BUCKETS = 100_000
+#: Input from which chunks and buckets grow, by the root of the input, so that a packed array keeps holding several hashes.
+GROWS_FROM = 1 << 40
 RESULT = "doc_id string, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -46,6 +51,13 @@ def anchor_size(window: int) -> int:
     return (window + 1) // 2
 
 
+def sizes(total: int) -> tuple[int, int, int]:
+    """Chunks, buckets of hashes and buckets of the chunks' table for ``total`` bytes of text."""
+    grown = max(1.0, math.sqrt(total / GROWS_FROM))
+    count = lambda size: max(1, math.ceil(total / size))
+    return count(CHUNK_BYTES * grown), count(BUCKET_BYTES * grown), min(max(8, count(TASK_BYTES)), MOST_BUCKETS)
+
+
 def _chunk_blocks(texts: list) -> Iterator[tuple[int, w.Block, np.ndarray]]:
     for first, raws in w.blocks(texts):
         block = w.Block(raws)
@@ -220,9 +232,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         # ids travel as text: a null among them must not turn the others into floats
         rows = needed(docs, "doc_id", "text").select(F.col("doc_id").cast("string"), "text")
         total = octets(rows)
-        chunks, buckets = max(1, math.ceil(total / CHUNK_BYTES)), max(1, math.ceil(total / BUCKET_BYTES))
+        chunks, buckets, tasks = sizes(total)
         dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
-        texts = scratch.write_bucketed(dealt, "passages", max(8, math.ceil(total / TASK_BYTES)), "chunk")
+        texts = scratch.write_bucketed(dealt, "passages", tasks, "chunk")
 
         def anchors(key, pdf):
             values, flags = _anchors(list(pdf["text"]), size, buckets)

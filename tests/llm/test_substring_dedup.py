@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+from tallyline.llm import substring_dedup as D
 from tallyline.llm.substring_dedup import remove_repeats
 
 from . import cases
@@ -37,3 +38,20 @@ def test_long_texts_and_empty_tables(spark):
     got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in remove_repeats(cases.table(spark, rows)).collect()}
     assert got == {9: (60_000, 60_000), 10: (1, 0), 11: (60_000, 60_000)}
     assert remove_repeats(cases.empty(spark)).count() == 0
+
+
+def test_sizes_stay_within_limits():
+    for total in (0, 1, 10**9, 3 * 10**12, 10**14, 10**15):
+        chunks, buckets, tasks = D.sizes(total)
+        assert 1 <= tasks <= 100_000
+        assert chunks * buckets <= max(1, total / 6) or total < 2**20  # several hashes an array
+    assert D.sizes(10**12) == (-(-(10**12) // D.CHUNK_BYTES), -(-(10**12) // D.BUCKET_BYTES), -(-(10**12) // D.TASK_BYTES))
+
+
+def test_beyond_the_limit_of_buckets(spark, monkeypatch):
+    for name, value in (("MOST_BUCKETS", 3), ("TASK_BYTES", 64), ("CHUNK_BYTES", 512), ("BUCKET_BYTES", 1024), ("GROWS_FROM", 4096)):
+        monkeypatch.setattr(D, name, value)
+    shared = cases.prose(50, 11)
+    rows = [(k, f"{cases.prose(k, k)} {shared} {cases.prose(5, 200 + k)}", "en", "a") for k in range(25)]
+    got = remove_repeats(cases.table(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, 35)
