@@ -23,9 +23,10 @@ one stretch of a group.
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,8 +45,8 @@ DEAD = -1
 class _Stretch:
     """The rows of one group inside one index range, plus what surrounds them."""
 
-    def __init__(self, rows: pa.Table, info: dict) -> None:
-        self.steps = sorted(zip(rows["idx"].to_pylist(), rows["missing"].to_pylist()))
+    def __init__(self, rows: list[tuple[int, bool]], info: dict) -> None:
+        self.steps = sorted(rows)
         self.last = info["n_rows"]
         self.complete = [i for i, missing in self.steps if not missing] + info["ahead"]
         self.before_missing = info["before_missing"]
@@ -95,58 +96,97 @@ class _Stretch:
 
 
 _KEYS = "scope string, grp string, chunk long"
+_INFO = ("before_missing", "before_complete", "between", "ahead", "n_rows")
 
 
-def _table(rows: list[tuple], **columns: pa.DataType) -> pa.Table:
-    """Row tuples as an Arrow table of the given column types."""
+def _arrow(rows: list[tuple], **columns: pa.DataType) -> pa.RecordBatch:
+    """Row tuples as an Arrow batch of the given column types."""
     values = list(zip(*rows)) if rows else [()] * len(columns)
-    return pa.table({n: pa.array(list(v), type=t) for (n, t), v in zip(columns.items(), values)})
+    return pa.record_batch({n: pa.array(list(v), type=t) for (n, t), v in zip(columns.items(), values)})
 
 
 _GROUP = {"scope": pa.string(), "grp": pa.string()}
 
 
-def _transitions(rows: pa.Table, info: pa.Table) -> pa.Table:
-    """For each reachable count before the stretch: the state after it."""
-    made = []
-    for head in info.to_pylist():  # exactly one
-        stretch, states, seen = _Stretch(rows, head), [], {}
-        # a count above log2(place) + 2 cannot occur; with no missing row before, it is 0
-        most = 0 if stretch.before_missing is None else min(AHEAD - 1, stretch.before_missing.bit_length() + 2)
-        for count in range(most + 1):
-            # counts used up before the stretch all start it alike
-            start = DEAD if count < stretch.between else count
-            if start not in seen:
-                seen[start] = stretch.run(count, None)
-            after, origin, inherits = seen[start]
-            # a stretch without missing rows hands the count on as it came
-            states.append((count if inherits and stretch.plain else after, origin, inherits))
-        made.append((head["scope"], head["grp"], head["chunk"], *map(list, zip(*states))))
-    return _table(
-        made, **_GROUP, chunk=pa.int64(), count_out=pa.list_(pa.int32()), origin_out=pa.list_(pa.int64()), inherits=pa.list_(pa.bool_())
-    )
-
+def _by_stretch(base: DataFrame, info: DataFrame) -> DataFrame:
+    """Rows dealt by stretch, in front of each stretch a ``head`` row with what surrounds it.
 
-def _chain(maps: pa.Table) -> pa.Table:
-    """Chain the maps of one group in file order: the true state before each stretch."""
-    count, origin, made = 0, None, []
-    for row in sorted(maps.to_pylist(), key=lambda r: r["chunk"]):
-        made.append((row["scope"], row["grp"], row["chunk"], count, origin))
-        if count == DEAD:
-            continue
-        if not row["inherits"][count]:
-            origin = row["origin_out"][count]
-        count = row["count_out"][count]
-    return _table(made, **_GROUP, chunk=pa.int64(), count_in=pa.int32(), origin_in=pa.int64())
+    A task holds many stretches and reads them one after another: files of many
+    small groups have nearly as many stretches as groups.
+    """
+    keys = ["scope", "grp", "chunk"]
+    head = info.select(*keys, F.lit(True).alias("head"), *[c for c in info.columns if c not in keys])
+    rows = base.select(*keys, F.lit(False).alias("head"), "idx", "missing")
+    both = rows.unionByName(head, allowMissingColumns=True)
+    return both.repartition(*keys).sortWithinPartitions(*keys, F.col("head").desc())
+
+
+def _stretches(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[dict, list[tuple[int, bool]]]]]:
+    """The (head, rows) that end within each batch; the one a batch ends in goes on in the next."""
+    head, rows = None, []
+    for batch in batches:
+        done, marks = [], batch.column("head")
+        starts, heads = pc.indices_nonzero(marks).to_pylist(), batch.filter(marks).to_pylist()
+        idx, missing = batch.column("idx").to_pylist(), batch.column("missing").to_pylist()
+        rows += zip(idx[: starts[0]], missing[: starts[0]]) if starts else zip(idx, missing)
+        for opened, start, end in zip(heads, starts, [*starts[1:], len(idx)]):
+            if head is not None:
+                done.append((head, rows))
+            head, rows = opened, list(zip(idx[start + 1 : end], missing[start + 1 : end]))
+        yield done
+    if head is not None:
+        yield [(head, rows)]
+
+
+def _transitions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each reachable count before a stretch: the state after it."""
+    for done in _stretches(batches):
+        made = []
+        for head, rows in done:
+            stretch, states, seen = _Stretch(rows, head), [], {}
+            # a count above log2(place) + 2 cannot occur; with no missing row before, it is 0
+            most = 0 if stretch.before_missing is None else min(AHEAD - 1, stretch.before_missing.bit_length() + 2)
+            for count in range(most + 1):
+                # counts used up before the stretch all start it alike
+                start = DEAD if count < stretch.between else count
+                if start not in seen:
+                    seen[start] = stretch.run(count, None)
+                after, origin, inherits = seen[start]
+                # a stretch without missing rows hands the count on as it came
+                states.append((count if inherits and stretch.plain else after, origin, inherits))
+            made.append((head["scope"], head["grp"], head["chunk"], *map(list, zip(*states))))
+        yield _arrow(
+            made, **_GROUP, chunk=pa.int64(), count_out=pa.list_(pa.int32()), origin_out=pa.list_(pa.int64()), inherits=pa.list_(pa.bool_())
+        )
+
+
+def _chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chain the maps of each group in file order: the true state before each stretch."""
+    group, count, origin = None, 0, None
+    for batch in batches:
+        made = []
+        for row in batch.to_pylist():
+            if (row["scope"], row["grp"]) != group:
+                group, count, origin = (row["scope"], row["grp"]), 0, None
+            made.append((*group, row["chunk"], count, origin))
+            if count == DEAD:
+                continue
+            if not row["inherits"][count]:
+                origin = row["origin_out"][count]
+            count = row["count_out"][count]
+        yield _arrow(made, **_GROUP, chunk=pa.int64(), count_in=pa.int32(), origin_in=pa.int64())
 
 
-def _replay(rows: pa.Table, info: pa.Table) -> pa.Table:
-    made = []
-    for head in info.to_pylist():  # exactly one
-        record: list[tuple] = []
-        _Stretch(rows, head).run(head["count_in"], head["origin_in"], record)
-        made = [(head["scope"], head["grp"], i, o) for i, o in record]
-    return _table(made, **_GROUP, idx=pa.int64(), origin=pa.int64())
+def _replay(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for done in _stretches(batches):
+        made = []
+        for head, rows in done:
+            if head["count_in"] is None:
+                continue
+            record: list[tuple] = []
+            _Stretch(rows, head).run(head["count_in"], head["origin_in"], record)
+            made += [(head["scope"], head["grp"], i, o) for i, o in record]
+        yield _arrow(made, **_GROUP, idx=pa.int64(), origin=pa.int64())
 
 
 def pair_origins(rows: DataFrame, sizes: DataFrame | int, stretch: int = 1 << 16) -> DataFrame:
@@ -195,19 +235,15 @@ def pair_origins(rows: DataFrame, sizes: DataFrame | int, stretch: int = 1 << 16
     info = _with_ahead(around)
     single = isinstance(sizes, int)
     info = info.withColumn("n_rows", F.lit(sizes).cast("bigint")) if single else info.join(sizes, "scope")
-    keys = ["scope", "grp", "chunk"]
-    maps = (
-        base.groupBy(*keys)
-        .cogroup(info.toDF(*info.columns).groupBy(*keys))
-        .applyInArrow(_transitions, f"{_KEYS}, count_out array<int>, origin_out array<long>, inherits array<boolean>")
-    )
-    states = maps.groupBy("scope", "grp").applyInArrow(_chain, f"{_KEYS}, count_in int, origin_in long")
-    started = info.join(states, keys)
-    return (
-        base.groupBy(*keys)
-        .cogroup(started.toDF(*started.columns).groupBy(*keys))
-        .applyInArrow(_replay, "scope string, grp string, idx long, origin long")
+    info = info.select("scope", "grp", "chunk", *_INFO)
+    maps = _by_stretch(base, info).mapInArrow(
+        _transitions, f"{_KEYS}, count_out array<int>, origin_out array<long>, inherits array<boolean>"
     )
+    in_order = maps.repartition("scope", "grp").sortWithinPartitions("scope", "grp", "chunk")
+    states = in_order.mapInArrow(_chain, f"{_KEYS}, count_in int, origin_in long")
+    # every stretch keeps its head, so that rows never follow that of another
+    started = info.join(states, ["scope", "grp", "chunk"], "left")
+    return _by_stretch(base, started).mapInArrow(_replay, "scope string, grp string, idx long, origin long")
 
 
 def _with_ahead(around: DataFrame) -> DataFrame:

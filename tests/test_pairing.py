@@ -89,3 +89,21 @@ def test_ranked_variant(spark):
     rows = [(1, "A", None, ""), (2, "A", "x", ""), (3, "A", None, "")]
     got = pair_rows_ranked(spark.createDataFrame(rows, SCHEMA), "idx", "grp", "target")
     assert sorted(map(tuple, got.collect())) == [("A", 1, 1, 2), ("A", 2, 3, None)]
+
+
+def test_stretches_are_read_across_arrow_batches(spark):
+    rng = random.Random(5)
+    rows = [(k + 1, rng.choice("abcdefgh"), None if rng.random() < 0.4 else f"t{k}", f"o{k}") for k in range(200)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        assert run(spark, rows, 16) == brute_force(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_small_groups_share_a_python_call(spark):
+    # a call per stretch of a group cost more than its rows: 6 million events are some 100,000 stretches
+    rows = spark.createDataFrame([(1, "A", None, "p"), (2, "A", "x", None)], SCHEMA)
+    plan = pair_split_rows(rows, "idx", "grp", "target")._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "FlatMap" not in plan
