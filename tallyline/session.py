@@ -21,6 +21,22 @@ SETTINGS = {
 }
 
 
+#: How much a task takes up: of a file when tables are scanned, of a shuffle when AQE merges its
+#: partitions.  Compressed rows grow tenfold and more in a sort; at Spark's own sizes (128 and 64 MB)
+#: one task's sort is some gigabytes.
+TASK_SIZES = {
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+}
+
+
+def bound_tasks(spark: SparkSession) -> None:
+    """Give a session that leaves :data:`TASK_SIZES` open those sizes; what it sets itself stays."""
+    for key, value in TASK_SIZES.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def build_session(master: str | None = None, app: str = "tallyline", **extra: str) -> SparkSession:
     """A session with :data:`SETTINGS`; ``extra`` uses ``_`` for ``.`` in names."""
     builder = SparkSession.builder.appName(app)
@@ -32,6 +48,7 @@ def build_session(master: str | None = None, app: str = "tallyline", **extra: st
     # how files are cut into splits must not follow the number of executors (see `number_rows`)
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    bound_tasks(spark)
     return spark
 
 
