@@ -301,6 +301,27 @@ def _export_folder(spark: SparkSession, folder: str) -> str:
     return path
 
 
+def _one_file_each(files: DataFrame, path: str) -> None:
+    """Write rows (batch, ballot, value) as one file per ballot, in a folder per batch.
+
+    Opening a file costs far more than its few bytes, so tasks are cut by the number of
+    files: dealt by size alone, all of them would be written by one task.  A batch lies in
+    one task, so the commit moves folders of batches, not files.
+    """
+    tasks = files.count() // BALLOTS_A_TASK + 1
+    files.repartition(tasks, "batch").write.partitionBy("batch", "ballot").text(path)
+
+
+#: Ballot files in a folder of a batch, and those written by one task.
+BALLOTS_A_BATCH, BALLOTS_A_TASK = 100, 200
+
+
+def _in_batches(files: DataFrame) -> DataFrame:
+    """Rows (ballot, value) with a ``batch`` of about :data:`BALLOTS_A_BATCH` ballots."""
+    batches = files.count() // BALLOTS_A_BATCH + 1
+    return files.select(F.pmod(F.xxhash64("ballot"), F.lit(batches)).alias("batch"), "ballot", "value")
+
+
 @query(
     "xml_ballots",
     """SELECT contest, candidate, precinct, count(*) AS n, count(DISTINCT s_suppkey) AS n_ballots FROM (
@@ -328,7 +349,7 @@ def xml_ballots(spark: SparkSession, folder: str) -> DataFrame:
         F.col("s_nationkey").cast("string"), F.lit("</Name></PrecinctSplit></CastVoteRecord>"),
     )
     files = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("ballot"), value.alias("value"))
-    files.repartition("ballot").write.partitionBy("ballot").text(path)
+    _one_file_each(_in_batches(files), path)
     rows = M.read_xml_ballots(spark, path)
     return rows.groupBy("contest", "candidate", "precinct").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("cvr_id").alias("n_ballots")
@@ -484,7 +505,7 @@ def xml_ballot_numbers(spark: SparkSession, folder: str) -> DataFrame:
     )
     # many ballots lie in one folder of a batch
     files = table(spark, folder, "supplier").select(F.concat(F.lit("b"), F.substring(name, 1, 7)).alias("batch"), name.alias("ballot"), value.alias("value"))
-    files.repartition("ballot").write.partitionBy("batch", "ballot").text(path)
+    _one_file_each(files, path)
     return M.read_xml_ballots(spark, path).select(F.col("candidate").cast("bigint").alias("ballot"), "cvr_id")
 
 
@@ -584,7 +605,7 @@ def manifest_build(spark: SparkSession, folder: str) -> DataFrame:
     name = F.when(F.col("s_suppkey") % 2 == 0, "Ann").otherwise("Bob")
     ballot = F.concat(F.lit("<CastVoteRecord><Contests><Contest><Name>Gov</Name><Options><Option><Name>"), name,
                       F.lit("</Name></Option></Options></Contest></Contests><PrecinctSplit><Name>S</Name></PrecinctSplit></CastVoteRecord>"))
-    table(spark, folder, "supplier").select(F.col("s_suppkey").alias("ballot"), ballot.alias("value")).repartition("ballot").write.partitionBy("ballot").text(f"{path}/xml")
+    _one_file_each(_in_batches(table(spark, folder, "supplier").select(F.col("s_suppkey").alias("ballot"), ballot.alias("value"))), f"{path}/xml")
     files = [
         ("wide", "OHIO", "WAYNE", "delim", None), ("banner", "OHIO", "GREENE", "delim", None), ("flags", "NEW JERSEY", "CUMBERLAND", "special", None),
         ("xml", "TEXAS", "WARD", "xml", None), ("gone", "OHIO", "LOST", "delim", None), ("x", "UTAH", "SAN JUAN", "special", None), ("wide", "OHIO", "SKIPPED", "delim", "no"),

@@ -11,6 +11,7 @@ from tallyline.operators.columns import rename
 from tallyline.operators.groups import attach_ids, ordered_ids
 from tallyline.operators.joins import star_lookup
 from tallyline.plans.parties import standard_party
+from tallyline.session import written_once
 
 _MARK = "struct<CandidateId:bigint,PartyId:bigint,Rank:int,IsAmbiguous:boolean,IsVote:boolean>"
 _CONTEST = f"struct<Id:bigint,Undervotes:int,Overvotes:int,Marks:array<{_MARK}>>"
@@ -136,7 +137,8 @@ def read_xml_ballots(spark: SparkSession, path: str, row_tag: str = "CastVoteRec
 
     A write-in beats the option's name, which beats the undervote marker; every
     option of a contest counts.  The ballot number is the place of its file in
-    the order of paths, which moving the whole folder does not change.
+    the order of paths, which moving the whole folder does not change.  The files are
+    opened once: their rows are written, and numbers and result are taken from the copy.
     """
     raw = spark.read.format("xml").option("rowTag", row_tag).option("recursiveFileLookup", True).schema(XML_SCHEMA).load(path)
     contests = raw.select(
@@ -153,5 +155,6 @@ def read_xml_ballots(spark: SparkSession, path: str, row_tag: str = "CastVoteRec
         F.regexp_replace(F.coalesce(writein, F.col("o.Name"), marker), "\n", " ").alias("candidate"),
         "precinct",
     )
-    numbered = labelled.join(ordered_ids(contests, "__file", "cvr_id"), "__file")
+    kept = written_once(labelled, "xml-rows")
+    numbered = kept.join(ordered_ids(kept, "__file", "cvr_id"), "__file")
     return numbered.select("cvr_id", "contest", "candidate", "precinct")
