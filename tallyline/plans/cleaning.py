@@ -42,7 +42,9 @@ def pad_districts(office: Column | str, district: Column | str) -> Column:
 def contest_lookup(contests: DataFrame, state: str | None = None, county: str | None = None) -> DataFrame:
     """The hand-made contest table made joinable: upper case, padded, tokens filled.
 
-    Restricted to one county where named; Alaska's rows serve any county.
+    Restricted to one county where named; Alaska's rows serve any county.  Long
+    ballots meet such a county's lookup in a broadcast join: it has a row per contest
+    and choice, and a shuffle would gather a contest's ballots in one task.
     """
     rows = apply_across(contests, contests.columns, null_tokens)
     rows = rows.withColumn("county_name", F.coalesce("county_name", F.lit("")))
@@ -266,7 +268,7 @@ def clean_labelled(df: DataFrame, state: str, county: str, contests: DataFrame)
     lookup = contest_lookup(contests, state, county).drop("state", "county_name")
     shared = [c for c in ("candidate", "party_detailed", "magnitude") if c in df.columns]
     renamed = rename(lookup, **{f"__{c}": c for c in shared})
-    joined = add_literals(df, state=state, county_name=county).join(renamed, "contest", "left")
+    joined = add_literals(df, state=state, county_name=county).join(F.broadcast(renamed), "contest", "left")
     merged = {c: F.coalesce(f"__{c}", c) if c == "candidate" else F.coalesce(c, f"__{c}") for c in shared}
     return clean(joined.withColumns(merged).drop(*[f"__{c}" for c in shared]))
 
@@ -331,7 +333,7 @@ def clean_race_export(raw: DataFrame, state: str, county: str, contests: DataFra
         F.col("Race").alias("contest"), F.col("Candidate").alias("__cell"),
     )
     lookup = rename(contest_lookup(contests, state, county).drop("state", "county_name"), __named="candidate")
-    joined = add_literals(named.join(lookup, "contest", "left"), state=state, county_name=county).dropna(subset=["office"])
+    joined = add_literals(named.join(F.broadcast(lookup), "contest", "left"), state=state, county_name=county).dropna(subset=["office"])
     no_vote = (F.col("__cell") == "0") | detect("__cell", "undervote")
     chosen = first_match(
         [(detect("__cell", "undervote"), F.lit("undervote")), (F.col("__cell") == "0", F.lit(None).cast("string"))],
@@ -361,7 +363,7 @@ def clean_stacked_export(raw: DataFrame, state: str, county: str, contests: Data
     """Stacked files (cvrNumber, precinct, contest, candidate): printed party is not used."""
     named = raw.select(F.col("cvrNumber").alias("cvr_id"), "precinct", "contest", "candidate")
     lookup = contest_lookup(contests, state, county).drop("state", "county_name", "candidate", "party_detailed").distinct()
-    joined = add_literals(named.join(lookup, "contest", "left"), state=state, county_name=county)
+    joined = add_literals(named.join(F.broadcast(lookup), "contest", "left"), state=state, county_name=county)
     printed = joined.withColumn("candidate", without_noise("candidate"))
     party = F.when(F.col("contest") == "PROPOSITION", F.lit("NONPARTISAN"))
     labelled = printed.withColumn("candidate", president_name("office", "candidate", F.col("candidate")))
