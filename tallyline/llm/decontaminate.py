@@ -15,6 +15,9 @@ leave the scan.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -41,8 +44,8 @@ UNITS = (
     "dollar", "dollars", "euro", "euros", "cent", "cents", "percent", "degree", "degrees", "kb", "mb", "gb", "hz", "w", "kw", "v", "mph",
 )
 
-#: Forms of windows.
-TEMPLATE, PLAIN, OPEN = 0, 1, 2
+#: Forms of windows; the last is the plain one with values.
+TEMPLATE, PLAIN, OPEN, VALUED = 0, 1, 2, 3
 
 _CAPITAL = r"""\p{Lu}(?<![\p{L}\p{M}\p{N}]\p{Lu})[\p{L}\p{M}]*+"""
 _INSIDE = r"""\x04(?<=[\p{L}\p{N},;:)"'](?:\s|[ \t]{2,8})\x04)"""
@@ -80,60 +83,77 @@ def plain(toks: Column) -> Column:
     return F.transform(toks, one)
 
 
-def _hashes(toks: Column, form: int) -> Column:
-    """Hash of every token, slots by mark; ``toks`` are the plain ones for that form."""
+def _reduced(toks: Column, form: int) -> Column:
+    """Tokens with slots reduced to their mark; ``toks`` are the plain ones for that form."""
 
     def one(t: Column) -> Column:
         kind = F.substring(t, 1, 1)
         opening = F.lit("\u0001") if form == OPEN else F.substring(t, 2, 1 << 30)
-        return F.xxhash64(F.when(t >= _WORDS_FROM, t).when(kind == "\u0004", opening).otherwise(kind))
+        return F.when(t >= _WORDS_FROM, t).when(kind == "\u0004", opening).otherwise(kind)
 
     return F.transform(toks, one)
 
 
-def _hashed(rows: DataFrame, *keep: str) -> DataFrame:
-    """``rows`` of ``toks`` with a column of token hashes per form, the plain ones as ``valued`` with values as well."""
-    both = rows.withColumn("plain", plain(F.col("toks")))
-    return both.select(*keep, *[_hashes(F.col("plain" if form == PLAIN else "toks"), form).alias(f"h{form}") for form in (TEMPLATE, PLAIN, OPEN)], F.transform("plain", lambda t: F.xxhash64(t)).alias("valued"))
-
-
-def _windows(hashes: Column, length: int = WINDOW) -> Column:
+def _windows(toks: Column, length: int = WINDOW) -> Column:
     """Hash of the window at every place; a shorter text is one window."""
-    last = F.greatest(F.size(hashes) - length, F.lit(0))
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(hashes, i + 1, F.lit(length))))
+    last = F.greatest(F.size(toks) - length, F.lit(0))
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(toks, i + 1, F.lit(length))))
 
 
-def _at(hashes: Column, places: Column, length: int) -> Column:
-    return F.transform(places, lambda i: F.struct(i.alias("place"), F.xxhash64(F.slice(hashes, i + 1, F.lit(length))).alias("hash")))
+def _kind(token: Column) -> Column:
+    """Number of a token's mark, 0 of a word."""
+    marked = F.when(token < "\u0002", 1).when(token < "\u0003", 2).when(token < "\u0004", 3).otherwise(4)
+    return F.when(_is_slot(token), marked).otherwise(0)
 
 
-def _touching(changed: Column, last: Column, length: int) -> Column:
-    """Places of the windows that hold one of the tokens ``changed``."""
-    return F.array_distinct(F.flatten(F.transform(changed, lambda p: F.sequence(F.greatest(p - (length - 1), F.lit(0)), F.least(p, last)))))
+def _any(tests: list[Column]) -> Column:
+    return functools.reduce(operator.or_, tests)
 
 
-def _probes(hashed: DataFrame, lengths: list[int]) -> DataFrame:
+def _probes(read: DataFrame, lengths: list[int]) -> DataFrame:
     """``place`` and ``hash`` of the windows of every document, all lengths and forms out of one read.
 
-    A window of another form is there only if it holds a token whose hash differs from the template's.
+    A window of another form is there only if it may differ from the template's, one by values only if it is poor in
+    words.  Windows are rows and their hash is columns, not functions over arrays, so that all of it is compiled.
     """
-    size = F.size(f"h{TEMPLATE}")
-
-    def changed(form: int) -> Column:
-        return F.filter(F.sequence(F.lit(0), size), lambda i: F.get(f"h{form}", i) != F.get(f"h{TEMPLATE}", i)).alias(f"changed{form}")
-
-    slots = F.size(F.filter("plain", _is_slot)).alias("slots")
-    marked = hashed.select("doc_id", "text_key", "plain", "valued", *[f"h{form}" for form in (TEMPLATE, PLAIN, OPEN)], changed(PLAIN), changed(OPEN), slots)
-    none = F.array().cast("array<struct<place:int,hash:bigint>>")
-    found = []
-    for length in lengths:
-        last = F.greatest(size - length, F.lit(0))
-        every = F.sequence(F.lit(0), last)
-        found.append(_at(F.col(f"h{TEMPLATE}"), every, length))
-        found += [_at(F.col(f"h{form}"), _touching(F.col(f"changed{form}"), last, length), length) for form in (PLAIN, OPEN)]
-        # a text with fewer slots has no window that is poor in words
-        found.append(F.when(F.col("slots") > length - LITERALS, _at(F.col("valued"), every, length)).otherwise(none))
-    return marked.select("doc_id", "text_key", F.explode(F.concat(*found)).alias("w")).select("doc_id", "text_key", "w.place", "w.hash")
+    steps = range(WINDOW)
+    # a filter on ``toks`` itself would be evaluated below it and so make the tokens twice
+    last = F.greatest(F.size("toks") - min(lengths), F.lit(0))
+    placed = read.select("doc_id", "text_key", "toks", F.explode(F.sequence(F.lit(0), last)).alias("place"))
+    if len(lengths) == 1:
+        sized = placed.withColumn("length", F.lit(lengths[0]))
+    else:
+        sized = placed.select("*", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("length"))
+    whole = sized.where(F.col("place") + F.col("length") <= F.size("toks"))
+    # the token before the window tells whether its first is a unit
+    at = [F.get("toks", F.col("place") - 1), *[F.when(F.col("length") > k, F.get("toks", F.col("place") + k)) for k in steps]]
+    taken = whole.select("doc_id", "text_key", "place", "length", *[t.alias(f"t{k}") for k, t in enumerate(at)])
+    kinds = taken.select("*", *[_kind(F.col(f"t{k}")).alias(f"k{k}") for k in range(WINDOW + 1)])
+    kind = [F.col(f"k{k}") for k in range(WINDOW + 1)]
+    opens = _any([k == 4 for k in kind[1:]])
+    values = _any([k == 2 for k in kind])
+    plains = values | _any([k.isin(1, 3) for k in kind[1:]])
+    slots = sum((((kind[k + 1] == 2) | (kind[k] == 2)) & F.col(f"t{k + 1}").isNotNull()).cast("int") for k in steps)
+    poor = values & (slots > F.col("length") - LITERALS)
+
+    def forms(*which: int) -> Column:
+        return F.array(*[F.lit(f) for f in which])
+
+    wanted = F.when(~plains, F.when(opens, forms(TEMPLATE, OPEN)).otherwise(forms(TEMPLATE)))
+    wanted = wanted.when(poor, forms(TEMPLATE, PLAIN, OPEN, VALUED)).when(opens, forms(TEMPLATE, PLAIN, OPEN)).otherwise(forms(TEMPLATE, PLAIN))
+    formed = kinds.select("*", F.explode(wanted).alias("form"))
+    form = F.col("form")
+
+    def one(k: int) -> Column:
+        t, mark, after = F.col(f"t{k}"), F.col(f"k{k}"), F.col(f"k{k - 1}") == 2
+        word = F.when(mark == 0, t).otherwise(F.substring(t, 2, 1 << 30))
+        typed = form.isin(TEMPLATE, OPEN)
+        slot = F.when(mark == 3, "\u0003").when((mark == 4) & (form == TEMPLATE), word).otherwise("\u0001")
+        unit = F.when(form == VALUED, F.concat(F.lit("\u0003"), word)).otherwise("\u0003")
+        number = F.when(form == VALUED, t).otherwise("\u0002")
+        return F.when((mark == 0) & (typed | ~after), t).when(mark == 2, number).when(typed, slot).when(after & word.isin(*UNITS), unit).otherwise(word)
+
+    return formed.select("doc_id", "text_key", "place", F.xxhash64(*[one(k + 1) for k in steps]).alias("hash"))
 
 
 def _text_key(text: Column) -> Column:
@@ -143,10 +163,10 @@ def _text_key(text: Column) -> Column:
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """``item_id``, ``toks``, ``form``, ``windows`` (number looked for), ``place``, ``hash`` of every informative window."""
     items = needed(benchmark, "item_id", "text").withColumn("toks", tokens(F.col("text"))).select("item_id", _text_key(F.col("text")).alias("item_key"), "toks")
-    items = _hashed(items.dropDuplicates(["item_id", "item_key"]), "item_id", "item_key", "toks", "plain").where(F.size("toks") >= LEAST)
+    items = items.dropDuplicates(["item_id", "item_key"]).where(F.size("toks") >= LEAST).withColumn("plain", plain(F.col("toks")))
     forms = F.array(*[
-        F.struct(F.lit(form).alias("form"), F.col("plain" if form == PLAIN else "toks").alias("read"), _windows(F.col(f"h{form}")).alias("hashes"), _windows(F.col("valued")).alias("values"))
-        for form in (TEMPLATE, PLAIN, OPEN)
+        F.struct(F.lit(form).alias("form"), F.col(read).alias("read"), _windows(_reduced(F.col(read), form)).alias("hashes"), _windows(F.col("plain")).alias("values"))
+        for form, read in ((TEMPLATE, "toks"), (PLAIN, "plain"), (OPEN, "toks"))
     ])
     formed = items.select("item_id", "item_key", "toks", F.explode(forms).alias("f"))
     placed = formed.select("item_id", "item_key", "toks", "f.form", "f.read", "f.values", F.posexplode("f.hashes").alias("place", "hash"))
@@ -173,9 +193,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             looked_for = F.broadcast(looked_for)
         rows = needed(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
         read = rows.select("doc_id", _text_key(F.col("text")).alias("text_key"), tokens(F.col("text")).alias("toks"))
-        hashed = _hashed(read, "doc_id", "text_key", "plain")
         short = [r["n"] for r in index.select(F.size("toks").alias("n")).where(F.col("n") < WINDOW).distinct().orderBy("n").collect()]
-        met = _probes(hashed, [WINDOW, *short]).join(looked_for, "hash").select("doc_id", "text_key", "item_id", "item_key", "form", "item_windows", "item_place", (F.col("place") - F.col("item_place")).alias("shift"))
+        met = _probes(read, [WINDOW, *short]).join(looked_for, "hash").select("doc_id", "text_key", "item_id", "item_key", "form", "item_windows", "item_place", (F.col("place") - F.col("item_place")).alias("shift"))
         # equal rows fold here, so a place counts once however often its document is there
         hits = scratch.write(met.groupBy("doc_id", "text_key", "item_id", "item_key", "form", "item_windows", "item_place", "shift").agg(F.lit(1).alias("one")).drop("one"), "window-hits")
         pair = ["doc_id", "text_key", "item_id", "item_key", "form", "item_windows"]

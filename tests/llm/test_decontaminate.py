@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tallyline.llm import decontaminate as D
+from tallyline.llm.base import Scratch
 
 from . import cases
 
@@ -98,3 +100,50 @@ def test_no_python_in_the_plan(spark):
     df = cases.table(spark, cases.edges())
     plan = D.drop_leaks(df, bench(spark, [(1, QUESTION)]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_scan_windows_are_compiled(spark, monkeypatch):
+    """Functions over arrays are interpreted, and one per window and form took most of the time of the query."""
+    plans, write = {}, Scratch.write
+
+    def seen(self, df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return write(self, df, label)
+
+    monkeypatch.setattr(Scratch, "write", seen)
+    assert found(spark, ["so " + QUESTION], [(1, QUESTION), (2, "Add 4 twice")]) == [(0, 1)]
+    assert "lambda" not in plans["window-hits"]
+    # the tokens are made once, not again in a filter
+    assert plans["window-hits"].count("regexp_extract_all") == 1
+
+
+def spelled(toks):
+    """Windows' tokens by form: template, plain, open, plain with values."""
+    word = [t[1:] if t < "\x05" else t for t in toks]
+    unit = [i > 0 and toks[i - 1][0] == "\x02" and w in D.UNITS for i, w in enumerate(word)]
+    valued = [t if t[0] == "\x02" else "\x03" + w if u else w for t, w, u in zip(toks, word, unit, strict=True)]
+    template = [w if t[0] == "\x04" or t >= "\x05" else t[0] for t, w in zip(toks, word, strict=True)]
+    opened = ["\x01" if t[0] == "\x04" else x for t, x in zip(toks, template, strict=True)]
+    return template, [v[0] if v < "\x05" else v for v in valued], opened, valued
+
+
+@pytest.mark.parametrize("lengths", [[5], [5, 3, 4], [5, 4]])
+def test_probes_are_the_windows_of_every_form(spark, lengths):
+    texts = [
+        QUESTION, "On 3 Days, 5 KG of 12.5 kg; then 7 km and Anna 4 m. Tom has 3.5 Miles. 9 10 11 12 13 14", "Kg 5 kg", "one", "", None, "5 m 6 m 7 m 8 m", "a b c d",
+        "Only plain words stand in this text and none of them is a name", "5..3 kg of 2 Anna 3 Days", cases.prose(60, 8), "Der Ärger, Zoë 5 Days: ÉTÉ 3 l",
+    ]
+    read = cases.table(spark, [(k, t, "en", "a") for k, t in enumerate(texts)]).select("doc_id", D._text_key(F.col("text")).alias("text_key"), D.tokens(F.col("text")).alias("toks"))
+    needed, allowed = set(), set()
+    for r in read.collect():
+        forms = spelled(r["toks"])
+        for n in lengths:
+            for p in range(len(r["toks"]) - n + 1):
+                windows = [tuple(f[p : p + n]) for f in forms]
+                allowed |= {(r["doc_id"], p, w) for w in windows}
+                poor = sum(t < "\x05" for t in windows[D.VALUED]) > n - D.LITERALS
+                needed |= {(r["doc_id"], p, w) for w in windows[: 4 if poor else 3]}
+    hashed = spark.createDataFrame([(k, p, list(w)) for k, p, w in allowed], "doc_id long, place int, w array<string>").select("*", F.xxhash64("w").alias("hash"))
+    name = {(r["doc_id"], r["place"], r["hash"]): (r["doc_id"], r["place"], tuple(r["w"])) for r in hashed.collect()}
+    got = {name[r["doc_id"], r["place"], r["hash"]] for r in D._probes(read, lengths).collect()}
+    assert needed <= got <= allowed
