@@ -20,7 +20,7 @@ from tallyline.operators import groups as G
 from tallyline.plans import cleaning as K
 from tallyline.plans import compare as C
 from tallyline.plans.build import build_ballots
-from tallyline.session import scratch_path, written_once
+from tallyline.session import scratch_path, shuffles_freed, written_once
 from tallyline.sources import delimited as D
 from tallyline.sources import layout as Y
 from tallyline.sources import nested as M
@@ -245,59 +245,68 @@ def _export_folder(spark: SparkSession, folder: str) -> str:
     path = scratch_path(spark, "export")
     offices = ("US PRESIDENT", "US SENATE", "US HOUSE", "STATE SENATE", "STATE HOUSE", "GOVERNOR")
     parties = (("DEMOCRAT", "Democratic Party"), ("REPUBLICAN", "Republicans"), ("LIBERTARIAN", "Libertarian"))
-    # a mark once per contest: a ballot's lists are no longer than the vocabulary
-    rows = ballots(spark, folder).select(
-        "cvr_id", "precinct", "office", "candidate", "party_detailed",
-        (F.col("qty") > 25).alias("vote"), (F.col("discount") > 0.05).alias("ambiguous"),
-    ).distinct()
 
     def manifest(name: str, entries: DataFrame) -> None:
         # one document with a list no longer than the dimension it names
         document = entries.agg(F.collect_list(F.struct("*")).alias("List")).select(F.lit("5.10").alias("Version"), "List")
         document.coalesce(1).write.json(f"{path}/{name}Manifest.json")
 
-    named = spark.createDataFrame([(k, o) for k, o in enumerate(offices)], "Id bigint, Description string")
-    manifest("Contest", named.withColumn("DistrictId", F.lit(1).cast("bigint")))
-    manifest("District", spark.createDataFrame([(1, "Countywide")], "Id bigint, Description string"))
-    manifest("Party", spark.createDataFrame([(k, t) for k, (_, t) in enumerate(parties)], "Id bigint, Description string"))
-    number = F.regexp_replace("candidate", "[^0-9]", "").cast("bigint")
-    manifest(
-        "Candidate",
-        rows.select(number.alias("Id"), F.col("candidate").alias("Description"), F.lit("Regular").alias("Type")).distinct(),
-    )
-    portion = F.substring("precinct", 2, 9).cast("bigint")
-    manifest("PrecinctPortion", rows.select(portion.alias("Id"), F.col("precinct").alias("Description")).distinct())
-    vote, ambiguous = F.col("vote"), F.col("ambiguous")
-    mark = F.struct(
-        number.alias("CandidateId"),
-        first_match([(F.col("party_detailed") == p, k) for k, (p, _) in enumerate(parties)]).cast("bigint").alias("PartyId"),
-        F.lit(1).alias("Rank"), ambiguous.alias("IsAmbiguous"), vote.alias("IsVote"),
-    )
-    contest = rows.groupBy("cvr_id", portion.alias("portion"), "office").agg(
-        F.when(F.bool_or(vote), 0).otherwise(1).alias("Undervotes"),
-        F.when(F.count(F.lit(1)) > 1, 1).otherwise(0).alias("Overvotes"),
-        F.collect_list(mark).alias("Marks"),
-    )
-    contest_id = first_match([(F.col("office") == o, k) for k, o in enumerate(offices)]).cast("bigint")
-    card = contest.groupBy("cvr_id", "portion").agg(
-        F.collect_list(F.struct(contest_id.alias("Id"), "Undervotes", "Overvotes", "Marks")).alias("Contests")
-    )
-    side = F.struct(
-        F.col("portion").alias("PrecinctPortionId"), F.lit(True).alias("IsCurrent"),
-        F.array(F.struct(F.lit(1).cast("bigint").alias("Id"), "Contests")).alias("Cards"),
-    )
-    # every third record was corrected: its original is no longer current
-    corrected = F.col("cvr_id") % 3 == 0
-    stale = side.withField("IsCurrent", F.lit(False))
-    session = F.struct(
-        F.lit(4).cast("bigint").alias("TabulatorId"), F.floor(F.col("cvr_id") / 100).alias("BatchId"), F.col("cvr_id").alias("RecordId"),
-        F.when(corrected, stale).otherwise(side).alias("Original"), F.when(corrected, side).alias("Modified"),
-    )
-    # one document per file, each a bounded run of records
-    sessions = card.select(F.floor(F.col("cvr_id") / 2000).alias("file"), session.alias("s"))
-    documents = sessions.groupBy("file").agg(F.collect_list("s").alias("Sessions"))
-    text = documents.select("file", F.to_json(F.struct(F.lit("5.10").alias("Version"), "Sessions")).alias("value"))
-    text.repartition("file").write.partitionBy("file").text(f"{path}/CvrExport_1.json")
+    with shuffles_freed(spark):
+        # a mark once per contest: a ballot's lists are no longer than the vocabulary
+        marks = ballots(spark, folder, by_voter=True).select(
+            "cvr_id", "precinct", "office", "candidate", "party_detailed",
+            (F.col("qty") > 25).alias("vote"), (F.col("discount") > 0.05).alias("ambiguous"),
+        ).distinct()
+        # the manifests and the records are all made from one copy
+        rows = written_once(marks, "marks", "zstd")
+        named = spark.createDataFrame([(k, o) for k, o in enumerate(offices)], "Id bigint, Description string")
+        manifest("Contest", named.withColumn("DistrictId", F.lit(1).cast("bigint")))
+        manifest("District", spark.createDataFrame([(1, "Countywide")], "Id bigint, Description string"))
+        manifest("Party", spark.createDataFrame([(k, t) for k, (_, t) in enumerate(parties)], "Id bigint, Description string"))
+        number = F.regexp_replace("candidate", "[^0-9]", "").cast("bigint")
+        manifest(
+            "Candidate",
+            rows.select(number.alias("Id"), F.col("candidate").alias("Description"), F.lit("Regular").alias("Type")).distinct(),
+        )
+        portion = F.substring("precinct", 2, 9).cast("bigint")
+        manifest("PrecinctPortion", rows.select(portion.alias("Id"), F.col("precinct").alias("Description")).distinct())
+        # dealt by file once, as numbers: contests, cards and documents are grouped where the rows lie
+        numbers = rows.select(
+            F.floor(F.col("cvr_id") / 2000).alias("file"), "cvr_id", portion.alias("portion"),
+            first_match([(F.col("office") == o, k) for k, o in enumerate(offices)]).cast("bigint").alias("contest"),
+            number.alias("candidate"),
+            first_match([(F.col("party_detailed") == p, k) for k, (p, _) in enumerate(parties)]).cast("bigint").alias("party"),
+            "vote", "ambiguous",
+        ).repartition("file")
+        vote, ambiguous = F.col("vote"), F.col("ambiguous")
+        mark = F.struct(
+            F.col("candidate").alias("CandidateId"), F.col("party").alias("PartyId"),
+            F.lit(1).alias("Rank"), ambiguous.alias("IsAmbiguous"), vote.alias("IsVote"),
+        )
+        contest = numbers.groupBy("file", "cvr_id", "portion", "contest").agg(
+            F.when(F.bool_or(vote), 0).otherwise(1).alias("Undervotes"),
+            F.when(F.count(F.lit(1)) > 1, 1).otherwise(0).alias("Overvotes"),
+            F.collect_list(mark).alias("Marks"),
+        )
+        card = contest.groupBy("file", "cvr_id", "portion").agg(
+            F.collect_list(F.struct(F.col("contest").alias("Id"), "Undervotes", "Overvotes", "Marks")).alias("Contests")
+        )
+        side = F.struct(
+            F.col("portion").alias("PrecinctPortionId"), F.lit(True).alias("IsCurrent"),
+            F.array(F.struct(F.lit(1).cast("bigint").alias("Id"), "Contests")).alias("Cards"),
+        )
+        # every third record was corrected: its original is no longer current
+        corrected = F.col("cvr_id") % 3 == 0
+        stale = side.withField("IsCurrent", F.lit(False))
+        session = F.struct(
+            F.lit(4).cast("bigint").alias("TabulatorId"), F.floor(F.col("cvr_id") / 100).alias("BatchId"), F.col("cvr_id").alias("RecordId"),
+            F.when(corrected, stale).otherwise(side).alias("Original"), F.when(corrected, side).alias("Modified"),
+        )
+        # one document per file, each a bounded run of records
+        documents = card.select("file", session.alias("s")).groupBy("file").agg(F.collect_list("s").alias("Sessions"))
+        text = documents.select("file", F.to_json(F.struct(F.lit("5.10").alias("Version"), "Sessions")).alias("value"))
+        # plain, the documents are several times as long as the tables
+        text.write.option("compression", "gzip").partitionBy("file").text(f"{path}/CvrExport_1.json")
     return path
 
 

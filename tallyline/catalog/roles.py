@@ -76,11 +76,12 @@ def voters(spark: SparkSession, folder: str) -> DataFrame:
     return orders.join(customer.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
 
 
-def ballots(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem").join(
-        voters(spark, folder).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
-    choices = lines.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+def ballots(spark: SparkSession, folder: str, by_voter: bool = False) -> DataFrame:
+    """A row per line item; ``by_voter`` joins the voters last, so that grouping by ``cvr_id`` needs no further exchange."""
+    lines = table(spark, folder, "lineitem")
+    of_voter = voters(spark, folder).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
+    of_part = table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")
+    choices = lines.join(*of_part).join(*of_voter) if by_voter else lines.join(*of_voter).join(*of_part)
     return choices.select(
         F.col("l_orderkey").alias("cvr_id"),
         F.col("r_name").alias("state"),

@@ -189,9 +189,14 @@ def ordered_ids(df: DataFrame, key: str, name: str = "id") -> DataFrame:
     return ranged.withColumn("__k", inside).join(shift, "__range").select(key, (F.col("__shift") + F.col("__k")).alias(name))
 
 
-def attach_ids(df: DataFrame, keys: Sequence[str], name: str = "id", buckets: int = 1 << 16) -> DataFrame:
-    """Rows plus the dense id of their key (a dense group id)."""
-    return join_null_safe(df, dense_ids(df, keys, name, buckets), keys, "inner")
+def attach_ids(df: DataFrame, keys: Sequence[str], name: str = "id", buckets: int = 1 << 16, once: bool = False) -> DataFrame:
+    """Rows plus the dense id of their key (a dense group id).
+
+    ``once`` writes the ids before the join, so that the exchanges that number
+    the keys can be freed before the rows are shuffled.
+    """
+    ids = dense_ids(df, keys, name, buckets)
+    return join_null_safe(df, written_once(ids, "ids", "zstd") if once else ids, keys, "inner")
 
 
 def rollup_totals(df: DataFrame, key: str, label: str, **measures: Column) -> DataFrame:

@@ -103,8 +103,8 @@ def contests_of_manifest(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """Contest names of every county of a manifest that names files by ``delim``, ``json`` or ``xml``.
 
     Headers of plain delimited files come out of one scan of all of them; a
-    stacked header and the values of labelled files are read per county, and
-    only when the result is.  Files that are missing have no contests.
+    stacked header is read per county, and only when the result is; labelled
+    files are opened once per county.  Files that are missing have no contests.
     """
     rows = Y.to_build(manifest).collect()
     batch = scanned_together(spark, [r["path"] for r in rows if r["type"] == "delim"])

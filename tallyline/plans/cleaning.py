@@ -286,21 +286,24 @@ def vote_partition(marks: DataFrame, keys: Sequence[str] = ("cvr_id",), contest:
     valid = F.col("isVote") & ~F.col("isAmbiguous")
     under, over = F.col("undervotes") > 0, F.col("overvotes") > 0
     votes = marks.where(valid).select(*group, *choices, "candidate", *party, F.lit("VALID").alias("vote_class"))
-    # a row per choice first, so that what meets for a contest is as short as its list of magnitudes
-    folded = marks.groupBy(*group, *choices).agg(
+    # one exchange: a set holds only what differs between the marks of a contest and is combined map-side
+    clear = holds(under & ~F.col("isAmbiguous"))
+    row = F.struct(*choices, holds(under).alias("__under"), clear.alias("__clear"), holds(over).alias("__over"))
+    contests = marks.groupBy(*group).agg(
         F.bool_or(valid).alias("__valid"),
         F.bool_and(F.when(under, F.col("isAmbiguous"))).alias("__all"),  # only marks of undervoted contests
-        F.bool_or(holds(under)).alias("__under"), F.bool_or(holds(under & ~F.col("isAmbiguous"))).alias("__clear"),
-        F.bool_or(holds(over)).alias("__over"),
-    )
-    contests = folded.groupBy(*group).agg(
-        F.bool_or("__valid").alias("__valid"), F.bool_and("__all").alias("__all"),
-        F.collect_list(F.struct(*choices, "__under", "__clear", "__over")).alias("__rows"),
+        F.collect_set(row).alias("__rows"),
+    ).where(~F.col("__valid"))
+
+    def labelled(label: str, kept) -> Column:
+        rows = F.filter("__rows", kept)
+        return F.array_distinct(F.transform(rows, lambda r: F.struct(*[r[c].alias(c) for c in choices], F.lit(label).alias("candidate"))))
+
+    undervotes = labelled("UNDERVOTE", lambda r: r["__clear"] | (r["__under"] & F.coalesce(F.col("__all"), F.lit(False))))
+    overvotes = labelled("OVERVOTE", lambda r: r["__over"])
+    blanks = contests.select(*group, F.explode(F.concat(undervotes, overvotes)).alias("r")).select(
+        *group, *[F.col(f"r.{c}").alias(c) for c in [*choices, "candidate"]]
     )
-    rows = contests.where(~F.col("__valid")).select(*group, "__all", F.explode("__rows").alias("r"))
-    kept = F.col("r.__clear") | (F.col("r.__under") & F.coalesce(F.col("__all"), F.lit(False)))
-    labels = F.array_compact(F.array(F.when(kept, F.lit("UNDERVOTE")), F.when(F.col("r.__over"), F.lit("OVERVOTE"))))
-    blanks = rows.select(*group, *[F.col(f"r.{c}").alias(c) for c in choices], F.explode(labels).alias("candidate"))
     return votes.unionByName(blanks.withColumn("vote_class", F.col("candidate")), allowMissingColumns=True)
 
 

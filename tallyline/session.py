@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,12 +79,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def written_once(df: DataFrame, label: str) -> DataFrame:
+#: Whether Spark removes the shuffle files of a query as soon as it has ended.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of the writes inside go with each write; otherwise they stay until the driver's garbage collector meets them.
+
+    Meant for tables written and read back: nobody runs the plan of such a write again.
+    """
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
+def written_once(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write a table that several branches of a plan read, and read it back.
 
     Meant for folded intermediate tables.  The copy lies in the shared folder,
-    so it outlives any executor and the work below it runs once.
+    so it outlives any executor and the work below it runs once.  ``codec`` is for
+    copies of whole tables: zstd makes them about a quarter smaller than the default.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,7 +11,7 @@ from tallyline.operators.columns import rename
 from tallyline.operators.groups import attach_ids, ordered_ids
 from tallyline.operators.joins import star_lookup
 from tallyline.plans.parties import standard_party
-from tallyline.session import written_once
+from tallyline.session import shuffles_freed, written_once
 
 _MARK = "struct<CandidateId:bigint,PartyId:bigint,Rank:int,IsAmbiguous:boolean,IsVote:boolean>"
 _CONTEST = f"struct<Id:bigint,Undervotes:int,Overvotes:int,Marks:array<{_MARK}>>"
@@ -84,7 +84,10 @@ def read_json_ballots(spark: SparkSession, folder: str) -> DataFrame:
     """A vendor folder (manifests plus ``CvrExport*.json``) as labelled marks.
 
     The manifests are small dimension tables of the star; a card's marks share
-    one ``cvr_id``, the dense number of (batch, card, tabulator, record).
+    one ``cvr_id``, the dense number of (batch, card, tabulator, record).  The export
+    is opened once: its marks are written before they are numbered.  The labelled marks
+    are written as well, since plans read them more than once, and the shuffle
+    files in between go with the writes.
     """
     described = {"id": "Id bigint"}
     district = read_manifest(spark, f"{folder}/DistrictManifest.json", {"district_name": "Description string", **described})
@@ -109,20 +112,23 @@ def read_json_ballots(spark: SparkSession, folder: str) -> DataFrame:
     portion = read_manifest(
         spark, f"{folder}/PrecinctPortionManifest.json", {"precinct": "Description string", **described}
     ).withColumnRenamed("id", "portion_key")
-    marks = attach_ids(
-        read_export(spark, folder),
-        ["batchId", "cardId", "tabulatorId", "recordId"],
-        "cvr_id",
-    )
-    return star_lookup(
-        marks.withColumn("magnitude", F.col("rank").cast("string")),
-        [
-            (candidate, {"candidateId": "candidate_key"}),
-            (contest, {"contestId": "contest_key"}),
-            (party, {"partyId": "party_key"}),
-            (portion, {"precinctPortionId": "portion_key"}),
-        ],
-    )
+    with shuffles_freed(spark):
+        marks = attach_ids(
+            written_once(read_export(spark, folder), "export-marks", "zstd"),
+            ["batchId", "cardId", "tabulatorId", "recordId"],
+            "cvr_id",
+            once=True,
+        )
+        labelled = star_lookup(
+            marks.withColumn("magnitude", F.col("rank").cast("string")),
+            [
+                (candidate, {"candidateId": "candidate_key"}),
+                (contest, {"contestId": "contest_key"}),
+                (party, {"partyId": "party_key"}),
+                (portion, {"precinctPortionId": "portion_key"}),
+            ],
+        )
+        return written_once(labelled, "json-marks", "zstd")
 
 
 _OPTION = "struct<Name:string,WriteInData:struct<Text:string>>"
